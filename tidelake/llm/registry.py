@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import mixing, packing, simhash, suffix, toxicity
+from tidelake.llm import discriminant, mixing, packing, rules, simhash, suffix, toxicity
 from tidelake.llm.shared import WORD
 
 
@@ -30,6 +30,17 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 4) != 2)
+    out = discriminant.scored(table(spark, sf_dir, "documents"), labels)
+    return out.select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= discriminant.ACCEPT).cast("int").alias("predicted"),
+    )
+
+
 def toxic_model(docs: DataFrame, labels: DataFrame) -> dict:
     """The model of op5: nothing is learned from held-out rows."""
     return toxicity.learn(docs, labels.where(crc_mod("doc_id", 3) != 1))
@@ -50,6 +61,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -87,8 +103,10 @@ SELECT doc_id, size, source_size, target, size * (upto // 1000000 - (upto - rate
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_suffix": op3_suffix,
+    "op4_discriminant": op4_discriminant,
     "op5_toxicity": op5_toxicity,
     "op8_packing": op8_packing,
+    "op9_rules": op9_rules,
     "op10_mixing": op10_mixing,
 }
 
