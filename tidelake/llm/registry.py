@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import discriminant, mixing, packing, rules, simhash, suffix, toxicity
+from tidelake.llm import discriminant, fixity, mixing, neighbours, packing, rules, simhash, suffix, toxicity, urls
 from tidelake.llm.shared import WORD
 
 
@@ -20,6 +20,34 @@ def crc_mod(id_col: str, mod: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % mod
 
 
+def damaged(records: DataFrame) -> DataFrame:
+    """A second replica that lost some records and changed others, by the MD5 of their ids."""
+    lot = F.substring(F.md5(F.col("record_id").cast("string").cast("binary")), 1, 2)
+    flipped = F.concat(F.lit(b"X"), F.expr("substring(block, 2)"))
+    cut = F.expr("substring(block, 1, octet_length(block) - 2)")
+    return records.where(lot != "01").withColumn("block", F.when(lot == "00", flipped).when(lot == "02", cut).otherwise(F.col("block")))
+
+
+def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replicas of the WARC records of all pages, one of them damaged, and the audit of both."""
+    records = fixity.warc_records(table(spark, sf_dir, "pages"))
+    found = fixity.audit(records, damaged(records))
+    return found.select(F.col("record_id").alias("page_id"), "kind", "length", "other_length")
+
+
+#: op1 in DuckDB: which records the replica lost or changed, and their lengths.
+OP1_SQL = r"""
+WITH sizes AS (
+  SELECT page_id, substr(md5(page_id::VARCHAR), 1, 2) AS lot,
+         (101 + strlen(coalesce(url, '')) + strlen(page_id::VARCHAR) + strlen(strlen(coalesce(html, ''))::VARCHAR) + strlen(coalesce(html, '')) + 4)::BIGINT AS length
+  FROM pages
+)
+SELECT page_id, CASE lot WHEN '00' THEN 'changed' WHEN '01' THEN 'missing' ELSE 'resized' END AS kind, length,
+       CASE lot WHEN '00' THEN length WHEN '02' THEN length - 2 END AS other_length
+FROM sizes WHERE lot IN ('00', '01', '02')
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -57,6 +85,49 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+#: Rules of op7: host, path, verdict (fixed values).
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+#: Words in a host's name that put the host on op7's list (fixed values).
+LISTED_WORDS = ("spam", "pills", "casino")
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages under the rules; where none fits, hosts named after spam are listed."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.regexp_replace(urls.host_of(F.coalesce("url", F.lit(""))), r"^(www|blog|m)\.", "")
+    listed = pages.select(host.alias("host"), F.lit("").alias("path")).where(F.col("host").rlike("|".join(LISTED_WORDS))).distinct()
+    return urls.judged(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), listed)
+
+
+#: op7 in DuckDB.
+OP7_SQL = r"""
+WITH parts AS (
+  SELECT row_number() OVER () AS rid, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), urls AS (
+  SELECT rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(rhost, rpath, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), ruled AS (
+  SELECT rid, arg_max(rhost || rpath, strlen(rhost || rpath)) AS rule, arg_max(verdict, strlen(rhost || rpath)) AS verdict
+  FROM urls JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rid
+), listed AS (
+  SELECT DISTINCT regexp_replace(host, '^(www|blog|m)\.', '') AS lhost FROM urls WHERE regexp_matches(host, 'spam|pills|casino')
+), hit AS (
+  SELECT DISTINCT rid FROM urls JOIN listed ON host = lhost OR ends_with(host, '.' || lhost)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN hit.rid IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN ruled USING (rid) LEFT JOIN hit USING (rid)
+"""
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -101,15 +172,18 @@ SELECT doc_id, size, source_size, target, size * (upto // 1000000 - (upto - rate
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fixity": op1_fixity,
     "op2_simhash": op2_simhash,
     "op3_suffix": op3_suffix,
     "op4_discriminant": op4_discriminant,
     "op5_toxicity": op5_toxicity,
+    "op6_neighbours": op6_neighbours,
+    "op7_urls": op7_urls,
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_fixity": OP1_SQL, "op7_urls": OP7_SQL, "op10_mixing": OP10_SQL}
 
 assert WORD in OP10_SQL
