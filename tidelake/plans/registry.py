@@ -413,7 +413,7 @@ def _(spark, sf):
   WHERE event_ts < newest_before - INTERVAL '15' MINUTE""")
 def _(spark, sf):
     p = pings(spark, sf).withColumn("event_ts", F.when(F.col("offset") % 50 == 0, F.col("event_ts") - F.expr("INTERVAL 6 HOURS")).otherwise(F.col("event_ts")))
-    return trips.late_pings(p).select("partition", "offset", "event_ts", "newest_before")
+    return trips.late_pings(p, block=100).select("partition", "offset", "event_ts", "newest_before")
 
 
 @query("trip_legs", f"""SELECT offset_no AS "offset", rider_id, trip_id, round({_HAVERSINE.format(a='la', b='lat', c='lo', d='lon')}, 6) AS leg_km, round({_BEARING.format(a='la', b='lat', c='lo', d='lon')}, 4) AS heading
