@@ -37,7 +37,7 @@ def same(got, want):
 def test_all_cells_give_what_brute_force_gives(spark):
     rng = np.random.default_rng(3)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)))]
-    same(run(spark, rows, visited=1.0), brute(rows))
+    same(run(spark, rows, visited=1.0, sigmas=6.0), brute(rows))
 
 
 def test_ties_nulls_and_odd_vectors(spark, monkeypatch):
@@ -46,7 +46,7 @@ def test_ties_nulls_and_odd_vectors(spark, monkeypatch):
     rows = [(i, v.tolist()) for i, v in enumerate(rng.integers(-1, 2, size=(120, 4)).astype(float) + 0.0)]
     rows += [(200 + i, [1.0, 0.0, 0.0, 1.0]) for i in range(60)]
     rows += [(400, None), (401, [0.0] * 4), (402, [1.0, None, 0.0, 0.0]), (403, [float("nan"), 1.0, 1.0, 1.0]), (404, [float("inf"), 1.0, 1.0, 1.0]), (405, []), (None, [1.0] * 4)]
-    same(run(spark, rows), brute(rows))
+    same(run(spark, rows, sigmas=6.0), brute(rows))
     same(run(spark, rows[:5]), brute(rows[:5]))
     assert run(spark, []) == {} and run(spark, [(1, None)]) == {}
 
@@ -56,7 +56,9 @@ def test_bounds_hold(spark):
     x, q = rng.normal(size=(4000, 64)), rng.normal(size=(50, 64))
     centre, turn = x.mean(axis=0), neighbours.rotation(64)
     assert np.allclose(turn @ turn.T, np.eye(64))
-    guess, off = neighbours.estimate(q, *neighbours.encode(x, centre, turn), centre, turn)
+    bits, length, own = neighbours.encode(x, centre, turn)
+    signs = np.unpackbits(bits, axis=1, count=64).astype(np.float32) * 2 - 1
+    guess, off = neighbours.estimate(q, (signs, length, own), np.zeros(len(x), dtype=int), centre[None, :], turn, 3.0)
     exact = q @ x.T
     assert (np.abs(guess - exact) <= off).mean() > 0.99
     assert abs((guess - exact).mean()) < 0.05

@@ -9,8 +9,10 @@ scanned by its codes; only those whose upper bound reaches the query's best lowe
 looked up in the original vectors and scored exactly, in double precision.
 
 Cells are those of a coarse k-means fitted on a bounded sample; every vector is in one.  A
-query visits the cells in which an upper bound on its inner product is highest.  Cells are
-dealt into blocks of bounded size, so a cell with many vectors is many tasks.
+query visits the cells in which an upper bound on its inner product is highest.  Blocks are
+of bounded size: small cells that lie side by side share one, a cell with many vectors has
+several.  Each query gets its best few of each block it visits, so what leaves the blocks is
+queries times blocks, not pairs.
 """
 
 import math
@@ -34,9 +36,11 @@ MOST_CELLS = 4_096
 VISITED = 0.8
 LEAST_VISITED = 16
 #: Vectors of a block.
-BLOCK_ROWS = 8_192
+BLOCK_ROWS = 16_384
 #: Standard deviations of the estimate's error within which it is trusted.
-SIGMAS = 3.0
+SIGMAS = 1.9
+#: Vectors looked up first, by estimate, to find what the others must reach.
+FIRST = 64
 SEED = 7
 
 
@@ -89,54 +93,75 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndar
     return np.packbits(signs, axis=1), length, own
 
 
-def estimate(query: np.ndarray, bits: np.ndarray, length: np.ndarray, own: np.ndarray, centre: np.ndarray, turn: np.ndarray, sigmas: float = SIGMAS) -> tuple[np.ndarray, np.ndarray]:
+def estimate(query: np.ndarray, code: tuple, cell: np.ndarray, centres: np.ndarray, turn: np.ndarray, sigmas: float = SIGMAS) -> tuple[np.ndarray, np.ndarray]:
     """Estimated inner product of queries (rows) with coded vectors (columns), and its error bound.
 
     With o the unit vector, s its sign vector over sqrt(d) and q the rotated query,
     <o, q> is about <s, q> / <o, s>, off by at most sigmas * |q| * sqrt((1 - <o,s>^2) / <o,s>^2 / (d - 1)).
     """
-    d = len(centre)
-    turned = query @ turn.T
-    signs = np.unpackbits(bits, axis=1, count=d).astype(np.float32) * 2 - 1
-    dots = (turned.astype(np.float32) @ signs.T) / math.sqrt(d)
+    signs, length, own = code
+    d = query.shape[1]
     own = np.maximum(own, 1e-9)
-    spread = sigmas * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / max(d - 1, 1))
-    norms = np.linalg.norm(query, axis=1)[:, None]
-    base = (query @ centre)[:, None]
-    return base + dots * (length / own), norms * (spread * length) + 1e-6
+    spread = (sigmas * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / max(d - 1, 1)) * length).astype(np.float32)
+    guess = (query @ turn.T).astype(np.float32) @ signs.T
+    guess *= (length / own / math.sqrt(d)).astype(np.float32)
+    guess += (query @ centres.T).astype(np.float32)[:, cell]
+    return guess, np.linalg.norm(query, axis=1).astype(np.float32)[:, None] * spread + np.float32(1e-5)
 
 
-def scan(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, code: tuple, centre: np.ndarray, turn: np.ndarray, top: int) -> tuple[np.ndarray, ...]:
+def scan(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, code: tuple, cell: np.ndarray, centres: np.ndarray, turn: np.ndarray, top: int, sigmas: float = SIGMAS) -> tuple[np.ndarray, ...]:
     """The best ``top`` of a block for each query: (query id, id, exact score)."""
     out_q, out_i, out_s = [], [], []
     bits, length, own = code
-    for at in range(0, len(queries), 256):
-        part = queries[at : at + 256]
-        guess, off = estimate(part, bits, length, own, centre, turn)
-        same = query_ids[at : at + 256, None] == ids[None, :]
-        low = np.where(same, -np.inf, guess - off)
-        k = min(top, low.shape[1])
-        bar = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
-        wanted = (guess + off >= bar[:, None]) & ~same
-        row, col = np.nonzero(wanted)
+    signs = np.unpackbits(bits, axis=1, count=vectors.shape[1]).astype(np.float32) * 2 - 1
+    n = len(ids)
+    k = min(n, max(FIRST, 2 * top))
+    for at in range(0, len(queries), 32):
+        part, names = queries[at : at + 32], query_ids[at : at + 32]
+        guess, off = estimate(part, (signs, length, own), cell, centres, turn, sigmas)
+        first = np.argpartition(guess, n - k, axis=1)[:, n - k :]
+        exact = np.einsum("ij,ikj->ik", part, vectors[first])
+        exact[ids[first] == names[:, None]] = -np.inf
+        # the exact score that ``top`` vectors reach already; with fewer vectors all are wanted
+        bar = np.partition(exact, k - top, axis=1)[:, k - top] if k > top else np.full(len(part), -np.inf)
+        row, col = np.nonzero(guess + off >= bar[:, None].astype(np.float32))
+        other = ids[col] != names[row]
+        row, col = row[other], col[other]
         exact = np.einsum("ij,ij->i", part[row], vectors[col])
         order = np.lexsort((ids[col], -exact, row))
         row, col, exact = row[order], col[order], exact[order]
-        nth = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = nth < top
-        out_q.append(query_ids[at + row[keep]])
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < top
+        out_q.append(names[row[keep]])
         out_i.append(ids[col[keep]])
         out_s.append(exact[keep])
     return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP, visited: float = VISITED) -> DataFrame:
+def pack_cells(counts: np.ndarray, centres: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of each cell: cells side by side along the centres'
+    main direction share a block while they fit."""
+    rest = centres - centres.mean(axis=0)
+    axis = np.linalg.svd(rest, full_matrices=False)[2][0] if len(centres) > 1 else rest[0]
+    first, parts = np.zeros(len(counts), dtype=np.int32), np.ones(len(counts), dtype=np.int32)
+    block, held = 0, 0
+    for c in np.argsort(rest @ axis, kind="stable"):
+        if held and held + counts[c] > block_rows:
+            block, held = block + 1, 0
+        first[c], parts[c] = block, max(1, -(-int(counts[c]) // block_rows))
+        held += int(counts[c])
+        if parts[c] > 1:
+            block, held = block + int(parts[c]), 0
+    return first, parts
+
+
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP, visited: float = VISITED, sigmas: float = SIGMAS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``top`` largest inner products found.
 
     Queries are the rows for which ``is_query`` (over the column id) holds; candidates all rows but those with
     the query's own id.  Equal scores rank by the smaller id.  Vectors that are null, empty,
     zero or of another dimension than most, or hold null or non-finite components, take no
-    part.  ``visited``: share of the cells searched (1.0: all).
+    part.  ``visited``: share of the cells searched (1.0: all); ``sigmas``: how far estimates
+    are distrusted (more: fewer misses, more exact scores).
     """
     rows = written(clean(vectors, id_col, vector_col))
     n = rows.count()
@@ -156,63 +181,66 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         return pd.Series(nearest_cell(np.stack(vecs.to_numpy()), shared.value[0]), dtype="int32") if len(vecs) else pd.Series([], dtype="int32")
 
     placed = written(rows.withColumn("cell", cell_of("vec")))
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    radius = _radii(placed, shared)
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    indexed = placed.join(F.broadcast(sizes), "cell").select("cell", block.alias("block"), F.lit(1).alias("kind"), "id", "vec")
+    counts, radius = _sizes(placed, shared)
+    packed = session.broadcast(pack_cells(counts, centres, BLOCK_ROWS))
+
+    @F.pandas_udf("int")
+    def block_of(cell: pd.Series, lot: pd.Series) -> pd.Series:
+        first, parts = packed.value
+        c = cell.to_numpy()
+        return pd.Series(first[c] + lot.to_numpy() % parts[c], dtype="int32")
+
+    indexed = placed.select(block_of("cell", F.pmod(F.xxhash64("id"), F.lit(1 << 20))).alias("block"), F.lit(1).alias("kind"), "cell", "id", "vec")
 
     @F.pandas_udf("array<int>")
-    def cells_of(vecs: pd.Series) -> pd.Series:
+    def blocks_of(vecs: pd.Series) -> pd.Series:
         c, _ = shared.value
+        first, parts = packed.value
         x = np.stack(vecs.to_numpy())
         bound = x @ c.T + np.linalg.norm(x, axis=1)[:, None] * radius
-        return pd.Series(list(np.argsort(-bound, axis=1, kind="stable")[:, :visits].astype(np.int32)))
+        near = np.argsort(-bound, axis=1, kind="stable")[:, :visits]
+        return pd.Series([np.unique(np.concatenate([np.arange(first[k], first[k] + parts[k]) for k in row])).astype(np.int32) for row in near])
 
-    asked = placed.where(is_query).select("id", "vec", F.explode(cells_of("vec")).alias("cell"))
-    asked = asked.join(F.broadcast(sizes), "cell").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-    asked = asked.select("cell", "block", F.lit(0).alias("kind"), "id", "vec")
-    dealt = indexed.union(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", F.desc("kind"), "id")
-    best = dealt.mapInArrow(_searcher(shared, top), "query_id long, vec_id long, score double")
+    asked = placed.where(is_query).select(F.explode(blocks_of("vec")).alias("block"), F.lit(0).alias("kind"), "cell", "id", "vec")
+    dealt = indexed.union(asked).repartition("block").sortWithinPartitions("block", F.desc("kind"), "id")
+    best = dealt.mapInArrow(_searcher(shared, top, sigmas), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
-def _radii(placed: DataFrame, shared) -> np.ndarray:
-    """Of each cell, the root mean square distance of its vectors from the centre (one number a cell)."""
+def _sizes(placed: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
+    """Of each cell, how many vectors it has and their root mean square distance from its centre."""
 
     @F.pandas_udf("double")
     def squared(vecs: pd.Series, cell: pd.Series) -> pd.Series:
         return pd.Series(((np.stack(vecs.to_numpy()) - shared.value[0][cell.to_numpy()]) ** 2).sum(axis=1)) if len(vecs) else pd.Series([], dtype="float64")
 
-    out = np.zeros(len(shared.value[0]))
-    for r in placed.groupBy("cell").agg(F.avg(squared("vec", "cell")).alias("r")).collect():
-        out[r["cell"]] = math.sqrt(r["r"])
-    return out
+    counts, radius = np.zeros(len(shared.value[0]), dtype=np.int64), np.zeros(len(shared.value[0]))
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg(squared("vec", "cell")).alias("r")).collect():  # a row for each cell
+        counts[r["cell"]], radius[r["cell"]] = r["n"], math.sqrt(r["r"])
+    return counts, radius
 
 
-def _searcher(shared, top: int):
+def _searcher(shared, top: int, sigmas: float):
     """Scans blocks: rows come with a block's vectors first, then the queries that visit it."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, turn = shared.value
-        state = None
+        key, parts, ready = None, [], None
         for batch in batches:
-            cell, block, kind, ids = (batch.column(i).to_numpy() for i in range(4))
-            flat = batch.column(4)
-            vecs = flat.flatten().to_numpy().reshape(len(batch), -1)
-            edges = np.flatnonzero((cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
+            block, kind, cell, ids = (batch.column(i).to_numpy() for i in range(4))
+            vecs = batch.column(4).flatten().to_numpy().reshape(len(batch), -1)
+            edges = np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)]):
-                key = (cell[a], block[a])
-                if state is None or state[0] != key:
-                    state = [key, [], [], None]
+                if key != block[a]:
+                    key, parts, ready = block[a], [], None
                 if kind[a] == 1:
-                    state[1].append(ids[a:b])
-                    state[2].append(vecs[a:b])
-                elif state[1]:
-                    if state[3] is None:
-                        own, own_ids = np.concatenate(state[2]), np.concatenate(state[1])
-                        state[3] = (own_ids, own, encode(own, centres[key[0]], turn))
-                    found = scan(ids[a:b], vecs[a:b], *state[3], centres[key[0]], turn, top)
+                    parts.append((ids[a:b], vecs[a:b], cell[a:b]))
+                elif parts:
+                    if ready is None:
+                        own_ids, own, cells = (np.concatenate(x) for x in zip(*parts))
+                        ready = (own_ids, own, encode(own, centres[cells], turn), cells)
+                    found = scan(ids[a:b], vecs[a:b], *ready, centres, turn, top, sigmas)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
     return blocks
