@@ -40,6 +40,31 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that are needed only until a result made of them is written.  As a context
+    manager it removes them at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = shared_dir(self.spark)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        while self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+
 def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` written as (rid, doc, text): a row number that stays the same for every later
     read, all columns of the row in one struct (so no name of theirs can clash) and the text
@@ -72,7 +97,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     neighbourhood is ever gathered in one row.  Each round ends in a written table, so the
     lineage stays short.  Ends when a round changes nothing.
     """
-    edges = written(
+    held = Scratch(edges.sparkSession)
+    edges = held.written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     state = _fingerprint(edges)
@@ -92,8 +118,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = written(small)
+        new = Scratch(edges.sparkSession)
+        edges = new.written(small)
         before, state = state, _fingerprint(edges)
+        held.drop()
+        held = new
         if before == state:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

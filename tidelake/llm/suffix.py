@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import numbered, written
+from tidelake.llm.shared import Scratch, numbered, written
 
 WINDOW = 400
 GRAM = 64
@@ -42,7 +42,7 @@ GRAM_ROWS = 32_768
 #: Bytes of segments that make one suffix array.
 BATCH_BYTES = 1_000_000
 #: Longest stretch of a text that is hashed at a time.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 
 _PLACE = np.uint64(20)
 _LOW = np.uint64((1 << 20) - 1)
@@ -376,19 +376,20 @@ def _each_window(batches):
             )
 
 
-def repeated_spans(rows: DataFrame, gram_rows: int = GRAM_ROWS) -> DataFrame:
+def repeated_spans(rows: DataFrame, temp: Scratch, gram_rows: int = GRAM_ROWS) -> DataFrame:
     """Intervals (rid, start, end), in bytes, of all windows that occur elsewhere too.
-    They overlap and touch.  ``rows``: (rid, text), stored, each rid once."""
-    found = written(rows.select("rid", "text").mapInArrow(_segments_of, _SEGMENT))
+    They overlap and touch.  ``rows``: (rid, text), stored, each rid once; ``temp`` holds the
+    tables in between and must last until the intervals are written."""
+    found = temp.written(rows.select("rid", "text").mapInArrow(_segments_of, _SEGMENT))
     grams = (
         found.groupBy("gram")
         .agg(F.count(F.lit(1)).alias("n"), (F.min("seg") == F.max("seg")).alias("alike"))
         .where("n > 1")
         .select("gram", "alike")
     )
-    shared = written(found.join(grams, "gram"))
+    shared = temp.written(found.join(grams, "gram"))
     mixed = shared.where("not alike")
-    distinct = written(
+    distinct = temp.written(
         mixed.groupBy("gram", "seg").agg(
             F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "start", "windows", "gram_at")).alias("one")
         )
@@ -405,7 +406,7 @@ def repeated_spans(rows: DataFrame, gram_rows: int = GRAM_ROWS) -> DataFrame:
         .agg(F.collect_list("w").alias("wanted"))
     )
     cut = rows.select("rid", "text").join(wanted.hint("shuffle_hash"), "rid").select("text", "wanted")
-    cut = written(cut.mapInArrow(_cut_out, "gram long, rows long, rid long, start long, gram_at int, copies long, bytes binary"))
+    cut = temp.written(cut.mapInArrow(_cut_out, "gram long, rows long, rid long, start long, gram_at int, copies long, bytes binary"))
     usual = cut.where(F.col("rows") <= gram_rows).repartition("gram").sortWithinPartitions("gram")
     matched = usual.select("gram", "rid", "start", "gram_at", "copies", "bytes").mapInArrow(_match, "rid long, start long, end long")
 
@@ -434,7 +435,9 @@ def dedup(docs: DataFrame, text: str = "text", gram_rows: int = GRAM_ROWS) -> Da
     are occurrences of their own, so their long texts go altogether.  No rows: no rows.
     """
     rows = numbered(docs, text)
-    marked = written(repeated_spans(rows, gram_rows).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    with Scratch(docs.sparkSession) as temp:
+        spans = repeated_spans(rows, temp, gram_rows)
+        marked = written(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     joined = rows.join(marked.hint("shuffle_hash"), "rid", "left").select("doc", "text", "spans")
     out = F.pandas_udf(_removed, "kept binary, n_removed long, n_spans long")
     return joined.withColumn("out", out(F.col("text").cast("binary"), F.col("spans").getField("start"), F.col("spans").getField("end"))).select(
