@@ -84,6 +84,11 @@ SELECT c_custkey AS customer_id, c_name AS name, concat('+91-', c_custkey) AS ph
        TIMESTAMP '1994-01-01 00:00:00' + (c_custkey % 700 + step * 30) * INTERVAL '1' DAY AS updated_at,
        step = 2 AS is_deleted, CASE WHEN step = 2 THEN 'd' WHEN step = 0 THEN 'c' ELSE 'u' END AS op, c_custkey * 4 + step AS lsn
 FROM (SELECT *, {each: CASE WHEN c_custkey % 53 = 0 THEN 2 ELSE 1 END} AS step FROM customer) AS stepped JOIN nation ON c_nationkey = n_nationkey""",
+    "payments": """
+SELECT o_orderkey AS payment_id, o_orderkey AS order_id, CASE o_orderkey % 6 WHEN 0 THEN 'UPI' WHEN 1 THEN 'CARD' WHEN 2 THEN 'NETBANKING' WHEN 3 THEN 'COD' WHEN 4 THEN 'WALLET' ELSE 'CHEQUE' END AS method,
+       CASE o_orderstatus WHEN 'F' THEN 'CAPTURED' WHEN 'P' THEN 'AUTHORISED' ELSE 'PENDING' END AS status,
+       CAST(floor(o_totalprice / 100) - CASE WHEN o_orderkey % 50 = 0 THEN 10000 ELSE 0 END AS DECIMAL(10,2)) AS amount_inr, o_orderkey AS lsn
+FROM orders""",
     "weather": """
 SELECT n_name AS city, CAST(o_orderdate AS DATE) AS weather_date,
        CASE WHEN (n_nationkey + {epoch: o_orderdate} / 86400) % 23 = 0 THEN NULL ELSE CAST(CAST(floor(n_nationkey * 3 + {epoch: o_orderdate} / 86400 * 7) AS BIGINT) % 25 AS DOUBLE) * 0.5e0 END AS precipitation_mm,

@@ -913,6 +913,7 @@ def _(spark, sf):
 for _table, _input, _broken, _entity in (
     ("customers", "customer_changes", "tier", spec.CUSTOMERS), ("restaurants", "restaurant_changes", None, spec.RESTAURANTS), ("menu_items", "menu_changes", None, spec.MENU_ITEMS),
     ("riders", "rider_changes", None, spec.RIDERS), ("orders", "order_changes", None, spec.ORDERS), ("order_items", "item_changes", None, spec.ORDER_ITEMS),
+    ("payments", "payments", None, spec.PAYMENTS),
 ):
     _swap = f"(SELECT * REPLACE (CASE WHEN {_entity.key} % 7 = 0 THEN 'x' ELSE tier END AS tier) FROM {_input}) AS t" if _broken else _input
 
@@ -1079,4 +1080,37 @@ def _(spark, sf):
     return table.read().select("rider_id", "trip_id", "started_ts", "ended_ts", "ping_count", "max_speed_kmph")
 
 
+def _drained(spark: SparkSession, base: str, stream: DataFrame, name: str) -> DataFrame:
+    """All a stream brings until it has nothing left, batch by batch appended to a table."""
+    append = lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{base}/out")
+    streams.foreach_batch_sink(stream, append, f"{base}/ck", f"{name}_{abs(hash(base))}").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("read_change_stream", "SELECT topic, count(*) AS messages, count(*) FILTER (WHERE kind = 'tombstone') AS tombstones, 3 AS batches FROM kinds GROUP BY topic", ("kinds",))
+def _(spark, sf):
+    """Three files, one in a trigger."""
+    base = tables.scratch_dir(spark)
+    raw = inputs.messages(given(spark, sf, "changes"))
+    raw.repartition(3, "offset").write.parquet(f"{base}/in")
+    got = _drained(spark, base, streams.read_change_stream(spark, f"{base}/in", schema=raw.schema, files=1), "changes")
+    return got.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("value").isNull()).alias("tombstones"), F.count_distinct("batch").cast("int").alias("batches"))
+
+
+@query("read_ping_stream", "SELECT rider_id, count(*) AS pings FROM pings GROUP BY rider_id")
+def _(spark, sf):
+    base = tables.scratch_dir(spark)
+    p = pings(spark, sf).drop("accuracy_m")
+    p.repartition(2).write.parquet(f"{base}/in")
+    got = _drained(spark, base, streams.read_ping_stream(spark, f"{base}/in", schema=p.schema, files=2), "pings")
+    return got.groupBy("rider_id").agg(F.count(F.lit(1)).alias("pings"))
+
+
+@query("scd2_specs", "SELECT 'restaurant' AS which, count(*) AS versions, count(DISTINCT restaurant_id) AS keys FROM versions_restaurant UNION ALL SELECT 'rider', count(*), count(DISTINCT rider_id) FROM versions_rider UNION ALL SELECT 'menu', count(*), count(DISTINCT menu_item_id) FROM versions_menu",
+       tuple(f"{a}_{w}" for w in DIMS for a in ("parsed", "versions")))
+def _(spark, sf):
+    each = [versions(spark, sf, w).agg(F.lit(w).alias("which"), F.count(F.lit(1)).alias("versions"), F.count_distinct(e.key).alias("keys")) for w, (e, _) in DIMS.items()]
+    return reduce(DataFrame.union, each).select("which", "versions", "keys")
+
+
 FLAGSHIP = QUERIES["agg_sla_daily"]
