@@ -65,17 +65,17 @@ class Scratch:
         self.drop()
 
 
+def text_in(doc: str, text: str) -> Column:
+    """The text in a struct column (null: empty)."""
+    return F.coalesce(F.col(doc).getField(text).cast("string"), F.lit(""))
+
+
 def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` written as (rid, doc, text): a row number that stays the same for every later
-    read, all columns of the row in one struct (so no name of theirs can clash) and the text
-    (null: empty)."""
-    return written(
-        docs.select(
-            F.monotonically_increasing_id().alias("rid"),
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-            F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
-        )
-    )
+    """``docs`` as (rid, doc, text): a row number that stays the same for every later read,
+    all columns of the row in one struct (so no name of theirs can clash) and the text (null:
+    empty).  The first two are written; the text is taken from the row when it is read."""
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return written(rows).withColumn("text", text_in("doc", text))
 
 
 def word_array(text: Column) -> Column:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import Scratch, numbered, written
+from tidelake.llm.shared import Scratch, numbered, text_in, written
 
 WINDOW = 400
 GRAM = 64
@@ -438,7 +438,7 @@ def dedup(docs: DataFrame, text: str = "text", gram_rows: int = GRAM_ROWS) -> Da
     with Scratch(docs.sparkSession) as temp:
         spans = repeated_spans(rows, temp, gram_rows)
         marked = written(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    joined = rows.join(marked.hint("shuffle_hash"), "rid", "left").select("doc", "text", "spans")
+    joined = rows.drop("text").join(marked.hint("shuffle_hash"), "rid", "left").select("doc", "spans").withColumn("text", text_in("doc", text))
     out = F.pandas_udf(_removed, "kept binary, n_removed long, n_spans long")
     return joined.withColumn("out", out(F.col("text").cast("binary"), F.col("spans").getField("start"), F.col("spans").getField("end"))).select(
         "doc",
