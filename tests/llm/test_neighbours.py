@@ -70,3 +70,34 @@ def test_recall_on_given_vectors(spark, sf):
     want, got = brute(rows), run(spark, rows)
     hits = sum(len({v for v, _ in want[q]} & {v for v, _ in got.get(q, [])}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_production_bound_gives_what_brute_force_gives(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)))]
+    same(run(spark, rows, visited=1.0), brute(rows))
+
+
+def test_production_bound_holds():
+    rng = np.random.default_rng(8)
+    x, q = rng.normal(size=(4000, 64)), rng.normal(size=(50, 64))
+    centre, turn = x.mean(axis=0), neighbours.rotation(64)
+    bits, length, own = neighbours.encode(x, centre, turn)
+    signs = np.unpackbits(bits, axis=1, count=64).astype(np.float32) * 2 - 1
+    guess, off = neighbours.estimate(q, (signs, length, own), np.zeros(len(x), dtype=int), centre[None, :], turn)
+    assert (q @ x.T <= guess + off).mean() > 0.998
+
+
+def test_recall_where_cells_are_skipped(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 100)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 150)
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(6000, 32)))]
+    want = brute(rows)
+
+    def recall(**more):
+        got = run(spark, rows, **more)
+        return sum(len({v for v, _ in want[q]} & {v for v, _ in got[q]}) for q in want) / sum(map(len, want.values()))
+
+    assert recall() >= 0.98
+    assert recall(visited=0.0) < 0.95  # 16 of the 60 cells: the others really are skipped

@@ -38,7 +38,7 @@ LEAST_VISITED = 16
 #: Vectors of a block.
 BLOCK_ROWS = 16_384
 #: Standard deviations of the estimate's error within which it is trusted.
-SIGMAS = 1.9
+SIGMAS = 3.0
 #: Vectors looked up first, by estimate, to find what the others must reach.
 FIRST = 64
 SEED = 7
