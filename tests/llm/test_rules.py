@@ -106,3 +106,37 @@ def test_discriminant_on_odd_rows_and_given_documents(spark):
     out = registry.op4_discriminant(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     held = out.where("held_out").select(F.avg((F.col("predicted") == F.col("quality")).cast("double")).alias("a")).first()["a"]
     assert held > 0.95
+
+
+def test_covering_goes_on_after_an_imprecise_rule(spark):
+    # b > 0.5 gains most and no rule that begins with it is precise; c tells the other bad rows
+    rng = random.Random(9)
+    rows = []
+    for i in range(3000):
+        kind = rng.random()
+        high = kind < 0.25 or kind > 0.9
+        b = rng.uniform(0.5, 1) if high else rng.uniform(0, 0.5)
+        rows.append((i, b, float(0.25 <= kind < 0.3), 0 if kind < 0.3 else 1))
+    df = spark.createDataFrame(rows, "doc_id long, b double, c double, label int")
+    found = rules.learn(df, ("b", "c"))
+    told = df.withColumn("good", found.good())
+    assert told.where("label = 0 and c = 1 and good").count() == 0
+    assert told.where("label = 1 and not good").count() <= 20
+
+
+def test_a_list_may_be_long(spark):
+    # 15 separate bad values of one statistic
+    rows = [(i, float(i % 60), 0 if i % 60 % 4 == 0 else 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, a double, label int")
+    told = df.withColumn("good", rules.learn(df, ("a",)).good())
+    assert told.where("label = 1 and not good").count() == 0
+    assert told.where("label = 0 and good").count() == 0
+
+
+def test_shares_rejected_of_given_labels(spark):
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        labels = spark.read.parquet(f"{sf}/labels.parquet")
+        out, _ = rules.judged(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+        out = out.join(labels, "doc_id").groupBy("quality").agg(F.avg((~F.col("kept")).cast("double")).alias("a")).collect()
+        share = {r.quality: r.a for r in out}
+        assert share[0] > 0.95 and share[1] < 0.05

@@ -2,9 +2,11 @@
 
 All of it is DataFrame expressions.  Sequential covering: a rule grows by the threshold that
 gains most (FOIL's gain), on rows that no rule before it covers; it is pruned back to the
-prefix that does best on rows set aside; it stands if it is precise there.  Each step is one
-grouped count over the labelled statistics, whose result has a row for each statistic and
-bin, and the list that comes out is one ordered conditional expression.
+prefix that does best on rows set aside; it stands if it is precise there.  If it is not, rules
+grow from the next best leading conditions, and the list ends only when no leading condition
+gives a rule that stands.  Each step is one grouped count over the labelled statistics, whose
+result has a row for each rule in question, statistic and bin, and the list that comes out is
+one ordered conditional expression.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ STATISTICS = (
     "dup_line_share", "repeat_share", "distinct_share",
 )
 BINS = 48
-RULES = 12
 CONDITIONS = 4
+#: Rules that grow side by side once the best one has failed.
+ABREAST = 64
 #: Share of bad rows that a rule needs among those it covers, in growing and on the rows set aside.
 PRECISION = 0.97
 LEAST_ROWS = 4
@@ -168,75 +171,110 @@ def learn(rows: DataFrame, statistics: tuple[str, ...] = STATISTICS, label: str
     binned = written(narrow.select("bad", "aside", *statistics, *[_bin(s, thresholds[s]).alias(f"__{s}") for s in statistics]))
     found = DecisionList()
     left = binned
-    while len(found.rules) < RULES:
-        rule = _grown(left.where("not aside"), statistics, thresholds)
-        rule = _pruned(left.where("aside"), rule) if rule else None
-        if not rule:
-            break
+    while rule := _next(left, statistics, thresholds):
         found.rules.append(rule)
         left = binned.where(found.good())
     return found
 
 
+def _next(rows: DataFrame, statistics: tuple[str, ...], thresholds: dict[str, list[float]]) -> list[Condition] | None:
+    """The first rule, by the gain of its leading condition, that stands on the rows set aside."""
+    growing, aside = rows.where("not aside"), rows.where("aside")
+    leads = _gains(_counts(growing, [[]], statistics)[0], statistics, thresholds)
+    leads = [c for _, c in sorted(leads, key=lambda x: -x[0])]
+    at, n = 0, 1
+    while at < len(leads):
+        for rule in _pruned(aside, _grown(growing, leads[at : at + n], statistics, thresholds)):
+            if rule:
+                return rule
+        at, n = at + n, ABREAST
+    return None
+
+
 def _bin(statistic: str, thresholds: list[float]) -> Column:
     """How many thresholds lie below the value."""
     return F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: t < F.col(statistic)))
 
 
-def _counts(rows: DataFrame, statistics: tuple[str, ...]) -> dict[str, dict[int, tuple[int, int]]]:
-    """Bad and good rows by statistic and bin."""
+def _holding(rules: list[list[Condition]]) -> Column:
+    """The numbers, from 0, of all rules that hold; a row for each."""
+    return F.explode(F.array_compact(F.array(*[F.when(reduce(lambda a, b: a & b, [c.column() for c in r], F.lit(True)), i) for i, r in enumerate(rules)])))
+
+
+def _counts(rows: DataFrame, rules: list[list[Condition]], statistics: tuple[str, ...]) -> list[dict[str, dict[int, tuple[int, int]]]]:
+    """Of the rows that each rule covers, bad and good ones by statistic and bin."""
     each = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"__{s}").alias("bin")) for s in statistics])).alias("x")
-    sums = rows.select("bad", each).groupBy("x.s", "x.bin").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
-    out: dict[str, dict[int, tuple[int, int]]] = {s: {} for s in statistics}
-    for r in sums.collect():  # a row for each statistic and bin
-        out[r["s"]][r["bin"]] = (r["b"], r["g"])
+    covered = rows.select("*", _holding(rules).alias("rule")).select("rule", "bad", each)
+    sums = covered.groupBy("rule", "x.s", "x.bin").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
+    out: list[dict[str, dict[int, tuple[int, int]]]] = [{s: {} for s in statistics} for _ in rules]
+    for r in sums.collect():  # a row for each rule, statistic and bin
+        out[r["rule"]][r["s"]][r["bin"]] = (r["b"], r["g"])
     return out
 
 
-def _grown(rows: DataFrame, statistics: tuple[str, ...], thresholds: dict[str, list[float]]) -> list[Condition] | None:
-    rule: list[Condition] = []
-    steps = 0
-    while steps < CONDITIONS:
-        covered = rows.where(reduce(lambda a, b: a & b, [c.column() for c in rule])) if rule else rows
-        counts = _counts(covered, statistics)
-        bad = sum(b for b, _ in counts[statistics[0]].values())
-        good = sum(g for _, g in counts[statistics[0]].values())
-        if bad < LEAST_ROWS or bad >= PRECISION * (bad + good) and rule:
-            break
-        base = math.log2(bad / (bad + good))
-        best = (0.0, None)
-        for s in statistics:
-            b = g = 0
-            for i, t in enumerate(thresholds[s]):
-                x, y = counts[s].get(i, (0, 0))
-                b, g = b + x, g + y
-                for above, p, n in ((True, bad - b, good - g), (False, b, g)):
-                    if p >= LEAST_ROWS and p + n < bad + good:
-                        gain = p * (math.log2(p / (p + n)) - base)
-                        if gain > best[0] + 1e-9:
-                            best = (gain, Condition(s, above, t))
-        if best[1] is None:
+def _total(counts: dict[str, dict[int, tuple[int, int]]], statistics: tuple[str, ...]) -> tuple[int, int]:
+    found = counts[statistics[0]].values()
+    return sum(b for b, _ in found), sum(g for _, g in found)
+
+
+def _gains(counts: dict[str, dict[int, tuple[int, int]]], statistics: tuple[str, ...], thresholds: dict[str, list[float]]) -> list[tuple[float, Condition]]:
+    """All conditions that gain something, with their gains; none where too few bad rows are left."""
+    bad, good = _total(counts, statistics)
+    if bad < LEAST_ROWS:
+        return []
+    base = math.log2(bad / (bad + good))
+    out = []
+    for s in statistics:
+        b = g = 0
+        for i, t in enumerate(thresholds[s]):
+            x, y = counts[s].get(i, (0, 0))
+            b, g = b + x, g + y
+            for above, p, n in ((True, bad - b, good - g), (False, b, g)):
+                if p >= LEAST_ROWS and p + n < bad + good:
+                    gain = p * (math.log2(p / (p + n)) - base)
+                    if gain > 1e-9:
+                        out.append((gain, Condition(s, above, t)))
+    return out
+
+
+def _grown(rows: DataFrame, leads: list[Condition], statistics: tuple[str, ...], thresholds: dict[str, list[float]]) -> list[list[Condition]]:
+    """A rule from each leading condition; all grow by one condition in a step."""
+    rules = [[c] for c in leads]
+    growing = list(range(len(rules)))
+    for _ in range(CONDITIONS - 1):
+        still = []
+        for i, counts in zip(growing, _counts(rows, [rules[i] for i in growing], statistics)):
+            bad, good = _total(counts, statistics)
+            if bad >= PRECISION * (bad + good):
+                continue
+            found = _gains(counts, statistics, thresholds)
+            if found:
+                best = max(found, key=lambda x: x[0])[1]
+                rules[i] = [c for c in rules[i] if (c.statistic, c.above) != (best.statistic, best.above)] + [best]
+                still.append(i)
+        growing = still
+        if not growing:
             break
-        rule = [c for c in rule if (c.statistic, c.above) != (best[1].statistic, best[1].above)] + [best[1]]
-        steps += 1
-    return rule or None
-
-
-def _pruned(rows: DataFrame, rule: list[Condition]) -> list[Condition] | None:
-    """The prefix of a rule that tells best on rows set aside; None if none is precise there."""
-    sums, holds = [], None
-    for i, c in enumerate(rule):
-        holds = c.column() if holds is None else holds & c.column()
-        sums += [F.count_if(holds & F.col("bad")).alias(f"b{i}"), F.count_if(holds & ~F.col("bad")).alias(f"g{i}")]
-    r = rows.agg(*sums).first()
-    best = None
-    for i in range(len(rule)):
-        b, g = r[f"b{i}"], r[f"g{i}"]
-        if b >= LEAST_ROWS / 2 and b >= PRECISION * (b + g):
-            value = (b - g) / (b + g) * math.sqrt(b)
-            if best is None or value > best[0]:
-                best = (value, i + 1)
-    return rule[: best[1]] if best else None
+    return rules
+
+
+def _pruned(rows: DataFrame, rules: list[list[Condition]]) -> list[list[Condition] | None]:
+    """Of each rule, the prefix that tells best on rows set aside; None if none is precise there."""
+    prefixes = [r[: k + 1] for r in rules for k in range(len(r))]
+    sums = rows.select("bad", _holding(prefixes).alias("rule")).groupBy("rule")
+    counts = {r["rule"]: (r["b"], r["g"]) for r in sums.agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g")).collect()}
+    out, at = [], 0
+    for rule in rules:
+        best = None
+        for i in range(len(rule)):
+            b, g = counts.get(at + i, (0, 0))
+            if b >= LEAST_ROWS / 2 and b >= PRECISION * (b + g):
+                value = (b - g) / (b + g) * math.sqrt(b)
+                if best is None or value > best[0]:
+                    best = (value, i + 1)
+        out.append(rule[: best[1]] if best else None)
+        at += len(rule)
+    return out
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> tuple[DataFrame, DecisionList]:
