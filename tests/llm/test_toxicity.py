@@ -92,3 +92,19 @@ def test_held_out_accuracy_on_given_documents(spark):
     out = registry.op5_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("quality = 1").toPandas()
     assert out[out.toxic == 0].predicted.mean() < 0.03
     assert out[out.toxic == 1].predicted.mean() > 0.5
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["i   d   i   o   t", "i / d / i / o / t", "i  d  i  o  t   m  o  r  o  n   i  d  i  o  t   m  o  r  o  n   i  d  i  o  t   m  o  r  o  n", "idi" + "o" * 200 + "t",
+     "/".join(["river", "m0ron", "garden"] * 10)],
+)
+def test_wide_and_long_disguises_are_seen_through(model, text):
+    decode = toxicity.Decoder(model["costs"])
+    assert toxicity.score_text(f"the river and {text} of the garden", model, decode) >= toxicity.REJECT
+
+
+def test_stretches_are_decoded_whole(model):
+    decode = toxicity.Decoder(model["costs"])
+    assert toxicity.restored("d i s g u s t i n g m o r o n r i v e r w i n t e r s u m m e r l e t t e r", decode)[-1].replace(" ", "") == "disgustingmoronriverwintersummerletter"
+    assert "sun" in toxicity.restored("s u n", decode) and toxicity.restored("mor0,", decode)

@@ -47,13 +47,16 @@ COST = {"self": 0.1, "lookalike": 1.0, "skip": 1.2, "dropped": 15.0, "break": 1.
 
 _LEET = "".join(LOOKALIKES)
 _LETTER = r"[^\W\d_]"
-#: A token with a look-alike before or between letters, or a letter three times running.
-_ODD = re.compile(rf"{_LETTER}[{re.escape(_LEET)}]+{_LETTER}|(?:^|[^\w]){'[' + re.escape(_LEET) + ']'}+{_LETTER}{{2}}|({_LETTER})\1\1|{_LETTER}{{2}}[013457@$]+$")
-#: Single characters with one and the same kind of gap between them.
-_SPACED = re.compile(rf"(?<![\w{re.escape(_LEET)}])(?:[\w{re.escape(_LEET)}][ .\-_*~]{{1,2}}){{3,39}}[\w{re.escape(_LEET)}](?![\w])")
+_ANY_LEET = f"[{re.escape(_LEET)}]"
+#: A token with a look-alike before, between or after letters, or a letter three times running.
+_ODD = re.compile(rf"{_LETTER}{_ANY_LEET}+{_LETTER}|(?:^|[^\w]){_ANY_LEET}+{_LETTER}{{2}}|({_LETTER})\1\1|{_LETTER}{{2}}[0-9@$+|€§]+$")
+#: What may follow a token's last look-alike.
+_AFTER = ".,;:!?)]}\"'»“”’…"
+#: Three or more single characters with something between them, of any length.
+_SPACED = re.compile(rf"(?<![\w{re.escape(_LEET)}])(?:[\w{re.escape(_LEET)}][^\w{re.escape(_LEET)}]+){{2,}}[\w{re.escape(_LEET)}](?!\w)")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD = re.compile(rf"{_LETTER}+")
-#: Longest token and stretch that is decoded; disguised words are shorter, data URLs are not.
+#: Longest stretch whose decoded form is remembered.
 LONGEST = 80
 
 # --- character model --------------------------------------------------------------------
@@ -121,6 +124,8 @@ class Decoder:
         return out
 
     def __call__(self, text: str) -> str:
+        if len(text) > LONGEST:
+            return self.decode(text)
         found = self.known.get(text)
         if found is None:
             if len(self.known) > 50_000:
@@ -154,10 +159,8 @@ class Decoder:
 
 def restored(text: str, decode: Decoder) -> list[str]:
     """The decoded form of each disguised stretch of a text (already in lower case)."""
-    out = [decode(t) for t in set(_TOKEN.findall(text)) if len(t) <= LONGEST and _ODD.search(t)]
-    for m in _SPACED.finditer(text):
-        if len(m[0]) <= LONGEST:
-            out.append(decode(m[0]))
+    out = [decode(t) for t in set(_TOKEN.findall(text)) if _ODD.search(t) or _ODD.search(t.rstrip(_AFTER))]
+    out += [decode(m[0]) for m in _SPACED.finditer(text)]
     return out
 
 
