@@ -66,3 +66,11 @@ def test_late_pings_are_split_from_the_batch(spark):
     good, late = streams.split_late(df, at)
     assert ([r.n for r in good.collect()], [r.n for r in late.collect()]) == ([1], [2])
     assert streams.split_late(df, None)[0].count() == 2
+
+
+def test_state_as_of_a_step_takes_all_orders(spark):
+    test_query_equals_its_sql(spark, "state_as_of_step")
+    found = {r.order_id: r.lsn for r in registry.QUERIES["state_as_of_step"](spark, SF).collect()}
+    last = {r.order_id: r.lsn for r in registry.order_rows(spark, SF).groupBy("order_id").max("lsn").toDF("order_id", "lsn").collect()}
+    assert found.keys() == last.keys()
+    assert sum(found[k] < last[k] for k in last) > len(last) / 4

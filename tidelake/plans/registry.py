@@ -361,6 +361,12 @@ def _(spark, sf):
     return state.state_as_of(order_rows(spark, sf), ["order_id"], F.lit(40_000)).select("order_id", "status", "is_deleted", "lsn")
 
 
+@query("state_as_of_step", _LATEST.format(c="order_id, status, is_deleted, lsn", k="order_id", t="(SELECT * FROM order_changes WHERE lsn <= order_id * 8 + 1) AS upto"))
+def _(spark, sf):
+    """All orders, each as of a position inside its own history."""
+    return state.state_as_of(order_rows(spark, sf), ["order_id"], F.col("order_id") * 8 + 1).select("order_id", "status", "is_deleted", "lsn")
+
+
 @query("merge_insert_only", "SELECT DISTINCT source_table, pk, lsn, op FROM changes")
 def _(spark, sf):
     rows = given(spark, sf, "changes").select("source_table", "pk", "lsn", "op")
