@@ -49,13 +49,16 @@ FROM sizes WHERE lot IN ('00', '01', '02')
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document; null texts have fingerprint 0."""
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without what a 400-byte string covers that also starts elsewhere; kept is what is
+    left as text.  Null texts count as empty."""
     out = suffix.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), suffix.readable(F.col("kept")).alias("kept"))
 
 
 def op4_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:

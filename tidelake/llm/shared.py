@@ -65,6 +65,14 @@ class Scratch:
         self.drop()
 
 
+def new_name(docs: DataFrame, wish: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def text_in(doc: str, text: str) -> Column:
     """The text in a struct column (null: empty)."""
     return F.coalesce(F.col(doc).getField(text).cast("string"), F.lit(""))

@@ -268,11 +268,13 @@ def roots(firsts: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return joined.withColumn("root", F.coalesce("root", "fp")).drop("node")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id
-    (null ids last; of equal ids the first row)."""
+    (null ids last; of equal ids the first row).  All null texts, empty ones and those without
+    words have fingerprint 0 and so are one group.  Rows that repeat are one group each."""
     rows = numbered(docs, text_col)
-    marked = written(fingerprints(rows.select("rid", F.col("doc").getField(id_col).alias("id"), "text"), F.col("text")).select("rid", "id", "fp"))
+    marked = fingerprints(rows.select("rid", F.col("doc").getField(id_col).alias("id"), "text"), F.col("text"), shingle=shingle)
+    marked = written(marked.select("rid", "id", "fp"))
     order = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
     firsts = marked.groupBy("fp").agg(F.min(order).alias("first"))
     kept = roots(firsts, max_bits).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
