@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -123,3 +124,60 @@ def test_given_lengths_are_taken(spark):
     df = spark.createDataFrame([(1, "x", "s", "c"), (2, "x", "s", None)], DOCS)
     out = packing.packed(df, length=F.when(F.col("doc_id") == 1, 5)).collect()
     assert sorted((r.doc_id, r.n_tokens) for r in out) == [(1, 5), (2, 0)]
+
+
+def plain_packing(rows, longest, buckets, budget):
+    """The same result from plain loops: (doc_id, chunk, start, n_tokens, bucket, batch, slot)."""
+    chunks = []
+    for i, text in rows:
+        n = len([w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w])
+        chunks += [(i, k, k * longest, min(longest, n - k * longest)) for k in range(max(1, -(-n // longest)))]
+    histogram = Counter(c[3] for c in chunks if c[3])
+    lengths = sorted(histogram)
+    best = {(0, 0): (0, ())}
+    for k in range(1, buckets + 1):
+        for j in range(len(lengths) + 1):
+            options = [best[k - 1, j]] if (k - 1, j) in best else []
+            for i in range(j):
+                if (k - 1, i) in best:
+                    cost, cut = best[k - 1, i]
+                    options.append((cost + sum(histogram[x] * (lengths[j - 1] - x) for x in lengths[i:j]), (*cut, lengths[j - 1])))
+            if options:
+                best[k, j] = min(options)
+    least = best[buckets, len(lengths)][0]
+    return chunks, histogram, least
+
+
+def test_the_query_against_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    chunks, histogram, least = plain_packing(rows, 256, 5, 1024)
+    out = packing.packed(docs, longest=256, buckets=5, budget=1024).collect()
+    assert sum(r.padding for r in out if r.n_tokens) == least
+    cut = sorted({r.bucket for r in out} - {0})
+    want, place = [], Counter()
+    for i, k, start, n in sorted(chunks, key=lambda c: (-c[3], c[0], c[1])):
+        bucket = min(b for b in cut if b >= n) if n else 0
+        each = 1024 // bucket if bucket else 1024
+        want.append((i, k, start, n, bucket, place[bucket] // each, place[bucket] % each, bucket - n))
+        place[bucket] += 1
+    assert sorted(map(tuple, out)) == sorted(want)
+
+
+def test_every_length_frequent(spark, monkeypatch):
+    """2,048 lengths, each with more chunks than a shard holds: the plan stays as small."""
+    monkeypatch.setattr(packing, "SHARD_ROWS", 2)
+    df = spark.range(2_048 * 3).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), (F.col("id") % 2_048 + 1).alias("n"))
+    out = packing.packed(df, length=F.col("n"))
+    rows = out.collect()
+    assert len(rows) == 2_048 * 3
+    assert len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows)
+    for b in {r.bucket for r in rows}:
+        places = sorted(r.batch * (packing.BUDGET // b) + r.slot for r in rows if r.bucket == b)
+        assert places == list(range(len(places)))
+
+
+def test_very_long_texts_are_packed_whole(spark):
+    df = spark.createDataFrame([(1, "w " * 300_000, "s", "c")], DOCS)
+    out = packing.packed(df).collect()
+    assert sum(r.n_tokens for r in out) == 300_000 and sorted(r.chunk for r in out) == list(range(-(-300_000 // packing.LONGEST)))

@@ -15,12 +15,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.shared import numbered, word_count, written
+from tidelake.llm.shared import word_count, written
 
 LONGEST = 2_048
 BUCKETS = 16
 BUDGET = 32_768
-SHARD_ROWS = 50_000
+#: Chunks of a shard on average, at most; what is broadcast is a row for each length.
+SHARD_ROWS = 20_000
 
 
 def bounds(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
@@ -70,7 +71,8 @@ def packed(
 
     length: tokens of a row, by default the words of its text.  chunk counts a document's
     chunks from 0; its tokens are start..start+n_tokens-1.  bucket: the bound its batch is
-    padded to; batch counts the bucket's batches from 0, slot the places in it.  Documents
+    padded to; batch counts the bucket's batches from 0, slot the places in it.  Equal lengths
+    go by hash of the row, then by id and chunk.  Documents
     without tokens (null and empty texts) take one chunk of length 0 in bucket 0.  Rows that
     repeat are packed each.  No rows: no rows.
     """
@@ -88,16 +90,10 @@ def packed(
     counted = chunks.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()  # at most longest + 1 rows
     histogram = {r["n_tokens"]: r["n"] for r in counted}
     cut = bounds({k: v for k, v in histogram.items() if k > 0}, buckets)
-    bucket = F.lit(0)
-    for b in reversed(cut):
-        bucket = F.when(F.col("n_tokens") <= b, F.lit(b)).otherwise(bucket)
-    bucket = F.when(F.col("n_tokens") == 0, F.lit(0)).otherwise(bucket)
-    # shards of a bucket: ranges of lengths, and inside a frequent length a hash
-    shards = F.lit(1)
-    for n, c in sorted(histogram.items()):
-        if c > SHARD_ROWS:
-            shards = F.when(F.col("n_tokens") == n, F.lit(-(-c // SHARD_ROWS))).otherwise(shards)
-    chunks = chunks.withColumn("bucket", bucket.cast("long")).withColumn("shard", F.pmod(F.xxhash64("rid", "chunk"), shards.cast("long")))
+    # shards of a bucket: its lengths, and inside a frequent length a hash; the plan is as large for any histogram
+    plan = [(n, next((b for b in cut if n <= b), 0) if n else 0, -(-c // SHARD_ROWS)) for n, c in sorted(histogram.items())]
+    plan = docs.sparkSession.createDataFrame(plan, "n_tokens long, bucket long, shards long")
+    chunks = chunks.join(F.broadcast(plan), "n_tokens").withColumn("shard", F.pmod(F.xxhash64("rid", "chunk"), F.col("shards"))).drop("shards")
     own = Window.partitionBy("n_tokens", "shard").orderBy("doc_id", "chunk", "rid")
     placed = chunks.withColumn("place", F.row_number().over(own) - 1)
     sizes_of = chunks.groupBy("bucket", "n_tokens", "shard").agg(F.count(F.lit(1)).alias("n"))
