@@ -140,3 +140,16 @@ def test_shares_rejected_of_given_labels(spark):
         out = out.join(labels, "doc_id").groupBy("quality").agg(F.avg((~F.col("kept")).cast("double")).alias("a")).collect()
         share = {r.quality: r.a for r in out}
         assert share[0] > 0.95 and share[1] < 0.05
+
+
+def test_kept_follows_the_list_row_by_row(spark):
+    """The whole query on whole tables against the list applied by plain Python."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    out, found = rules.judged(docs, labels)
+    rows = out.collect()
+    assert len(rows) == docs.count() and found.rules
+    for r in rows:
+        failed = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
+        nth = next((i for i, rule in enumerate(found.rules, 1) if all((r[c.statistic] > c.threshold) == c.above for c in rule)), None)
+        assert (r.base_failed, r.rule, r.kept) == (failed, nth, not failed and nth is None)

@@ -132,15 +132,18 @@ FROM urls LEFT JOIN ruled USING (rid) LEFT JOIN hit USING (rid)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in chunks, length buckets and batches; null texts take one empty chunk."""
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rule and the decision list's verdict; null texts have no words."""
     out, _ = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document; null sources are one source, null texts have size 0."""
     out = mixing.copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -3,10 +3,10 @@
 All of it is DataFrame expressions.  Sequential covering: a rule grows by the threshold that
 gains most (FOIL's gain), on rows that no rule before it covers; it is pruned back to the
 prefix that does best on rows set aside; it stands if it is precise there.  If it is not, rules
-grow from the next best leading conditions, and the list ends only when no leading condition
-gives a rule that stands.  Each step is one grouped count over the labelled statistics, whose
-result has a row for each rule in question, statistic and bin, and the list that comes out is
-one ordered conditional expression.
+grow from the best conditions of every statistic in either direction, and the list ends only
+when none of them gives a rule that stands.  Each step is one grouped count over the distinct
+binned statistics of the labelled rows, whose result has a row for each rule in question,
+statistic and bin, and the list that comes out is one ordered conditional expression.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ STATISTICS = (
 )
 BINS = 48
 CONDITIONS = 4
-#: Rules that grow side by side once the best one has failed.
-ABREAST = 64
 #: Share of bad rows that a rule needs among those it covers, in growing and on the rows set aside.
 PRECISION = 0.97
 LEAST_ROWS = 4
@@ -168,7 +166,10 @@ def learn(rows: DataFrame, statistics: tuple[str, ...] = STATISTICS, label: str
     if len(cuts) < 2:
         return DecisionList()
     thresholds = {s: sorted({float(v) for r in cuts for v in r[s]}) for s in statistics}
-    binned = written(narrow.select("bad", "aside", *statistics, *[_bin(s, thresholds[s]).alias(f"__{s}") for s in statistics]))
+    # rows alike in every bin are alike to every rule: one row stands for them, with their number
+    bins = [f"__{s}" for s in statistics]
+    binned = narrow.select("bad", "aside", *statistics, *[_bin(s, thresholds[s]).alias(b) for s, b in zip(statistics, bins)])
+    binned = written(binned.groupBy("bad", "aside", *bins).agg(F.count(F.lit(1)).alias("rows"), *[F.min(s).alias(s) for s in statistics]))
     found = DecisionList()
     left = binned
     while rule := _next(left, statistics, thresholds):
@@ -178,16 +179,21 @@ def learn(rows: DataFrame, statistics: tuple[str, ...] = STATISTICS, label: str
 
 
 def _next(rows: DataFrame, statistics: tuple[str, ...], thresholds: dict[str, list[float]]) -> list[Condition] | None:
-    """The first rule, by the gain of its leading condition, that stands on the rows set aside."""
+    """The first rule, by the gain of its leading condition, that stands on the rows set aside.
+
+    The rule from the best condition of all is tried alone; if it fails, rules grow side by
+    side from the best conditions of each statistic and direction.
+    """
     growing, aside = rows.where("not aside"), rows.where("aside")
-    leads = _gains(_counts(growing, [[]], statistics)[0], statistics, thresholds)
-    leads = [c for _, c in sorted(leads, key=lambda x: -x[0])]
-    at, n = 0, 1
-    while at < len(leads):
-        for rule in _pruned(aside, _grown(growing, leads[at : at + n], statistics, thresholds)):
+    best: dict[tuple[str, bool], tuple[float, Condition]] = {}
+    for gain, c in _gains(_counts(growing, [[]], statistics)[0], statistics, thresholds):
+        if gain > best.get((c.statistic, c.above), (0.0,))[0]:
+            best[c.statistic, c.above] = gain, c
+    leads = [c for _, c in sorted(best.values(), key=lambda x: -x[0])]
+    for some in (leads[:1], leads[1:]):
+        for rule in _pruned(aside, _grown(growing, some, statistics, thresholds)) if some else []:
             if rule:
                 return rule
-        at, n = at + n, ABREAST
     return None
 
 
@@ -201,11 +207,15 @@ def _holding(rules: list[list[Condition]]) -> Column:
     return F.explode(F.array_compact(F.array(*[F.when(reduce(lambda a, b: a & b, [c.column() for c in r], F.lit(True)), i) for i, r in enumerate(rules)])))
 
 
+def _bad_and_good() -> list[Column]:
+    return [F.sum(F.when(F.col("bad") == F.lit(y), F.col("rows")).otherwise(0)).alias(n) for y, n in ((True, "b"), (False, "g"))]
+
+
 def _counts(rows: DataFrame, rules: list[list[Condition]], statistics: tuple[str, ...]) -> list[dict[str, dict[int, tuple[int, int]]]]:
     """Of the rows that each rule covers, bad and good ones by statistic and bin."""
     each = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"__{s}").alias("bin")) for s in statistics])).alias("x")
-    covered = rows.select("*", _holding(rules).alias("rule")).select("rule", "bad", each)
-    sums = covered.groupBy("rule", "x.s", "x.bin").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
+    covered = rows.select("*", _holding(rules).alias("rule")).select("rule", "bad", "rows", each)
+    sums = covered.groupBy("rule", "x.s", "x.bin").agg(*_bad_and_good())
     out: list[dict[str, dict[int, tuple[int, int]]]] = [{s: {} for s in statistics} for _ in rules]
     for r in sums.collect():  # a row for each rule, statistic and bin
         out[r["rule"]][r["s"]][r["bin"]] = (r["b"], r["g"])
@@ -261,8 +271,8 @@ def _grown(rows: DataFrame, leads: list[Condition], statistics: tuple[str, ...],
 def _pruned(rows: DataFrame, rules: list[list[Condition]]) -> list[list[Condition] | None]:
     """Of each rule, the prefix that tells best on rows set aside; None if none is precise there."""
     prefixes = [r[: k + 1] for r in rules for k in range(len(r))]
-    sums = rows.select("bad", _holding(prefixes).alias("rule")).groupBy("rule")
-    counts = {r["rule"]: (r["b"], r["g"]) for r in sums.agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g")).collect()}
+    sums = rows.select("bad", "rows", _holding(prefixes).alias("rule")).groupBy("rule").agg(*_bad_and_good())
+    counts = {r["rule"]: (r["b"], r["g"]) for r in sums.collect()}
     out, at = [], 0
     for rule in rules:
         best = None
