@@ -31,13 +31,12 @@ def model(spark, corpus):
 
 @pytest.mark.parametrize("text", ["idiot", "1d10t", "!d!ot", "idiooooot", "i d i o t", "i.d.i.o.t", "m-o-r-o-n", "m0r0n", "IDIOT", "m0ron,"])
 def test_disguises_are_seen_through(model, text):
-    decode = toxicity.Decoder(model["costs"])
-    assert toxicity.score_text(f"the river and {text} of the garden", model, decode) >= toxicity.REJECT
+    assert toxicity.scorer(model)(f"the river and {text} of the garden") >= toxicity.REJECT
 
 
 @pytest.mark.parametrize("text", [None, "", " \n", "river 2024 $100 a a a a a", "www.example.com/?q=a1b2c3", "-----", "x" * 5000, "0" * 300, "日本語 テキスト"])
 def test_clean_texts_stay(model, text):
-    assert toxicity.score_text(text, model, toxicity.Decoder(model["costs"])) < toxicity.REJECT
+    assert toxicity.scorer(model)(text) < toxicity.REJECT
 
 
 def test_viterbi_finds_the_cheapest_path(model):
@@ -89,9 +88,15 @@ def test_without_labels_or_rows(spark, corpus):
 def test_held_out_accuracy_on_given_documents(spark):
     from tidelake.llm import registry
 
-    out = registry.op5_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("quality = 1").toPandas()
-    assert out[out.toxic == 0].predicted.mean() < 0.03
-    assert out[out.toxic == 1].predicted.mean() > 0.5
+    # labels mark some junk texts (quality 0) toxic that hold no toxic word: nothing can tell those
+    for sf, auc, recall in (("sf0.01", 0.95, 0.75), ("sf0.1", 0.97, 0.93)):
+        out = registry.op5_toxicity(spark, f"/root/testdata/{sf}").where("held_out").join(spark.read.parquet(f"/root/testdata/{sf}/labels.parquet"), "doc_id").toPandas()
+        assert out[out.toxic == 0].predicted.mean() <= 0.015
+        out = out[out.quality == 1]
+        toxic, clean = out[out.toxic == 1].score.to_numpy()[:, None], out[out.toxic == 0].score.to_numpy()
+        above = (toxic > clean).mean() + 0.5 * (toxic == clean).mean()
+        print(sf, above, (toxic >= toxicity.REJECT).mean(), (clean >= toxicity.REJECT).mean())
+        assert above >= auc and (toxic >= toxicity.REJECT).mean() >= recall
 
 
 @pytest.mark.parametrize(
@@ -100,11 +105,23 @@ def test_held_out_accuracy_on_given_documents(spark):
      "/".join(["river", "m0ron", "garden"] * 10)],
 )
 def test_wide_and_long_disguises_are_seen_through(model, text):
-    decode = toxicity.Decoder(model["costs"])
-    assert toxicity.score_text(f"the river and {text} of the garden", model, decode) >= toxicity.REJECT
+    assert toxicity.scorer(model)(f"the river and {text} of the garden") >= toxicity.REJECT
 
 
 def test_stretches_are_decoded_whole(model):
-    decode = toxicity.Decoder(model["costs"])
-    assert toxicity.restored("d i s g u s t i n g m o r o n r i v e r w i n t e r s u m m e r l e t t e r", decode)[-1].replace(" ", "") == "disgustingmoronriverwintersummerletter"
-    assert "sun" in toxicity.restored("s u n", decode) and toxicity.restored("mor0,", decode)
+    read = toxicity.Reader(model["costs"], sorted)
+    said = ["".join(x) for x in read("d i s g u s t i n g m o r o n r i v e r w i n t e r s u m m e r l e t t e r")]
+    assert any(len(x) > 20 and set(x) <= set("disgustingmoronriverwintersummerletter") for x in said)
+    assert ["sun"] in read("(x).. 's u n' yes") and len(read("mor0,")) == 1
+
+
+def test_what_is_remembered_makes_no_difference(model, monkeypatch):
+    texts = ["the 1d10t and i d i o t", "a b c the idiot. m0r0n!", "i/d/i/o/t x"] * 3
+    want = [toxicity.scorer(model)(t) for t in texts]
+    monkeypatch.setattr(toxicity, "REMEMBERED", 1)
+    assert [toxicity.scorer(model)(t) for t in texts] == want
+
+
+def test_a_column_of_the_scores_name_is_no_casualty(spark, model):
+    with pytest.raises(ValueError):
+        toxicity.scored(spark.createDataFrame([(1, "a", "en", "7")], DOCS), model)

@@ -62,6 +62,7 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; null texts are scored by their zeros, null ids are not held out."""
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 4) != 2)
     out = discriminant.scored(table(spark, sf_dir, "documents"), labels)
     return out.select(
@@ -78,6 +79,7 @@ def toxic_model(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; null texts get the base score, null ids are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxic_model(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).select(

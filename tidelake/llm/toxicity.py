@@ -6,10 +6,14 @@ by Viterbi: every observed character becomes a set of arcs (letters it may stand
 a word break), and the best path through that lattice under a character trigram model is the
 restored text.  The model's trigrams are counted over all texts given.
 
-Words of the plain and of the restored text are then looked up in a lexicon of words and word
-beginnings learned from labels.  A feature's evidence is a lower bound of the share of toxic
-documents among those that have it; the score combines them by noisy-or over the share of
-toxic documents among those that have none.
+Words of the plain and of the restored text, and their beginnings, are evidence as far as labels
+make them so.  A word is either of the few that mark toxic texts or one that says nothing; how
+often it stands in toxic and in clean texts gives the probability that it is a mark, and with it
+the share of toxic texts to expect among those that have it.  The score combines the shares by
+noisy-or over what is left for texts that have none.  No word is cut off for being rare: it
+counts by what its few texts tell.  Words that begin alike are one stem and tell one thing, by
+the strongest of their features; a second count gives each labelled text to that one alone, so
+that words which only stand beside a mark are none.
 """
 
 import math
@@ -20,19 +24,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.llm.shared import written
 
 #: Labelled rows a lexicon is learned from at most (those first in the order of their ids' hashes).
 FIT_ROWS = 50_000
-#: Entries a lexicon has at most, and the evidence (G statistic) and share of toxic documents each needs.
-LEXICON = 20_000
-LEAST_G = 24.0
-LEAST_SHARE = 0.9
+#: Share of all words that mark toxic texts, and of toxic texts among those that have such a word.
+MARKS = 0.002
+PURITY = 0.95
+#: What a feature must add to a score to be kept in the lexicon.
+LEAST_SHARE = 0.02
 #: Word beginnings that are features besides whole words.
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (3, 4, 5, 6, 7)
 #: Different words with one beginning that are told apart.
 MOST_WORDS = 4
 REJECT = 0.7
@@ -54,10 +59,12 @@ _ODD = re.compile(rf"{_LETTER}{_ANY_LEET}+{_LETTER}|(?:^|[^\w]){_ANY_LEET}+{_LET
 _AFTER = ".,;:!?)]}\"'»“”’…"
 #: Three or more single characters with something between them, of any length.
 _SPACED = re.compile(rf"(?<![\w{re.escape(_LEET)}])(?:[\w{re.escape(_LEET)}][^\w{re.escape(_LEET)}]+){{2,}}[\w{re.escape(_LEET)}](?!\w)")
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: A single character that no other stands beside.
+_SINGLE = re.compile(rf"(?<![\w{re.escape(_LEET)}])[\w{re.escape(_LEET)}](?![\w{re.escape(_LEET)}])")
+_SOLID = re.compile(rf"[\w{re.escape(_LEET)}]")
 _WORD = re.compile(rf"{_LETTER}+")
-#: Longest stretch whose decoded form is remembered.
-LONGEST = 80
+#: Tokens of which a worker remembers what is in them.
+REMEMBERED = 200_000
 
 # --- character model --------------------------------------------------------------------
 
@@ -98,11 +105,10 @@ def trigram_costs(counts: np.ndarray) -> np.ndarray:
 
 
 class Decoder:
-    """Viterbi decoding of one disguised stretch at a time; results are remembered."""
+    """Viterbi decoding of one disguised stretch at a time, of any length."""
 
     def __init__(self, costs: np.ndarray):
         self.costs = costs
-        self.known: dict[str, str] = {}
 
     def arcs(self, text: str) -> list[list[tuple[str, float]]]:
         """For each character, what it may stand for and at what cost."""
@@ -123,16 +129,6 @@ class Decoder:
             out.append(options)
         return out
 
-    def __call__(self, text: str) -> str:
-        if len(text) > LONGEST:
-            return self.decode(text)
-        found = self.known.get(text)
-        if found is None:
-            if len(self.known) > 50_000:
-                self.known.clear()
-            found = self.known[text] = self.decode(text)
-        return found
-
     def decode(self, text: str) -> str:
         """The cheapest path; states are the last two letters written."""
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
@@ -157,85 +153,100 @@ class Decoder:
         return "".join(reversed(letters)).strip()
 
 
-def restored(text: str, decode: Decoder) -> list[str]:
-    """The decoded form of each disguised stretch of a text (already in lower case)."""
-    out = [decode(t) for t in set(_TOKEN.findall(text)) if _ODD.search(t) or _ODD.search(t.rstrip(_AFTER))]
-    out += [decode(m[0]) for m in _SPACED.finditer(text)]
-    return out
+class Reader:
+    """What the tokens of texts say: ``of`` maps the words found in a token or stretch, plain and
+    restored, to whatever is asked; it runs once for each token while that is remembered."""
+
+    def __init__(self, costs: np.ndarray, of):
+        self.decode = Decoder(costs).decode
+        self.of = of
+        self.known: dict[str, tuple] = {}
+
+    def token(self, t: str) -> tuple:
+        """(whether it may be part of a spaced stretch, what it says)."""
+        words = set(_WORD.findall(t))
+        bare = t.rstrip(_AFTER)
+        if _ODD.search(t) or (bare != t and _ODD.search(bare)):
+            words.update(_WORD.findall(self.decode(t)))
+        single = len(_SINGLE.findall(t))
+        part = single if single or _SOLID.search(t) else -1  # -1: nothing but what may stand between
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        found = self.known[t] = (part, self.of(words))
+        return found
 
+    def __call__(self, text: str) -> list:
+        """What each token of a text says, and each of its spaced stretches; empty answers are left out."""
+        out, known = [], self.known
+        tokens = text.lower().split()
+        begin = singles = 0
+        for i, t in enumerate(tokens):
+            part, says = known.get(t) or self.token(t)
+            if says:
+                out.append(says)
+            if part:
+                singles += max(part, 0)
+            else:
+                if singles > 2:
+                    out += self.stretches(tokens[begin:i])
+                begin, singles = i + 1, 0
+        if singles > 2:
+            out += self.stretches(tokens[begin:])
+        return out
 
-def words_of(text: str, decode: Decoder) -> set[str]:
-    """Words of the plain and the restored text."""
-    low = text.lower()
-    words = set(_WORD.findall(low))
-    for r in restored(low, decode):
-        words.update(_WORD.findall(r))
-    return words
-
-
-def features(words: set[str]) -> dict[str, int]:
-    """A text's words, each 1, and word beginnings, marked by a final ``*``, each with the
-    number of different words that begin so and are longer."""
-    out = dict.fromkeys(words, 1)
-    for w in words:
-        for n in PREFIXES:
-            if len(w) <= n:
-                break
-            f = w[:n] + "*"
-            out[f] = out.get(f, 0) + 1
-    return out
+    def stretches(self, tokens: list[str]) -> list:
+        found = (self.of(set(_WORD.findall(self.decode(m[0])))) for m in _SPACED.finditer(" ".join(tokens)))
+        return [x for x in found if x]
 
 
-def marked(found: dict[str, int]) -> list[str]:
-    """The features of a text as the lexicon has them: a beginning that 2, 3 or more words
-    share counts for each number up to that, as ``beginning*2`` and so on."""
-    out = list(found)
-    for f, n in found.items():
-        if n > 1:
-            out += [f"{f}{k}" for k in range(2, min(n, MOST_WORDS) + 1)]
+def features(words: set[str]) -> set[str]:
+    """Words, and the beginnings of longer ones: ``abc*`` if a word begins so, ``abc*2`` and so on
+    if that many different words do."""
+    out = set(words)
+    for beginning, n in Counter(w[:n] for w in words for n in PREFIXES if len(w) > n).items():
+        out.add(beginning + "*")
+        for k in range(2, min(n, MOST_WORDS) + 1):
+            out.add(f"{beginning}*{k}")
     return out
 
 
-# --- lexicon ----------------------------------------------------------------------------
-
-
-def _surprise(k: float, n: float, rate: float) -> float:
-    """G statistic of k toxic among n documents against the overall rate; 0 if not above it."""
-    if k <= n * rate:
-        return 0.0
-    g = k * math.log(k / (n * rate))
-    if n > k:
-        g += (n - k) * math.log((n - k) / (n * (1 - rate)))
-    return 2 * g
+def strongest(words: set[str], lexicon: dict[str, float]) -> dict[str, str]:
+    """By stem, the feature with the largest share; of equal ones the longest, then the first by name."""
+    best: dict[str, tuple[float, int, str]] = {}
+    for f in features(words):
+        share = lexicon.get(f)
+        if share is not None:
+            stem = f[: PREFIXES[0]]
+            best[stem] = min(best.get(stem, (0.0, 0, "")), (-share, -len(f), f))
+    return {stem: f for stem, (_, _, f) in best.items()}
 
 
-def _least_share(k: float, n: float, z: float = 1.0) -> float:
-    """Lower end of Wilson's interval for k of n, one standard deviation wide to each side."""
-    p = k / n
-    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+# --- lexicon ----------------------------------------------------------------------------
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS) -> dict:
     """A model: costs (the character model, from all of ``docs``), lexicon and base.
 
     ``labels``: (id, label 0 or 1), the rows that may be learned from; null ids and labels are
-    left out, an id that is labelled both ways counts once for each and equal texts count once.  ``fit_rows`` bounds
-    what is broadcast, the lexicon is bounded by LEXICON.
+    left out, an id that is labelled both ways counts once for each and equal texts count once.
+    ``fit_rows`` bounds what is broadcast and, with it, the lexicon.
     """
     costs = trigram_costs(trigram_counts(docs, text))
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     sample = known.orderBy(F.xxhash64("id"), "id", "y").limit(fit_rows)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(sample), "id").select("y", "text")
     # a text that is copied many times is one piece of evidence
-    rows = rows.dropDuplicates(["y", "text"])
+    rows = written(rows.dropDuplicates(["y", "text"]))
     shared = rows.sparkSession.sparkContext.broadcast(costs)
 
     def count(batches):
-        decode = Decoder(shared.value)
+        read = Reader(shared.value, tuple)
         toxic, clean = Counter(), Counter()
         for batch in batches:
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if y else clean).update([*marked(features(words_of(t or "", decode))), ""])
+            for y, t in zip(batch.column(0), batch.column(1)):
+                found = features({w for words in read(t.as_py() or "") for w in words})
+                found.add("")
+                (toxic if y.as_py() else clean).update(found)
             if len(toxic) + len(clean) > 200_000:
                 yield _counted(toxic, clean)
                 toxic, clean = Counter(), Counter()
@@ -247,18 +258,29 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     nt, nc = (total["toxic"], total["clean"]) if total else (0, 0)
     if not nt:
         return {"costs": costs, "lexicon": {}, "base": 0.0}
-    rate = nt / (nt + nc) if nc else 0.5
-    # what no feature can reach without: that many documents, all toxic
-    least = math.ceil(LEAST_G / (2 * math.log(1 / rate)))
-    found = sums.where((F.col("feature") != "") & (F.col("toxic") >= least) & (F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean"))))
-    best = found.orderBy(F.desc(F.col("toxic") - F.col("clean")), "feature").limit(LEXICON).collect()
-    lexicon = {}
-    for r in best:
-        n = r["toxic"] + r["clean"]
-        share = _least_share(r["toxic"], n)
-        if share >= LEAST_SHARE and _surprise(r["toxic"], n, rate) >= LEAST_G:
-            lexicon[r["feature"]] = share
-    return {"costs": costs, "lexicon": lexicon, "base": rate * 0.1}
+    rate = min(nt / (nt + nc), 0.9) if nc else 0.5
+    first = {r["feature"]: (r["share"], r["clean"]) for r in sums.where("feature != '' and toxic > 1").withColumn("share", _share(rate)).where(F.col("share") >= LEAST_SHARE).toLocalIterator()}
+    model = {"costs": costs, "lexicon": {f: x for f, (x, _) in first.items()}, "base": rate * 0.1}
+    candidates = rows.sparkSession.sparkContext.broadcast(model)
+
+    def credit(batches):
+        read = Reader(candidates.value["costs"], relevant(candidates.value["lexicon"]))
+        toxic = Counter()
+        for batch in batches:
+            for t in batch.column(0):
+                toxic.update(strongest({w for words in read(t.as_py() or "") for w in words}, candidates.value["lexicon"]).values())
+        yield _counted(toxic, Counter())
+
+    credited = rows.where("y = 1").select("text").mapInArrow(credit, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"))
+    credited = credited.where("toxic > 1").join(sums.select("feature", "clean"), "feature").withColumn("share", _share(rate)).where(F.col("share") >= LEAST_SHARE)
+    return model | {"lexicon": {r["feature"]: r["share"] for r in credited.toLocalIterator()}}
+
+
+def _share(rate: float) -> Column:
+    """Share of toxic texts to expect where a feature is, from its counts: Laplace's, as far as it is a mark."""
+    k, rest = F.col("toxic"), F.col("clean")
+    odds = math.log(MARKS / (1 - MARKS)) + k * math.log(PURITY / rate) + rest * math.log((1 - PURITY) / (1 - rate))
+    return (k + 1) / (k + rest + 2) / (1 + F.exp(-odds))
 
 
 def _counted(toxic: Counter, clean: Counter) -> pa.RecordBatch:
@@ -269,27 +291,35 @@ def _counted(toxic: Counter, clean: Counter) -> pa.RecordBatch:
     )
 
 
-def score_text(text: str | None, model: dict, decode: Decoder) -> float:
-    """Between 0 and 1, the higher the likelier toxic.  Features with the same first letters
-    are one piece of evidence and count by the strongest."""
-    share = model["lexicon"].get
-    strongest: dict[str, float] = {}
-    for f in marked(features(words_of(text or "", decode))):
-        found = share(f)
-        if found is not None:
-            stem = f[: PREFIXES[0]]
-            strongest[stem] = max(found, strongest.get(stem, 0.0))
-    return 1.0 - math.prod([1.0 - model["base"], *(1.0 - x for x in strongest.values())])
+def relevant(lexicon: dict[str, float]):
+    """Of words, those that have a part in some feature of the lexicon."""
+    beginnings = {f.split("*")[0] for f in lexicon if "*" in f}
+    return lambda words: tuple(w for w in words if w in lexicon or any(w[:n] in beginnings for n in PREFIXES if len(w) > n))
+
+
+def scorer(model: dict):
+    """A function that scores texts between 0 and 1, the higher the likelier toxic."""
+    lexicon = model["lexicon"]
+    read = Reader(model["costs"], relevant(lexicon))
+
+    def score(text: str | None) -> float:
+        found = strongest({w for words in read(text or "") for w in words}, lexicon)
+        return 1.0 - (1.0 - model["base"]) * math.prod(1.0 - lexicon[f] for f in found.values())
+
+    return score
 
 
 def scored(docs: DataFrame, model: dict, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a double column ``name``.  Null and empty texts get the base score."""
+    """``docs`` with a further double column ``name``, which must be new.  Null and empty texts get
+    the base score; whole texts of any length are read; rows that repeat are scored alike."""
+    if name.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {name} already")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decode = Decoder(shared.value["costs"])
+        score = scorer(shared.value)
         for texts in parts:
-            yield pd.Series([score_text(t, shared.value, decode) for t in texts], dtype="float64")
+            yield pd.Series([score(t) for t in texts], dtype="float64")
 
     return docs.withColumn(name, of(F.col(f"`{text}`").cast("string")))
