@@ -86,8 +86,10 @@ def test_discriminant_separates_and_matches_the_formula(spark):
         d = x - m
         return -0.5 * (np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d) + np.log(np.linalg.det(c)))
 
-    want = 1 / (1 + np.exp(-np.clip(log_density(1) - log_density(0), -30, 30)))
-    assert np.allclose(model.score(x), want)
+    want = log_density(1) - log_density(0)
+    assert np.allclose(model.log_odds(x), want)
+    assert np.array_equal(np.argsort(want), np.argsort(model.score(x)))
+    assert np.array_equal(model.score(x) >= discriminant.ACCEPT, 1 / (1 + np.exp(-want)) >= discriminant.ACCEPT)
     df = spark.createDataFrame([(int(k), *map(float, r)) for k, r in zip(y, x)], "y int, a double, b double, c double")
     got = discriminant.moments(df, ["a", "b", "c"], "y")
     assert all(np.allclose(got[k][j], moments[k][j]) for k in (0, 1) for j in (1, 2))
@@ -153,3 +155,39 @@ def test_kept_follows_the_list_row_by_row(spark):
         failed = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
         nth = next((i for i, rule in enumerate(found.rules, 1) if all((r[c.statistic] > c.threshold) == c.above for c in rule)), None)
         assert (r.base_failed, r.rule, r.kept) == (failed, nth, not failed and nth is None)
+
+
+def test_the_discriminant_query_against_numpy(spark):
+    """op4 on a whole table: statistics from Spark, all else computed anew."""
+    import numpy as np
+
+    from tidelake.llm import registry
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    stats = rules.statistics(docs)
+    names = list(discriminant.transformed())
+    rows = stats.select("doc_id", *[c.alias(n) for n, c in discriminant.transformed().items()]).toPandas().sort_values("doc_id")
+    known = labels.where(registry.crc_mod("doc_id", 4) != 2).select("doc_id", "quality").distinct().toPandas()
+    taught = rows.merge(known, on="doc_id")
+    x = {y: taught[taught.quality == y][names].to_numpy() for y in (0, 1)}
+    scatter = {y: (v - v.mean(axis=0)).T @ (v - v.mean(axis=0)) for y, v in x.items()}
+    pooled = sum(scatter.values()) / len(taught)
+    odds = np.log(len(x[1]) / len(x[0]))
+    for y, sign in ((1, 1), (0, -1)):
+        cov = 0.8 * scatter[y] / len(x[y]) + 0.2 * pooled
+        cov = 0.98 * cov + 0.02 * np.trace(pooled) / len(names) * np.eye(len(names))
+        d = rows[names].to_numpy() - x[y].mean(axis=0)
+        odds = odds - sign * 0.5 * (np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d) + np.linalg.slogdet(cov)[1])
+    got = registry.op4_discriminant(spark, sf).toPandas().sort_values("doc_id")
+    assert got.doc_id.tolist() == rows.doc_id.tolist()
+    assert np.allclose(got.score, 0.5 + 0.5 * odds / (discriminant.HALFWAY + np.abs(odds)), atol=1e-9)
+    assert np.array_equal(got.predicted == 1, 1 / (1 + np.exp(-np.clip(odds, -700, 700))) >= 0.7)
+    held = got[got.held_out].merge(labels.toPandas(), on="doc_id")
+    assert held.score.nunique() > 0.9 * len(held[held.score.notna()].doc_id.unique()) - 5
+
+
+def test_a_very_long_text_is_scored_whole(spark):
+    words = " ".join(f"w{i % 7919}" for i in range(400_000))
+    (row,) = rules.statistics(spark.createDataFrame([(1, words, None)], DOCS)).collect()
+    assert row.n_words == 400_000 and row.n_repeat_words == 400_000

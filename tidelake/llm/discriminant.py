@@ -22,8 +22,8 @@ from tidelake.llm.shared import written
 TO_POOLED = 0.2
 TO_IDENTITY = 0.02
 ACCEPT = 0.7
-#: Log odds are kept within this of even: a Gaussian's tails know nothing of certainty.
-MOST_ODDS = 30.0
+#: Log odds at which a score lies halfway between even and certain; it puts ACCEPT at that posterior.
+HALFWAY = math.log(ACCEPT / (1 - ACCEPT)) * (1 / (2 * ACCEPT - 1) - 1)
 
 _EPS = 1e-3
 
@@ -53,13 +53,18 @@ class Discriminant:
     logdets: list[float]
     odds: float
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Posterior of class 1 for each row of x."""
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        """Of class 1, for each row of x."""
         logs = []
         for mean, factor, logdet in zip(self.means, self.factors, self.logdets):
             z = (x - mean) @ factor.T
             logs.append(-0.5 * ((z * z).sum(axis=1) + logdet))
-        return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0] + self.odds, -MOST_ODDS, MOST_ODDS)))
+        return logs[1] - logs[0] + self.odds
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Log odds in the same order between 0 and 1."""
+        odds = self.log_odds(x)
+        return 0.5 + 0.5 * odds / (HALFWAY + np.abs(odds))
 
 
 def fit(moments: dict[int, tuple[int, np.ndarray, np.ndarray]], to_pooled: float = TO_POOLED, to_identity: float = TO_IDENTITY) -> Discriminant | None:
@@ -116,7 +121,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def posterior(x: pd.DataFrame) -> pd.Series:
+    def score(x: pd.DataFrame) -> pd.Series:
         return pd.Series(shared.value.score(x.to_numpy(dtype=np.float64)))
 
-    return stats.select(id_col, posterior(F.struct(*columns)).alias("score"))
+    return stats.select(id_col, score(F.struct(*columns)).alias("score"))
