@@ -57,6 +57,32 @@ def test_as_of_takes_the_begin_and_not_the_end(spark):
     assert got == {0: "A", 1: "A", 2: "A", 3: "B", 4: "B", 9: None}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_as_of_join_equals_the_range_join(spark, seed):
+    """Gaps, nulls, many buckets of time and equal times, against the pairs of a range join."""
+    rng = random.Random(seed)
+    days = lambda n: at(24 * n)
+    rows = []
+    for k in range(5):
+        cuts = sorted(rng.sample(range(0, 900), 8))
+        rows += [(k, days(a), None if b == cuts[-1] and k % 2 else days(b), f"{k}-{a}") for a, b in zip(cuts, cuts[1:]) if rng.random() < 0.8]
+    dim = spark.createDataFrame([*rows, (None, days(1), None, "n")], "k long, effective_from timestamp, valid_to timestamp, h string")
+    facts = spark.createDataFrame([(i, rng.choice([0, 1, 2, 3, 4, 7, None]), rng.choice([None, *map(days, range(-5, 950))])) for i in range(400)], "id long, k long, ts timestamp")
+    got = history.scd2_as_of_join(facts, dim, "k", "ts", {"h": "h"})
+    assert got.columns == ["id", "k", "ts", "h"]
+    side = dim.withColumnRenamed("k", "j")
+    pairs = facts.join(side, (F.col("k") == F.col("j")) & history.in_force(F.col("ts"), F.col("effective_from"), F.col("valid_to")), "left")
+    assert {(r.id, r.h) for r in got.collect()} == {(r.id, r.h) for r in pairs.collect()} and got.count() == 400
+
+
+def test_as_of_join_of_a_hot_key(spark):
+    """10,000 versions and 100,000 facts of one key: no pairs, many tasks."""
+    dim = spark.range(10_000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("effective_from"), F.timestamp_seconds((F.col("id") + 1) * 3600).alias("valid_to"), F.col("id").alias("v"))
+    facts = spark.range(100_000).select("id", F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 360 + 1).alias("ts"))
+    got = history.scd2_as_of_join(facts, dim, "k", "ts", {"v": "v"})
+    assert got.where(F.col("v") != F.floor((F.col("id") * 360 + 1) / 3600)).count() == 0 and got.where("v is not null").count() == 100_000
+
+
 def test_null_and_empty_differ_in_hashes(spark):
     df = spark.createDataFrame([(None, "a"), ("", "a"), ("a", None)], "x string, y string")
     assert df.select(attribute_hash(["x", "y"]).alias("h")).distinct().count() == 3

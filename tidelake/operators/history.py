@@ -2,61 +2,68 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Where the first window of a key is opened back to (fixed value).
 BEGINNING = "1900-01-01"
-OPEN_ROW = ("valid_from", "attr_hash", "lsn")
+#: Seconds of a time bucket of the as-of join: so much of one key's history meets in a task.
+BUCKET_S = 30 * 86_400
 
 
-def scd2_versions(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
-    """New versions from parsed changes (key, lsn, valid_from, attr_hash, ...).
+def timeline(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
+    """Each key's open row, if it has one, followed by the versions that its changes make.
 
-    Changes at or below the log position of the key's open row are dropped, and so is a
-    change whose attributes equal those before it (the open row's, for the first).  Each
-    version ends where the next begins.
+    Both stand in one sequence by log position, the open row behind a change at its own
+    position.  What stands before an open row is known already and goes; so does a change
+    that repeats the attributes before it.  What is left is chained: each row's window ends
+    where the next begins, which also closes the open row.  ``stored`` tells the open row.
     """
-    by_key = Window.partitionBy(key).orderBy("lsn")
-    rows = changes
+    rows = changes.withColumn("stored", F.lit(False))
     if open_rows is not None:
-        known = open_rows.select(F.col(key).alias("__key"), F.col("lsn").alias("__lsn"), F.col("attr_hash").alias("__hash"))
-        rows = rows.join(known, F.col(key) == F.col("__key"), "left").where(F.col("__lsn").isNull() | (F.col("lsn") > F.col("__lsn"))).drop("__key", "__lsn")
-    else:
-        rows = rows.withColumn("__hash", F.lit(None).cast("string"))
-    before = F.coalesce(F.lag("attr_hash").over(by_key), F.col("__hash"))
-    rows = rows.withColumn("__before", before).where(F.col("__before").isNull() | (F.col("attr_hash") != F.col("__before")))
-    following = F.lead("valid_from").over(by_key)
-    return rows.drop("__before", "__hash").withColumn("valid_to", following).withColumn("is_current", following.isNull())
+        rows = rows.unionByName(open_rows.withColumn("stored", F.lit(True)), allowMissingColumns=True)
+    order = Window.partitionBy(key).orderBy("lsn", "stored")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"__any": F.max("stored").over(Window.partitionBy(key)), "__seen": F.max("stored").over(upto), "__same": F.lag("attr_hash").over(order) == F.col("attr_hash")})
+    rows = rows.where(F.col("stored") | (F.col("__seen") == F.col("__any")) & ~F.coalesce("__same", F.lit(False)))
+    end = F.lead("valid_from").over(order)
+    return rows.drop("__any", "__seen", "__same").withColumns({"valid_to": end, "is_current": end.isNull()})
+
+
+def scd2_versions(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
+    """New versions from parsed changes (key, lsn, valid_from, attr_hash, ...), given the open
+    row of each key so far: (key, lsn, valid_from, attr_hash) at least."""
+    return timeline(changes, key, open_rows).where("not stored").drop("stored")
 
 
 def scd2_stage(versions: DataFrame, key: str) -> DataFrame:
-    """Merge input: all versions to insert (merge_key null) and each key's first once more to
-    close the open row (merge_key = key)."""
-    first = F.row_number().over(Window.partitionBy(key).orderBy("lsn")) == 1
-    numbered = versions.withColumn("__first", first)
-    closers = numbered.where("__first").withColumn("merge_key", F.col(key))
-    inserts = numbered.withColumn("merge_key", F.lit(None).cast(versions.schema[key].dataType))
-    return closers.unionByName(inserts).drop("__first")
+    """Input of a MERGE that can only touch a row once: every version is there to be inserted
+    (merge_key null), each key's first also to close the open row (merge_key = key)."""
+    first = F.col("lsn") == F.min("lsn").over(Window.partitionBy(key))
+    nothing = F.lit(None).cast(versions.schema[key].dataType)
+    parts = F.when(first, F.array(F.col(key), nothing)).otherwise(F.array(nothing))
+    return versions.withColumn("__parts", parts).select(*versions.columns, F.explode("__parts").alias("merge_key"))
 
 
 def merge_scd2(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """Target with the open rows of staged keys closed where their successor begins, and all
-    staged versions added."""
-    columns = target.columns
-    closing = staged.where("merge_key is not null").select(F.col("merge_key").alias("__key"), F.col("valid_from").alias("__end"))
-    joined = target.join(closing, (F.col(key) == F.col("__key")) & F.col("is_current"), "left")
-    ends = F.col("__end").isNotNull()
-    closed = joined.withColumn("valid_to", F.when(ends, F.col("__end")).otherwise(F.col("valid_to"))).withColumn("is_current", F.col("is_current") & ~ends)
-    return closed.select(*columns).unionByName(staged.where("merge_key is null").select(*columns))
+    staged versions added.  Only open rows are shuffled; closed ones pass by."""
+    ends = staged.where("merge_key is not null").select(F.col("merge_key").alias(key), F.col("valid_from").alias("__end"))
+    is_open = F.coalesce("is_current", F.lit(False))
+    held = target.where(is_open).join(ends, key, "left").withColumns({"valid_to": F.coalesce("__end", "valid_to"), "is_current": F.col("__end").isNull()})
+    parts = (target.where(~is_open), held, staged.where("merge_key is null"))
+    return reduce(DataFrame.unionByName, [x.select(*target.columns) for x in parts])
 
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, key: str) -> DataFrame:
-    """One batch of parsed changes applied to a dimension (none yet: None)."""
+    """One batch of parsed changes applied to a dimension (none yet: None): closed rows stay,
+    open ones go through the timeline with the changes."""
     if target is None:
         return scd2_versions(changes, key)
-    versions = scd2_versions(changes, key, target.where("is_current"))
-    return merge_scd2(target, scd2_stage(versions, key), key)
+    is_open = F.coalesce("is_current", F.lit(False))
+    return target.where(~is_open).unionByName(timeline(changes, key, target.where(is_open)).select(*target.columns))
 
 
 def scd2_effective_from(versions: DataFrame, key: str) -> DataFrame:
@@ -74,10 +81,32 @@ def in_force(at: Column, effective_from: Column, valid_to: Column) -> Column:
 
 def scd2_as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: dict[str, str], fact_key: str | None = None) -> DataFrame:
     """Facts with ``columns`` (version column: output name) of the version in force at ``at``;
-    null where there is none.  An equality join on the key with the window as residual."""
-    side = versions.select(F.col(key).alias("__k"), F.col("effective_from").alias("__from"), F.col("valid_to").alias("__to"), *[F.col(c).alias(n) for c, n in columns.items()])
-    hit = (F.col(fact_key or key) == F.col("__k")) & in_force(F.col(at), F.col("__from"), F.col("__to"))
-    return facts.join(side, hit, "left").drop("__k", "__from", "__to")
+    null where there is none.  The windows of a key must not overlap.
+
+    Facts and versions of a key stand in one sequence by time, where a fact's version is the
+    last before it: no pair of a fact and a version is formed.  The sequence is cut into
+    buckets of time, so that a hot key is many tasks; a bucket without a version before the
+    fact takes the last one of the buckets before, found over one row for each key and bucket.
+    """
+    bucket = lambda t: F.floor(F.unix_timestamp(t.cast("timestamp")) / BUCKET_S)
+    found = F.struct(F.col("valid_to").alias("to"), *[F.col(c).alias(n) for c, n in columns.items()])
+    side = versions.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col("effective_from").alias("__t"), found.alias("__v"), F.lit(0).alias("__kind"))
+    # of versions that begin together the one that lasts is the last
+    side = side.withColumn("__end", F.coalesce(F.col("__v.to"), F.lit("9999-12-31").cast(versions.schema["valid_to"].dataType)))
+    asked = facts.withColumns({"__k": F.col(fact_key or key), "__t": F.col(at), "__kind": F.lit(1)})
+    both = asked.unionByName(side, allowMissingColumns=True).withColumn("__bucket", bucket(F.col("__t")))
+    so_far = Window.partitionBy("__k", "__bucket").orderBy("__t", "__kind", "__end").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__own", F.last("__v", ignorenulls=True).over(so_far)).where("__kind = 1").drop("__v", "__end", "__kind")
+
+    latest = side.withColumn("__bucket", bucket(F.col("__t"))).groupBy("__k", "__bucket").agg(F.max_by("__v", F.struct("__t", "__end")).alias("__v"))
+    wanted = asked.where("__k is not null and __t is not null").select("__k", bucket(F.col("__t")).alias("__bucket")).distinct().withColumn("__asked", F.lit(True))
+    before = Window.partitionBy("__k").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = wanted.join(latest, ["__k", "__bucket"], "full_outer").withColumn("__carried", F.last("__v", ignorenulls=True).over(before))
+    carried = carried.where("__asked and __carried is not null").select("__k", "__bucket", "__carried")
+
+    joined = both.join(carried, ["__k", "__bucket"], "left").withColumn("__v", F.coalesce("__own", "__carried"))
+    holds = F.col("__v.to").isNull() | (F.col("__t") < F.col("__v.to"))
+    return joined.select(*facts.columns, *[F.when(holds, F.col("__v").getField(n)).alias(n) for n in columns.values()])
 
 
 def scd2_overlaps(versions: DataFrame, key: str) -> DataFrame:

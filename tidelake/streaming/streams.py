@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from tidelake.functions.geo import haversine_km
 from tidelake.sources.tables import has_source
 
 #: Rows of a trigger at most (Kafka offsets).
@@ -94,15 +95,15 @@ class Snapshot:
 TRIP_OUTPUT = (
     "rider_id long, trip_id string, started_ts timestamp, ended_ts timestamp, duration_s double, ping_count long, avg_speed_kmph double,"
     " max_speed_kmph double, start_lat double, start_lon double, end_lat double, end_lon double"
-)
+)  # what the state knows; ``trips_stream`` adds displacement and day
 TRIP_STATE = "t0 long, t1 long, n long, total double, top double, lat0 double, lon0 double, lat1 double, lon1 double"
 
 
 def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
-    """Trips as pings arrive: every update of a trip gives its row anew (update mode).
+    """Trips as pings arrive: every update of a trip gives its row anew (update mode), with the columns of ``trips``.
 
     A trip's state ends when the watermark has passed its last ping by the tolerance, so the
-    state stays bounded; pings behind the watermark are dropped (``split_late`` keeps them).
+    state stays bounded; pings behind the watermark are dropped here (``LateRows`` keeps them).
     """
     wait_ms = int(pd.Timedelta(tolerance).total_seconds() * 1000)
 
@@ -132,7 +133,9 @@ def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
         yield pd.DataFrame([row], columns=[f.split()[0] for f in TRIP_OUTPUT.split(", ")])
 
     keyed = pings.withWatermark("event_ts", tolerance).groupBy("rider_id", "trip_id")
-    return keyed.applyInPandasWithState(update, TRIP_OUTPUT, TRIP_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    rows = keyed.applyInPandasWithState(update, TRIP_OUTPUT, TRIP_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    ends = [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
+    return rows.withColumns({"straight_line_km": haversine_km(*ends), "trip_date": F.to_date("started_ts")})
 
 
 def split_late(batch: DataFrame, newest, tolerance: str = "15 minutes") -> tuple[DataFrame, DataFrame]:
@@ -141,3 +144,29 @@ def split_late(batch: DataFrame, newest, tolerance: str = "15 minutes") -> tuple
         return batch, batch.limit(0)
     limit = F.lit(newest) - F.expr(f"INTERVAL {tolerance}")
     return batch.where(F.col("event_ts") >= limit), batch.where(F.col("event_ts") < limit)
+
+
+class LateRows:
+    """Keeps what a stream with a watermark drops: a ``foreach_batch_sink`` writer of its own on the
+    same source, which writes each micro-batch's late rows, and one row with its newest event time.
+
+    A batch that runs again overwrites its own folders and looks at those before it only.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tolerance: str = "15 minutes"):
+        self.spark, self.path, self.tolerance = spark, path.rstrip("/"), tolerance
+
+    def newest(self, before: int):
+        if not before:
+            return None
+        seen = self.spark.read.schema("newest timestamp").parquet(f"{self.path}/newest")  # batch comes from the folders
+        return seen.where(F.col("batch") < before).agg(F.max("newest")).first()[0]
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        late = split_late(batch, self.newest(number), self.tolerance)[1]
+        late.write.mode("overwrite").parquet(f"{self.path}/rows/batch={number}")
+        batch.agg(F.max("event_ts").alias("newest")).write.mode("overwrite").parquet(f"{self.path}/newest/batch={number}")
+
+    def read(self, schema: StructType | str) -> DataFrame:
+        """All rows kept so far, with the number of their batch."""
+        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
