@@ -174,7 +174,11 @@ _ORDER_COLUMNS = [c.strip() for c in f"{_ORDER_FIELDS}, {_ORDER_MONEY}, is_delet
 def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
     """An entity's change log as a stored table, images as JSON."""
     path = tables.scratch_dir(spark)
-    inputs.as_bronze(given(spark, sf, name), entity.fields).write.parquet(path)
+    rows, cores = given(spark, sf, name), spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        # a small table is one file of one row group: without this it stays one task's to the end
+        rows = rows.repartition(cores, "lsn")
+    inputs.as_bronze(rows, entity.fields).write.parquet(path)
     return spark.read.parquet(path)
 
 
