@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-Vectors are taken relative to the centre of their cell, normalised, rotated by one random
-orthogonal matrix and kept as the signs of their coordinates, 64 to a word, with two
-scalars: the length before normalising and the inner product of the unit vector with its own
-sign vector.  From these the inner product with a query (rotated the same way) is estimated
-without bias, with an error bound that holds with high probability.  A block of vectors is
-scanned by its codes; only those whose upper bound reaches the query's best lower bounds are
-looked up in the original vectors and scored exactly, in double precision.
-
-Cells are those of a coarse k-means fitted on a bounded sample; every vector is in one.  A
-query visits the cells in which an upper bound on its inner product is highest.  Blocks are
-of bounded size: small cells that lie side by side share one, a cell with many vectors has
-several.  Each query gets its best few of each block it visits, so what leaves the blocks is
-queries times blocks, not pairs.
+Vectors are taken relative to the centre of their cell, normalised, mapped by a random
+orthogonal matrix into ``CODE_BITS`` dimensions to each of theirs, and stored as the signs of
+the coordinates there, packed to bytes, with two scalars: the length before normalising and
+the inner product of the unit vector with its own sign vector.  From these the inner product
+with a query is estimated without bias, with an error bound that holds with high probability.
+Codes are made once, with the index; a block is scanned by its codes, and only vectors whose
+upper bound reaches what the query has already are looked up and scored in double precision.
+
+Cells are those of a coarse k-means fitted on a bounded sample; every vector is in one.  The
+sample also tells a score that a query's answers reach at least.  A query visits the cells
+whose vectors may reach it: those where the inner product with the centre, and ``REACH``
+standard deviations of the cell's spread in the query's direction, come to that score.
+Blocks are of bounded size: small cells that lie side by side share one, a cell with many
+vectors has several; the queries of a block are dealt in parts of bounded size.  Each query
+gets its best few of each block it visits, so what leaves the blocks is queries times blocks,
+not pairs.
 """
 
 import math
@@ -29,18 +32,19 @@ from tidelake.llm.shared import written
 TOP = 20
 #: Vectors the cells are fitted on at most (those first in the order of their ids' hashes).
 FIT_ROWS = 20_000
-#: Vectors to a cell on average, and cells at most; what is broadcast is cells times dimensions.
-CELL_ROWS = 1_000
+#: Vectors to a cell on average, and cells at most; what is broadcast is the sample and the cells.
+CELL_ROWS = 500
 MOST_CELLS = 4_096
-#: Share of the cells that a query visits, and the least number.
-VISITED = 0.8
-LEAST_VISITED = 16
+#: Standard deviations of a cell's spread within which its vectors are expected.
+REACH = 3.5
+#: Bits of a code for each dimension.
+CODE_BITS = 2
+#: Queries of a block that one task takes.
+QUERY_ROWS = 50_000
 #: Vectors of a block.
 BLOCK_ROWS = 16_384
 #: Standard deviations of the estimate's error within which it is trusted.
 SIGMAS = 3.0
-#: Vectors looked up first, by estimate, to find what the others must reach.
-FIRST = 64
 SEED = 7
 
 
@@ -55,10 +59,10 @@ def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.join(F.broadcast(widest.select("d")), F.size("vec") == F.col("d")).select("id", "vec")
 
 
-def rotation(d: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+def rotation(d: int, bits: int = CODE_BITS, seed: int = SEED) -> np.ndarray:
+    """d columns of a random orthogonal matrix of ``bits`` times d rows: it keeps inner products."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits * d, bits * d)))
+    return np.ascontiguousarray((q * np.sign(np.diag(r)))[:, :d])
 
 
 def fit_cells(sample: np.ndarray, cells: int, rounds: int = 12, seed: int = SEED) -> np.ndarray:
@@ -87,54 +91,97 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndar
     rest = x - centre
     length = np.linalg.norm(rest, axis=1)
     unit = np.divide(rest, length[:, None], out=np.zeros_like(rest), where=length[:, None] > 0) @ turn.T
-    signs = unit >= 0
-    d = x.shape[1]
-    own = np.abs(unit).sum(axis=1) / math.sqrt(d)
-    return np.packbits(signs, axis=1), length, own
+    own = np.abs(unit).sum(axis=1) / math.sqrt(len(turn))
+    return np.packbits(unit >= 0, axis=1), length, own
 
 
-def estimate(query: np.ndarray, code: tuple, cell: np.ndarray, centres: np.ndarray, turn: np.ndarray, sigmas: float = SIGMAS) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner product of queries (rows) with coded vectors (columns), and its error bound.
+def estimate(query: np.ndarray, code: tuple, centre: np.ndarray, turn: np.ndarray, sigmas: float = SIGMAS) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner product of queries (rows) with the coded vectors of a cell (columns), and its error bound.
 
-    With o the unit vector, s its sign vector over sqrt(d) and q the rotated query,
-    <o, q> is about <s, q> / <o, s>, off by at most sigmas * |q| * sqrt((1 - <o,s>^2) / <o,s>^2 / (d - 1)).
+    With o the unit vector, s its sign vector over sqrt(D) and q the rotated query,
+    <o, q> is about <s, q> / <o, s>, off by at most sigmas * |q| * sqrt((1 - <o,s>^2) / <o,s>^2 / (D - 1)).
     """
-    signs, length, own = code
-    d = query.shape[1]
+    bits, length, own = code
+    wide = len(turn)
     own = np.maximum(own, 1e-9)
-    spread = (sigmas * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / max(d - 1, 1)) * length).astype(np.float32)
+    spread = (sigmas * np.sqrt(np.maximum(1 - own**2, 0) / own**2 / max(wide - 1, 1)) * length).astype(np.float32)
+    signs = np.unpackbits(bits, axis=1, count=wide).astype(np.float32) * 2 - 1
     guess = (query @ turn.T).astype(np.float32) @ signs.T
-    guess *= (length / own / math.sqrt(d)).astype(np.float32)
-    guess += (query @ centres.T).astype(np.float32)[:, cell]
+    guess *= (length / own / math.sqrt(wide)).astype(np.float32)
+    guess += (query @ centre).astype(np.float32)[:, None]
     return guess, np.linalg.norm(query, axis=1).astype(np.float32)[:, None] * spread + np.float32(1e-5)
 
 
-def scan(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, code: tuple, cell: np.ndarray, centres: np.ndarray, turn: np.ndarray, top: int, sigmas: float = SIGMAS) -> tuple[np.ndarray, ...]:
-    """The best ``top`` of a block for each query: (query id, id, exact score)."""
-    out_q, out_i, out_s = [], [], []
+class Index:
+    """What all tasks know: centres, rotation, the sample, and each cell's size and spread."""
+
+    def __init__(self, centres: np.ndarray, turn: np.ndarray, sample: np.ndarray, sample_ids: np.ndarray, top: int, reach: float = REACH):
+        self.centres, self.turn, self.sample, self.sample_ids, self.top, self.reach = centres, turn, sample, sample_ids, top, reach
+        rest = sample - centres[nearest_cell(sample, centres)]
+        self.spread = rest.T @ rest / max(len(rest), 1)  # of all cells together
+        if not np.trace(self.spread) > 0:
+            self.spread = np.eye(len(self.spread)) / len(self.spread)
+        self.counts = self.scale = None
+
+    def sized(self, counts: np.ndarray, radius: np.ndarray):
+        """With the number of vectors and the root mean square radius of each cell."""
+        self.counts, self.scale = counts, radius / math.sqrt(float(np.trace(self.spread)))
+        return self
+
+    def bars(self, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """For each query a score that more than ``top`` vectors reach: that of the sample's best 2 * top."""
+        k = 2 * self.top
+        out = np.full(len(queries), -np.inf)
+        if len(self.sample) <= k:
+            return out
+        for at in range(0, len(queries), 256):
+            scores = queries[at : at + 256] @ self.sample.T
+            scores[ids[at : at + 256, None] == self.sample_ids] = -np.inf
+            out[at : at + 256] = np.partition(scores, -k, axis=1)[:, -k]
+        return out
+
+    def visited(self, queries: np.ndarray, bars: np.ndarray) -> np.ndarray:
+        """Which cells each query visits: those that may hold a vector at its bar, and as many as it
+        takes, best first, for more than ``top`` vectors."""
+        spread = np.sqrt(np.maximum(np.einsum("ij,jk,ik->i", queries, self.spread, queries), 0))
+        bound = queries @ self.centres.T + self.reach * spread[:, None] * self.scale
+        order = np.argsort(-bound, axis=1, kind="stable")
+        before = np.cumsum(self.counts[order], axis=1) - self.counts[order]
+        out = bound >= bars[:, None]
+        row, col = np.nonzero(before <= 2 * self.top)
+        out[row, order[row, col]] = True
+        return out & (self.counts > 0)
+
+
+def best_of(names: np.ndarray, ids: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, ...]:
+    """The best ``top`` rows of each query, ties to the smaller id; names ascend in what comes back."""
+    order = np.lexsort((ids, -scores, names))
+    names, ids, scores = names[order], ids[order], scores[order]
+    keep = np.arange(len(names)) - np.searchsorted(names, names) < top
+    return names[keep], ids[keep], scores[keep]
+
+
+def scan(query_ids: np.ndarray, queries: np.ndarray, bars: np.ndarray, ids: np.ndarray, vectors: np.ndarray, code: tuple, cell: np.ndarray, index: Index, top: int, sigmas: float = SIGMAS) -> tuple[np.ndarray, ...]:
+    """The best ``top`` of a block for each query: (query id, id, exact score), and how many of how many codes were looked up."""
+    visits = index.visited(queries, bars)
+    out, looked, seen = [], 0, 0
     bits, length, own = code
-    signs = np.unpackbits(bits, axis=1, count=vectors.shape[1]).astype(np.float32) * 2 - 1
-    n = len(ids)
-    k = min(n, max(FIRST, 2 * top))
-    for at in range(0, len(queries), 32):
-        part, names = queries[at : at + 32], query_ids[at : at + 32]
-        guess, off = estimate(part, (signs, length, own), cell, centres, turn, sigmas)
-        first = np.argpartition(guess, n - k, axis=1)[:, n - k :]
-        exact = np.einsum("ij,ikj->ik", part, vectors[first])
-        exact[ids[first] == names[:, None]] = -np.inf
-        # the exact score that ``top`` vectors reach already; with fewer vectors all are wanted
-        bar = np.partition(exact, k - top, axis=1)[:, k - top] if k > top else np.full(len(part), -np.inf)
-        row, col = np.nonzero(guess + off >= bar[:, None].astype(np.float32))
-        other = ids[col] != names[row]
-        row, col = row[other], col[other]
-        exact = np.einsum("ij,ij->i", part[row], vectors[col])
-        order = np.lexsort((ids[col], -exact, row))
-        row, col, exact = row[order], col[order], exact[order]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < top
-        out_q.append(names[row[keep]])
-        out_i.append(ids[col[keep]])
-        out_s.append(exact[keep])
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
+    order = np.argsort(cell, kind="stable")
+    kinds, first = np.unique(cell[order], return_index=True)
+    for c, members in zip(kinds, np.split(order, first[1:])):
+        asking = np.flatnonzero(visits[:, c])
+        for at in range(0, len(asking), 256):
+            some = asking[at : at + 256]
+            guess, off = estimate(queries[some], (bits[members], length[members], own[members]), index.centres[c], index.turn, sigmas)
+            row, col = np.nonzero(guess + off >= bars[some][:, None].astype(np.float32))
+            seen, looked = seen + guess.size, looked + len(row)
+            row, col = some[row], members[col]
+            other = ids[col] != query_ids[row]
+            row, col = row[other], col[other]
+            out.append((query_ids[row], ids[col], np.einsum("ij,ij->i", queries[row], vectors[col])))
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0), 0, 0
+    return *best_of(*(np.concatenate(x) for x in zip(*out)), top), looked, seen
 
 
 def pack_cells(counts: np.ndarray, centres: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,34 +201,42 @@ def pack_cells(counts: np.ndarray, centres: np.ndarray, block_rows: int) -> tupl
     return first, parts
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP, visited: float = VISITED, sigmas: float = SIGMAS) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = TOP, sigmas: float = SIGMAS, reach: float = REACH) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``top`` largest inner products found.
 
-    Queries are the rows for which ``is_query`` (over the column id) holds; candidates all rows but those with
+    Queries are the ids for which ``is_query`` (over the column id) holds; candidates all rows but those with
     the query's own id.  Equal scores rank by the smaller id.  Vectors that are null, empty,
     zero or of another dimension than most, or hold null or non-finite components, take no
-    part.  ``visited``: share of the cells searched (1.0: all); ``sigmas``: how far estimates
-    are distrusted (more: fewer misses, more exact scores).
+    part.  An id that repeats is one query, with its smallest vector, and a candidate for each
+    row.  ``sigmas``: how far estimates are distrusted (more: fewer misses, more exact scores);
+    ``reach``: how far from its centre a cell's vectors are expected (more: more cells visited).
     """
     rows = written(clean(vectors, id_col, vector_col))
     n = rows.count()
     if n == 0:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).toPandas()
-    points = np.stack(sample["vec"].to_numpy())
-    cells = min(MOST_CELLS, max(1, n // CELL_ROWS), len(points))
-    centres = fit_cells(points, cells)
-    turn = rotation(points.shape[1])
+    points, names = np.stack(sample["vec"].to_numpy()), sample["id"].to_numpy()
+    centres = fit_cells(points, min(MOST_CELLS, max(1, n // CELL_ROWS), len(points)))
+    index = Index(centres, rotation(points.shape[1]), points, names, top, reach)
     session = vectors.sparkSession.sparkContext
-    shared = session.broadcast((centres, turn))
-    visits = min(cells, max(LEAST_VISITED, math.ceil(cells * visited)))
+    coarse = session.broadcast((centres, index.turn))
 
-    @F.pandas_udf("int")
-    def cell_of(vecs: pd.Series) -> pd.Series:
-        return pd.Series(nearest_cell(np.stack(vecs.to_numpy()), shared.value[0]), dtype="int32") if len(vecs) else pd.Series([], dtype="int32")
+    @F.pandas_udf("cell int, code binary, length double, own double, square double")
+    def coded(vecs: pd.Series) -> pd.DataFrame:
+        c, turn = coarse.value
+        if not len(vecs):
+            return pd.DataFrame({"cell": pd.Series(dtype="int32"), "code": pd.Series(dtype=object), "length": pd.Series(dtype=float), "own": pd.Series(dtype=float), "square": pd.Series(dtype=float)})
+        x = np.stack(vecs.to_numpy())
+        cell = nearest_cell(x, c)
+        bits, length, own = encode(x, c[cell], turn)
+        return pd.DataFrame({"cell": cell.astype(np.int32), "code": [b.tobytes() for b in bits], "length": length, "own": own, "square": length**2})
 
-    placed = written(rows.withColumn("cell", cell_of("vec")))
-    counts, radius = _sizes(placed, shared)
+    placed = written(rows.withColumn("k", coded("vec")).select("k.*", "id", "vec"))
+    counts, radius = np.zeros(len(centres), dtype=np.int64), np.zeros(len(centres))
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg("square").alias("r")).collect():  # a row for each cell
+        counts[r["cell"]], radius[r["cell"]] = r["n"], math.sqrt(r["r"])
+    shared = session.broadcast(index.sized(counts, radius))
     packed = session.broadcast(pack_cells(counts, centres, BLOCK_ROWS))
 
     @F.pandas_udf("int")
@@ -190,57 +245,56 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         c = cell.to_numpy()
         return pd.Series(first[c] + lot.to_numpy() % parts[c], dtype="int32")
 
-    indexed = placed.select(block_of("cell", F.pmod(F.xxhash64("id"), F.lit(1 << 20))).alias("block"), F.lit(1).alias("kind"), "cell", "id", "vec")
-
-    @F.pandas_udf("array<int>")
-    def blocks_of(vecs: pd.Series) -> pd.Series:
-        c, _ = shared.value
+    @F.pandas_udf("bar double, blocks array<int>")
+    def wanted(ids: pd.Series, vecs: pd.Series) -> pd.DataFrame:
         first, parts = packed.value
+        if not len(vecs):
+            return pd.DataFrame({"bar": pd.Series(dtype=float), "blocks": pd.Series(dtype=object)})
         x = np.stack(vecs.to_numpy())
-        bound = x @ c.T + np.linalg.norm(x, axis=1)[:, None] * radius
-        near = np.argsort(-bound, axis=1, kind="stable")[:, :visits]
-        return pd.Series([np.unique(np.concatenate([np.arange(first[k], first[k] + parts[k]) for k in row])).astype(np.int32) for row in near])
-
-    asked = placed.where(is_query).select(F.explode(blocks_of("vec")).alias("block"), F.lit(0).alias("kind"), "cell", "id", "vec")
-    dealt = indexed.union(asked).repartition("block").sortWithinPartitions("block", F.desc("kind"), "id")
+        bars = shared.value.bars(ids.to_numpy(), x)
+        visits = shared.value.visited(x, bars)
+        blocks = [np.unique(np.concatenate([np.arange(first[k], first[k] + parts[k]) for k in np.flatnonzero(v)])).astype(np.int32) for v in visits]
+        return pd.DataFrame({"bar": bars, "blocks": blocks})
+
+    queries = placed.where(is_query).groupBy("id").agg(F.min("vec").alias("vec"))
+    queries = written(queries.withColumn("w", wanted("id", "vec")).select("id", "vec", "w.*"))
+    parts = max(1, -(-queries.count() // QUERY_ROWS))
+    lot = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    indexed = placed.select(block_of("cell", lot).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "cell", "id", "vec", "code", "length", "own")
+    asked = queries.select(
+        F.explode("blocks").alias("block"), F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("cell"), "id", "vec",
+        F.lit(None).cast("binary").alias("code"), F.col("bar").alias("length"), F.lit(None).cast("double").alias("own"),
+    )
+    dealt = indexed.union(asked).repartition("block", "part").sortWithinPartitions("block", "part", F.desc("kind"), "id")
     best = dealt.mapInArrow(_searcher(shared, top, sigmas), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
-def _sizes(placed: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
-    """Of each cell, how many vectors it has and their root mean square distance from its centre."""
-
-    @F.pandas_udf("double")
-    def squared(vecs: pd.Series, cell: pd.Series) -> pd.Series:
-        return pd.Series(((np.stack(vecs.to_numpy()) - shared.value[0][cell.to_numpy()]) ** 2).sum(axis=1)) if len(vecs) else pd.Series([], dtype="float64")
-
-    counts, radius = np.zeros(len(shared.value[0]), dtype=np.int64), np.zeros(len(shared.value[0]))
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.avg(squared("vec", "cell")).alias("r")).collect():  # a row for each cell
-        counts[r["cell"]], radius[r["cell"]] = r["n"], math.sqrt(r["r"])
-    return counts, radius
-
-
 def _searcher(shared, top: int, sigmas: float):
-    """Scans blocks: rows come with a block's vectors first, then the queries that visit it."""
+    """Scans blocks: rows come with a block's vectors first, then the queries that visit it (whose
+    bar stands in the column length)."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, turn = shared.value
-        key, parts, ready = None, [], None
+        index = shared.value
+        key, held, ready = None, [], None
         for batch in batches:
-            block, kind, cell, ids = (batch.column(i).to_numpy() for i in range(4))
-            vecs = batch.column(4).flatten().to_numpy().reshape(len(batch), -1)
-            edges = np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
+            block, part, kind = (batch.column(i).to_numpy() for i in range(3))
+            ids, lengths = batch.column(4).to_numpy(), batch.column(7).to_numpy(zero_copy_only=False)
+            vecs = batch.column(5).flatten().to_numpy().reshape(len(batch), -1)
+            edges = np.flatnonzero((block[1:] != block[:-1]) | (part[1:] != part[:-1]) | (kind[1:] != kind[:-1])) + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)]):
-                if key != block[a]:
-                    key, parts, ready = block[a], [], None
+                if key != (block[a], part[a]):
+                    key, held, ready = (block[a], part[a]), [], None
                 if kind[a] == 1:
-                    parts.append((ids[a:b], vecs[a:b], cell[a:b]))
-                elif parts:
+                    piece = batch.slice(a, b - a)
+                    bits = np.frombuffer(b"".join(piece.column(6).to_pylist()), dtype=np.uint8).reshape(b - a, -1)
+                    held.append((ids[a:b], vecs[a:b], bits, lengths[a:b], piece.column(8).to_numpy(zero_copy_only=False), piece.column(3).to_numpy(zero_copy_only=False).astype(np.int64)))
+                elif held:
                     if ready is None:
-                        own_ids, own, cells = (np.concatenate(x) for x in zip(*parts))
-                        ready = (own_ids, own, encode(own, centres[cells], turn), cells)
-                    found = scan(ids[a:b], vecs[a:b], *ready, centres, turn, top, sigmas)
+                        own_ids, own, bits, length, scalar, cells = (np.concatenate(x) for x in zip(*held))
+                        ready = (own_ids, own, (bits, length, scalar), cells)
+                    found = scan(ids[a:b], vecs[a:b], lengths[a:b], *ready, index, top, sigmas)[:3]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
     return blocks

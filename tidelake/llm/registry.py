@@ -91,6 +91,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector id; vectors that are null, zero or not finite take no part."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
