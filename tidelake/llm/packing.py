@@ -87,12 +87,14 @@ def packed(
         .withColumn("start", F.col("chunk") * longest)
         .withColumn("n_tokens", F.least(F.col("size") - F.col("start"), F.lit(longest)))
     )
-    counted = chunks.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()  # at most longest + 1 rows
-    histogram = {r["n_tokens"]: r["n"] for r in counted}
-    cut = bounds({k: v for k, v in histogram.items() if k > 0}, buckets)
+    counts = written(chunks.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")))  # at most longest + 1 rows
+    cut = bounds({r["n_tokens"]: r["n"] for r in counts.collect() if r["n_tokens"] > 0}, buckets)
+    bucket = F.lit(0)
+    for b in reversed(cut):
+        bucket = F.when(F.col("n_tokens") <= b, F.lit(b)).otherwise(bucket)
+    bucket = F.when(F.col("n_tokens") == 0, F.lit(0)).otherwise(bucket)
     # shards of a bucket: its lengths, and inside a frequent length a hash; the plan is as large for any histogram
-    plan = [(n, next((b for b in cut if n <= b), 0) if n else 0, -(-c // SHARD_ROWS)) for n, c in sorted(histogram.items())]
-    plan = docs.sparkSession.createDataFrame(plan, "n_tokens long, bucket long, shards long")
+    plan = counts.select("n_tokens", bucket.cast("long").alias("bucket"), F.ceil(F.col("n") / SHARD_ROWS).cast("long").alias("shards"))
     chunks = chunks.join(F.broadcast(plan), "n_tokens").withColumn("shard", F.pmod(F.xxhash64("rid", "chunk"), F.col("shards"))).drop("shards")
     own = Window.partitionBy("n_tokens", "shard").orderBy("doc_id", "chunk", "rid")
     placed = chunks.withColumn("place", F.row_number().over(own) - 1)
