@@ -64,7 +64,7 @@ _SINGLE = re.compile(rf"(?<![\w{re.escape(_LEET)}])[\w{re.escape(_LEET)}](?![\w{
 _SOLID = re.compile(rf"[\w{re.escape(_LEET)}]")
 _WORD = re.compile(rf"{_LETTER}+")
 #: Tokens of which a worker remembers what is in them.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 # --- character model --------------------------------------------------------------------
 
@@ -247,7 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                 found = features({w for words in read(t.as_py() or "") for w in words})
                 found.add("")
                 (toxic if y.as_py() else clean).update(found)
-            if len(toxic) + len(clean) > 200_000:
+            if len(toxic) + len(clean) > 60_000:
                 yield _counted(toxic, clean)
                 toxic, clean = Counter(), Counter()
         yield _counted(toxic, clean)
