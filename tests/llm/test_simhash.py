@@ -144,3 +144,73 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5]
+
+
+def similar_texts(seed, bases=12, copies=4, words=160):
+    """Texts and copies of them with a few words changed, and texts of their own."""
+    draw = random.Random(seed)
+    out = []
+    for _ in range(bases):
+        base = [f"w{draw.randrange(4000)}" for _ in range(words)]
+        out.append(" ".join(base))
+        for k in range(copies):
+            other = list(base)
+            for at in draw.sample(range(words), k):
+                other[at] = f"x{draw.randrange(4000)}"
+            out.append(" ".join(other))
+    draw.shuffle(out)
+    return [(i + 1, t) for i, t in enumerate(out)] + [(None, None), (900, ""), (901, " ")]
+
+
+def plain_similar(rows, wide_bits=simhash.WIDE_BITS):
+    """Ids that stay, by all pairs that agree on a choice of blocks."""
+    hashes = [simhash.shingle_hashes((t or "").encode(), 5) for _, t in rows]
+    fp = [simhash.majority(h) & (2**64 - 1) for h in hashes]
+    more = [simhash.majority(simhash.second_hashes(h)) & (2**64 - 1) for h in hashes]
+    masks = [m & (2**64 - 1) for m in simhash.block_masks(simhash.blocks_for(len(set(fp)), 6), 6)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            d = fp[i] ^ fp[j]
+            if fp[i] == fp[j] or (d.bit_count() + (more[i] ^ more[j]).bit_count() <= wide_bits and any(d & m == 0 for m in masks)):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    groups = {}
+    for i, (x, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append((x is None, x or 0))
+    return sorted(min(g) for g in groups.values())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_similar_texts_go_as_by_all_pairs(spark, seed):
+    rows = similar_texts(seed)
+    kept = simhash.keep_one(spark.createDataFrame(rows, DOCS), max_bits=6, shingle=5, wide_bits=simhash.WIDE_BITS)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == plain_similar(rows)
+
+
+def test_second_fingerprints_are_others():
+    draw = np.random.default_rng(5)
+    hashes = draw.integers(0, 2**64, (400, 50), dtype=np.uint64)
+    bits = [((simhash.majority(h) ^ simhash.majority(simhash.second_hashes(h))) & (2**64 - 1)).bit_count() for h in hashes]
+    assert 31 < np.mean(bits) < 33
+
+
+def test_texts_with_two_words_changed_are_similar():
+    """Their five-word shingles have a similarity of about 0.93."""
+    draw = random.Random(9)
+    hits = []
+    for _ in range(200):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+        other = list(base)
+        for at in draw.sample(range(300), 2):
+            other[at] = "changed"
+        one, two = (simhash.shingle_hashes(" ".join(x).encode(), 5) for x in (base, other))
+        d = simhash.majority(one) ^ simhash.majority(two), simhash.majority(simhash.second_hashes(one)) ^ simhash.majority(simhash.second_hashes(two))
+        hits.append(sum((x & (2**64 - 1)).bit_count() for x in d) <= simhash.WIDE_BITS)
+    assert np.mean(hits) > 0.9
