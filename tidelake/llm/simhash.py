@@ -15,10 +15,10 @@ salted, and every pair of salts becomes a group of its own, so that no task hold
 about twice that many and still every pair meets.  Only a spanning forest of each group's
 links leaves the task, never all pairs.
 
-``keep_one`` may judge by similarity instead: a second fingerprint of other hashes of the same
-shingles makes 128 bits, of which linked texts differ in at most ``wide_bits``.  The keys stay
-those of the first fingerprint, so every pair within ``max_bits`` there meets, and of the pairs
-beyond it all that agree on one choice of blocks.
+``keep_one`` may judge by similarity instead: three further fingerprints, of other hashes of the
+same shingles, make 256 bits, of which linked texts differ in at most ``wide_bits``.  Every one of
+the four has the keys of the index, so each pair within ``max_bits`` in one of them meets, and of
+the pairs beyond it all that agree on one choice of blocks in one of them.
 """
 
 from __future__ import annotations
@@ -44,9 +44,11 @@ FANOUT = 16
 OPENED = 8_192
 #: Mean number of fingerprints of a key at which the bits are cut more finely.
 MEAN_KEY = 64
-#: Differing bits of both fingerprints up to which texts count as similar: sets of a Jaccard
-#: similarity of 0.8 differ in 19 of 128 bits on average, of 0.9 in 13, of 0.6 in 30.
-WIDE_BITS = 20
+#: The four fingerprints by which similarity is judged.
+WIDE = ["fp", "more1", "more2", "more3"]
+#: Differing bits of all four up to which texts count as similar: sets of a Jaccard similarity
+#: of 0.8 differ in 39 of 256 bits on average, of 0.9 in 26, of 0.7 in 49, of 0.6 in 59.
+WIDE_BITS = 44
 
 
 # --- fingerprints -----------------------------------------------------------------------
@@ -85,6 +87,15 @@ def second_hashes(hashes: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+def wide_simhash(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) -> list[int]:
+    """The fingerprints of WIDE of one text, each of other hashes made of those before."""
+    hashes, out = shingle_hashes(text, shingle, seed), []
+    for _ in WIDE:
+        out.append(majority(hashes))
+        hashes = second_hashes(hashes)
+    return out
+
+
 def fingerprints(docs: DataFrame, text: Column, name: str = "fp", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``docs`` with a further long column ``name``: the fingerprint of ``text``."""
 
@@ -98,16 +109,15 @@ def fingerprints(docs: DataFrame, text: Column, name: str = "fp", shingle: int =
 
 
 def wide_fingerprints(docs: DataFrame, text: Column, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``docs`` with two further long columns: fp as above, and more, that of the second hashes."""
+    """``docs`` with the four long columns of WIDE: fp as above, and those of other hashes."""
 
-    @F.pandas_udf("fp long, more long")
+    @F.pandas_udf(", ".join(f"{c} long" for c in WIDE))
     def of(texts):
         import pandas as pd
 
-        both = [(majority(h), majority(second_hashes(h))) for h in (shingle_hashes(t, shingle, seed) for t in texts)]
-        return pd.DataFrame(both, columns=["fp", "more"], dtype="int64")
+        return pd.DataFrame([wide_simhash(t, shingle, seed) for t in texts], columns=WIDE, dtype="int64")
 
-    return docs.withColumn("both", of(text.cast("binary"))).select(*docs.columns, "both.fp", "both.more")
+    return docs.withColumn("wide", of(text.cast("binary"))).select(*docs.columns, "wide.*")
 
 
 def hex16(fp: Column) -> Column:
@@ -156,8 +166,8 @@ def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS, mo
     """For each code the smallest index linked to it, through any number of links, inside its key.
 
     keys: a number for each code, equal ones together.  codes: uint64, in Gray order in a key.
-    more: further 64 bits of each code, whose differences count as well; the groups are pruned
-    by the first 64 alone, which is a lower bound.
+    more: further words of 64 bits of each code, a row each, whose differences count as well;
+    the groups are pruned by the first 64 alone, which is a lower bound.
     """
     n = len(codes)
     root = np.arange(n)
@@ -165,8 +175,12 @@ def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS, mo
         return root
 
     def near(a, b):
-        bits = np.bitwise_count(codes[a] ^ codes[b])
-        return (bits if more is None else bits + np.bitwise_count(more[a] ^ more[b])) <= max_bits
+        hit = np.bitwise_count(codes[a] ^ codes[b]) <= max_bits
+        if more is not None:
+            at = np.flatnonzero(hit)
+            both = codes[a[at]] ^ codes[b[at]], *(more[a[at]] ^ more[b[at]]).T
+            hit[at] = sum(np.bitwise_count(x).astype(np.int64) for x in both) <= max_bits
+        return hit
 
     at = np.flatnonzero(keys[1:] == keys[:-1])
     at = at[near(at, at + 1)]
@@ -233,34 +247,46 @@ def blocks_for(n: int, max_bits: int = MAX_BITS) -> int:
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS, wide_bits: int | None = None) -> DataFrame:
     """Edges (a, b) that connect all fingerprints within ``max_bits`` of each other; with
-    ``wide_bits`` those that meet at a key of ``max_bits`` and differ in at most that many bits
-    of both fingerprints.
+    ``wide_bits`` those that meet at a key of ``max_bits`` of any of the four fingerprints and
+    differ in at most that many bits of all.
 
-    ``fps``: a long column fp, each value once, and more if there are ``wide_bits``.  The edges
-    are a forest of each key's links, so their number is at most that of the fingerprints times
-    the choices of blocks.
+    ``fps``: a long column fp, each value once; if there are ``wide_bits``, all columns of WIDE
+    and a long column node, by which the edges then name the rows.  The edges are a forest of
+    each key's links, so their number is at most that of the rows times the choices of blocks.
     """
-    codes = ["fp"] if wide_bits is None else ["fp", "more"]
-    most = max_bits if wide_bits is None else wide_bits
-    fps = fps.select(*codes)
+    names, node, most = (WIDE[:1], "fp", max_bits) if wide_bits is None else (WIDE, "node", wide_bits)
+    codes = ["node", *[f"code{i}" for i in range(len(names))]]
     masks = block_masks(blocks_for(fps.count(), max_bits), max_bits)
-    choices = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
-    keyed = fps.select(*codes, F.explode(choices).alias("key")).select("key.choice", "key.bits", *codes)
+    # the fingerprint that gives the key comes first, the others follow in turn
+    turned = [names[i:] + names[:i] for i in range(len(names))]
+    choices = F.array(
+        *[
+            F.struct(
+                F.lit(turn * len(masks) + i).alias("choice"),
+                F.col(own[0]).bitwiseAND(F.lit(m)).alias("bits"),
+                *[F.col(c).alias(code) for c, code in zip([node, *own], codes)],
+            )
+            for turn, own in enumerate(turned)
+            for i, m in enumerate(masks)
+        ]
+    )
+    keyed = fps.select(F.explode(choices).alias("key")).select("key.*")
     hot = (
         keyed.groupBy("choice", "bits")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > key_rows)
         .select("choice", "bits", F.ceil(F.col("n") / key_rows).cast("int").alias("parts"))
     )
-    salt = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    salt = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     met = (
         keyed.join(hot, ["choice", "bits"], "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("own", salt)
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-        .select("choice", "bits", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *codes, gray_rank(F.col("fp")).alias("gray"))
+        .select("choice", "bits", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *codes)
     )
-    dealt = met.repartition("choice", "bits", "p", "q").sortWithinPartitions("choice", "bits", "p", "q", "gray")
+    dealt = met.repartition("choice", "bits", "p", "q").withColumn("gray", gray_rank(F.col("code0")))
+    dealt = dealt.sortWithinPartitions("choice", "bits", "p", "q", "gray")
 
     def linked(batches):
         held: list[pa.RecordBatch] = []
@@ -283,13 +309,12 @@ def _settle(held: list, max_bits: int, last: bool):
         new[1:] |= c[1:] != c[:-1]
     keys = np.cumsum(new)
     upto = len(table) if last else int(np.searchsorted(keys, keys[-1]))
-    codes = table.column("fp").to_numpy()[:upto]
-    keys = keys[:upto]
-    more = table.column("more").to_numpy()[:upto].view(np.uint64) if "more" in table.column_names else None
-    root = gray_links(keys, codes.view(np.uint64), max_bits, more)
+    code, *more = [table.column(c).to_numpy()[:upto].view(np.uint64) for c in table.column_names if c.startswith("code")]
+    root = gray_links(keys[:upto], code, max_bits, np.column_stack(more) if more else None)
     at = np.flatnonzero(root != np.arange(upto))
     if len(at):
-        yield pa.RecordBatch.from_arrays([pa.array(codes[at]), pa.array(codes[root[at]])], names=["a", "b"])
+        node = table.column("node").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]])], names=["a", "b"])
     return table.slice(upto).to_batches()
 
 
@@ -311,10 +336,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def roots(firsts: DataFrame, max_bits: int = MAX_BITS, wide_bits: int | None = None) -> DataFrame:
-    """``firsts`` (a row for each fingerprint fp) with root: the group's smallest fingerprint."""
-    parts = connected_components(links(firsts, max_bits, wide_bits=wide_bits))
-    joined = firsts.join(parts, F.col("fp") == F.col("node"), "left")
-    return joined.withColumn("root", F.coalesce("root", "fp")).drop("node")
+    """``firsts`` (rows as ``links`` takes them) with root: the smallest fingerprint of the group,
+    with ``wide_bits`` its smallest node."""
+    name = "fp" if wide_bits is None else "node"
+    parts = connected_components(links(firsts, max_bits, wide_bits=wide_bits)).withColumnRenamed("node", "member")
+    joined = firsts.join(parts, F.col(name) == F.col("member"), "left")
+    return joined.withColumn("root", F.coalesce("root", name)).drop("member")
 
 
 def keep_one(
@@ -327,9 +354,7 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id
     (null ids last; of equal ids the first row).  All null texts, empty ones and those without
-    words have fingerprint 0 and so are one group.  Rows that repeat are one group each.  Rows
-    of one fingerprint are one group, also with ``wide_bits``; its further bits are then those
-    of the row that stays."""
+    words have fingerprint 0 and so are one group.  Rows that repeat are one group each."""
     rows = numbered(docs, text_col)
     order = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
     marked = rows.select("rid", F.col("doc").getField(id_col).alias("id"), "text")
@@ -337,8 +362,8 @@ def keep_one(
         marked = written(fingerprints(marked, F.col("text"), shingle=shingle).select("rid", "id", "fp"))
         firsts = marked.groupBy("fp").agg(F.min(order).alias("first"))
     else:
-        marked = written(wide_fingerprints(marked, F.col("text"), shingle=shingle).select("rid", "id", "fp", "more"))
-        firsts = marked.groupBy("fp").agg(F.min(F.struct(order.alias("first"), "more")).alias("x")).select("fp", "x.first", "x.more")
+        marked = written(wide_fingerprints(marked, F.col("text"), shingle=shingle).select("rid", "id", *WIDE))
+        firsts = written(marked.groupBy(*WIDE).agg(F.min(order).alias("first"), F.min("rid").alias("node")))
     groups = roots(firsts, max_bits, wide_bits).groupBy("root").agg(F.min("first").alias("first"))
     kept = groups.select(F.col("first.rid").alias("rid"))
     return rows.join(kept, "rid", "left_semi").select("doc.*")
