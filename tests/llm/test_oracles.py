@@ -20,7 +20,7 @@ def rows(names, found):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = con.execute(registry.ORACLE_SQL[name])
     want = rows([d[0] for d in found.description], found.fetchall())

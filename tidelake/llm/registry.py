@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import discriminant, fixity, mixing, neighbours, packing, rules, simhash, suffix, toxicity, urls
+from tidelake.llm import discriminant, fixity, mixing, negatives, neighbours, packing, rules, simhash, suffix, topk, toxicity, trie, urls
 from tidelake.llm.shared import WORD
 
 
@@ -180,6 +180,93 @@ WITH sizes AS (
 SELECT doc_id, size, source_size, target, size * (upto // 1000000 - (upto - rate) // 1000000) AS taken FROM run
 """
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector id; every seventh id's label is moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, moved)
+
+
+#: op11 in DuckDB: all scores of the anchors, then both rankings.
+OP11_SQL = r"""
+WITH vecs AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vecs a JOIN vecs b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3
+"""
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, each of which begins as the first of its five does."""
+    own = trie.turns_of(table(spark, sf_dir, "conversations"))
+    heads = own.where(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    held = own.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5).join(heads, "base", "left").withColumn("h", h)
+    head = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    rest = F.when(F.size("turns") > F.col("h"), F.slice("turns", F.col("h") + 1, F.size("turns"))).otherwise(F.slice("turns", 1, 0))
+    return trie.nodes(held.select("conv_id", F.concat(head, rest).alias("turns")))
+
+
+#: op12 in DuckDB: a node for each different path, CRC-32 by its bits.
+OP12_SQL = r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+             lambda c, x: list_reduce([xor(c, x)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda b, z: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295) % 9 AS h
+  FROM sizes
+), rebuilt AS (
+  SELECT heads.conv_id, r AS place, role, text FROM heads JOIN own ON own.conv_id = base AND r <= h
+  UNION ALL
+  SELECT heads.conv_id, r - h + least(h, coalesce(s.n, 0)), role, text FROM heads JOIN own ON own.conv_id = heads.conv_id AND r > h LEFT JOIN sizes s ON s.conv_id = base
+), paths AS (
+  SELECT conv_id, list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY place) AS path, strlen(text) AS size FROM rebuilt
+  UNION ALL SELECT conv_id, [], 0 FROM sizes
+), ended AS (
+  SELECT conv_id, max(len(path)) AS n FROM paths GROUP BY conv_id
+), node AS (
+  SELECT path, len(path) AS depth, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = len(path)), '')) AS ends_sha256
+  FROM paths JOIN ended USING (conv_id) GROUP BY path
+), kids AS (SELECT path[:-2] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1
+), full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (path)
+), subtree AS (
+  SELECT top.path, count(*) FILTER (below.n_children = 0) AS n_leaves, sum((below.n_convs - 1) * below.size)::BIGINT AS saved_tokens
+  FROM full_node top JOIN full_node below ON below.path[:top.depth] = top.path GROUP BY top.path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_node n JOIN subtree USING (path) LEFT JOIN node up ON n.depth > 0 AND up.path = n.path[:-2]
+"""
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest scores of every twentieth vector id; vectors that are null or not finite take no part."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+#: op13 in DuckDB.
+OP13_SQL = r"""
+WITH vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score FROM vecs a JOIN vecs b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fixity": op1_fixity,
     "op2_simhash": op2_simhash,
@@ -191,8 +278,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
     "op10_mixing": op10_mixing,
+    "op11_negatives": op11_negatives,
+    "op12_trie": op12_trie,
+    "op13_topk": op13_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_fixity": OP1_SQL, "op7_urls": OP7_SQL, "op10_mixing": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_fixity": OP1_SQL, "op7_urls": OP7_SQL, "op10_mixing": OP10_SQL, "op11_negatives": OP11_SQL, "op12_trie": OP12_SQL, "op13_topk": OP13_SQL}
 
 assert WORD in OP10_SQL
