@@ -67,6 +67,17 @@ def test_payload_types_absent_fields_and_garbage(spark):
     assert out[2].placed_ts is None and out[3].is_deleted and not out[1].is_deleted
 
 
+def test_images_are_stored_parsed_and_keep_unknown_fields(spark, tmp_path):
+    rows = [("u", 1, 0, None, '{"order_id":1,"status":"PLACED","new_field":{"a":[1,2]}}'), ("u", 2, 0, None, "{broken"), ("d", 3, 0, '{"order_id":"no number"}', None), ("u", 4, 0, None, None)]
+    df = decode.with_images(spark.createDataFrame(rows, "op string, lsn long, event_ts_ms long, before_json string, after_json string"))
+    df.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert dict(log.dtypes)["after"] == "variant"
+    assert {r.lsn: r.x for r in log.select("lsn", F.try_variant_get("after", "$.new_field.a[1]", "int").alias("x")).collect()} == {1: 2, 2: None, 3: None, 4: None}
+    # a broken image, one without a key and one whose key is no number are no rows
+    assert [(r.order_id, r.lsn) for r in decode.parse_changes(log, spec.ORDERS).collect()] == [(1, 1)]
+
+
 def test_wal_lines(spark):
     lines = [
         ("0/1", "BEGIN 5"), ("0/2", "table public.orders: INSERT: order_id[bigint]:7 status[text]:'x'"), ("0/3", "table public.orders: UPDATE: rider_id[bigint]:7"),

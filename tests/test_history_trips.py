@@ -83,6 +83,32 @@ def test_as_of_join_of_a_hot_key(spark):
     assert got.where(F.col("v") != F.floor((F.col("id") * 360 + 1) / 3600)).count() == 0 and got.where("v is not null").count() == 100_000
 
 
+def test_one_key_with_all_facts_of_a_day_is_many_tasks(spark):
+    """The longest range of the sequence, null keys and times, and the path by a row key."""
+    dim = spark.createDataFrame([(1, at(0), at(6), "a"), (1, at(6), None, "b"), (2, at(0), None, "c")], "k long, effective_from timestamp, valid_to timestamp, h string")
+    second = F.lit(at(0)) + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)") * F.lit(86_400) / 40_000)
+    facts = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, None).otherwise(F.lit(1)).cast("long").alias("k"), F.when(F.col("id") % 7 != 0, second).alias("ts"), F.lit("wide").alias("more"))
+    want = F.when(F.col("k").isNull() | F.col("ts").isNull(), None).when(F.col("ts") < F.lit(at(6)), "a").otherwise("b")
+    for row_key in ((), ("id",)):
+        got = history.scd2_as_of_join(facts, dim, "k", "ts", {"h": "h"}, row_key=row_key)
+        assert got.columns == ["id", "k", "ts", "more", "h"] and got.count() == 40_000
+        assert got.where(~F.col("h").eqNullSafe(want)).count() == 0
+    side = dim.select(F.col("k").alias("__k"), F.col("effective_from").alias("__t"), F.lit(0).alias("__kind"), F.coalesce("valid_to", F.lit(at(999))).alias("__end"), F.struct("h").alias("__v"))
+    asked = facts.where("k is not null and ts is not null").select(F.col("k").alias("__k"), F.col("ts").alias("__t"), "id", F.lit(1).alias("__kind"))
+    told = history._last_before(asked.unionByName(side, allowMissingColumns=True), ["id"], 2_000)
+    assert told.count() == asked.count() and told.where("__v is null").count() == 0
+    spread = asked.repartitionByRange(16, "__k", "__t").groupBy(F.spark_partition_id()).count()
+    assert spread.count() >= 12 and spread.agg(F.max("count")).first()[0] < asked.count() / 4
+
+
+def test_as_of_ranges_without_versions_carry_on(spark):
+    """Ranges that hold no version take the one of several ranges before; other keys do not."""
+    rows = [(1, 0, 0, "a"), *[(1, n, 1, None) for n in range(1, 200)], *[(2, n, 1, None) for n in range(50)], (2, 25, 0, "b"), (3, 1, 1, None)]
+    df = spark.createDataFrame(rows, "__k long, __t long, __kind int, v string").withColumn("__v", F.when(F.col("v").isNotNull(), F.struct("v"))).withColumn("__end", F.lit(0)).drop("v")
+    got = {(r["__k"], r["__t"]): r["__v"] and r["__v"].v for r in history._last_before(df, [], 10).collect()}
+    assert got == {(k, t): "a" if k == 1 else "b" if k == 2 and t >= 25 else None for k, t, kind, _ in rows if kind}
+
+
 def test_null_and_empty_differ_in_hashes(spark):
     df = spark.createDataFrame([(None, "a"), ("", "a"), ("a", None)], "x string, y string")
     assert df.select(attribute_hash(["x", "y"]).alias("h")).distinct().count() == 3

@@ -78,11 +78,20 @@ def to_bronze_pings(good: DataFrame, ingest_ts: Column | None = None) -> DataFra
     )
 
 
+def with_images(changes: DataFrame) -> DataFrame:
+    """Change rows with their row images as VARIANT (before, after) in place of the JSON texts:
+    parsed once, when they are stored.  Fields that no spec knows stay; what is no JSON is null."""
+    parsed = {c: F.try_parse_json(f"{c}_json") for c in ("before", "after")}
+    return changes.withColumns(parsed).drop("before_json", "after_json")
+
+
 def _parsed(changes: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The row image of a change (the old one of a delete) as a struct, beside the change's columns."""
-    image = F.when(F.col("op") == "d", F.col("before_json")).otherwise(F.col("after_json"))
-    row = F.from_json(image, spec.payload, {"mode": "PERMISSIVE"})
-    return changes.withColumn("__row", row).where(F.col(f"__row.{spec.key}").isNotNull())
+    """The row image of a change (the old one of a delete) as a struct, beside the change's columns.
+    An absent field, and one that its type cannot hold, is null."""
+    changes = changes if "after" in changes.columns else with_images(changes)
+    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    fields = [F.try_variant_get(image, f"$.{f}", t).alias(f) for f, t in spec.types.items()]
+    return changes.withColumn("__row", F.struct(*fields)).where(F.col(f"__row.{spec.key}").isNotNull())
 
 
 def _typed(spec: EntitySpec) -> list[Column]:

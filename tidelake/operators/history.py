@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
+
+from tidelake.sources.tables import stored
 
 #: Where the first window of a key is opened back to (fixed value).
 BEGINNING = "1900-01-01"
-#: Seconds of a time bucket of the as-of join: so much of one key's history meets in a task.
-BUCKET_S = 30 * 86_400
 
 
 def timeline(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
@@ -79,34 +84,87 @@ def in_force(at: Column, effective_from: Column, valid_to: Column) -> Column:
     return (at >= effective_from) & (valid_to.isNull() | (at < valid_to))
 
 
-def scd2_as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: dict[str, str], fact_key: str | None = None) -> DataFrame:
+def scd2_as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: dict[str, str], fact_key: str | None = None, row_key: Sequence[str] = ()) -> DataFrame:
     """Facts with ``columns`` (version column: output name) of the version in force at ``at``;
     null where there is none.  The windows of a key must not overlap.
 
-    Facts and versions of a key stand in one sequence by time, where a fact's version is the
-    last before it: no pair of a fact and a version is formed.  The sequence is cut into
-    buckets of time, so that a hot key is many tasks; a bucket without a version before the
-    fact takes the last one of the buckets before, found over one row for each key and bucket.
+    Only key and time of the facts, and ``row_key`` if the facts have one that no two rows share
+    (else each different key and time once), go into a sequence with the versions, dealt in ranges
+    of (key, time): a key of any size is as many tasks as its rows take, and no pair of a fact and
+    a version is formed.  In a range a fact's version is the last before it; what the ranges before
+    have to add is one row for each range (``_carried``).  Facts without key or time find nothing
+    and pass by.  The answers meet the facts by ``row_key``, by which these may be dealt already.
     """
-    bucket = lambda t: F.floor(F.unix_timestamp(t.cast("timestamp")) / BUCKET_S)
     found = F.struct(F.col("valid_to").alias("to"), *[F.col(c).alias(n) for c, n in columns.items()])
-    side = versions.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col("effective_from").alias("__t"), found.alias("__v"), F.lit(0).alias("__kind"))
     # of versions that begin together the one that lasts is the last
-    side = side.withColumn("__end", F.coalesce(F.col("__v.to"), F.lit("9999-12-31").cast(versions.schema["valid_to"].dataType)))
-    asked = facts.withColumns({"__k": F.col(fact_key or key), "__t": F.col(at), "__kind": F.lit(1)})
-    both = asked.unionByName(side, allowMissingColumns=True).withColumn("__bucket", bucket(F.col("__t")))
-    so_far = Window.partitionBy("__k", "__bucket").orderBy("__t", "__kind", "__end").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("__own", F.last("__v", ignorenulls=True).over(so_far)).where("__kind = 1").drop("__v", "__end", "__kind")
-
-    latest = side.withColumn("__bucket", bucket(F.col("__t"))).groupBy("__k", "__bucket").agg(F.max_by("__v", F.struct("__t", "__end")).alias("__v"))
-    wanted = asked.where("__k is not null and __t is not null").select("__k", bucket(F.col("__t")).alias("__bucket")).distinct().withColumn("__asked", F.lit(True))
-    before = Window.partitionBy("__k").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = wanted.join(latest, ["__k", "__bucket"], "full_outer").withColumn("__carried", F.last("__v", ignorenulls=True).over(before))
-    carried = carried.where("__asked and __carried is not null").select("__k", "__bucket", "__carried")
-
-    joined = both.join(carried, ["__k", "__bucket"], "left").withColumn("__v", F.coalesce("__own", "__carried"))
+    last = F.coalesce(F.col("valid_to"), F.lit("9999-12-31").cast(versions.schema["valid_to"].dataType))
+    side = versions.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col("effective_from").alias("__t"), F.lit(0).alias("__kind"), last.alias("__end"), found.alias("__v"))
+    asked = facts.select(F.col(fact_key or key).alias("__k"), F.col(at).alias("__t"), *row_key).where("__k is not null and __t is not null")
+    asked = (asked if row_key else asked.distinct()).withColumn("__kind", F.lit(1))
+    told = _last_before(asked.unionByName(side, allowMissingColumns=True), row_key)
     holds = F.col("__v.to").isNull() | (F.col("__t") < F.col("__v.to"))
-    return joined.select(*facts.columns, *[F.when(holds, F.col("__v").getField(n)).alias(n) for n in columns.values()])
+    told = told.select(*(row_key or [F.col("__k"), F.col("__t")]), *[F.when(holds, F.col("__v").getField(n)).alias(n) for n in columns.values()])
+    if row_key:
+        return facts.join(told, list(row_key), "left").select(*facts.columns, *columns.values())
+    return facts.join(told, (F.col(fact_key or key) == F.col("__k")) & (F.col(at) == F.col("__t")), "left").select(*facts.columns, *columns.values())
+
+
+#: Rows of a range of the sequence of facts and versions: so many meet in a task on average.
+RANGE_ROWS = 500_000
+
+
+def _last_before(rows: DataFrame, row_key: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The facts (__kind 1) of a sequence with the last __v before each, null where there is none.
+
+    The sequence is written once, as cutting ranges reads it twice.  Every range is read once, in
+    order, and written: its facts, and at its end a row with the range's first and last key and the
+    version the last key has there (__kind 2).
+    """
+    rows = stored(rows)
+    spark = rows.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // range_rows))
+    order = ["__k", "__t", "__kind", "__end"]
+    rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(*order[:3], *row_key, "__v").withColumn("__range", F.spark_partition_id())
+    kinds = {f.name: f.dataType for f in rows.schema}
+    out = StructType([*rows.schema.fields, StructField("__first", kinds["__k"]), StructField("__open", BooleanType())])
+    told = stored(rows.mapInArrow(_carry_on, out))
+    facts = told.where("__kind = 1").select(*order[:2], *row_key, "__v", "__range", "__open")
+
+    # each range's first key takes what the ranges before have for that key: two rows for each range
+    ends = told.where("__kind = 2")
+    ends = ends.select(F.explode(F.array(*[F.struct(F.col(c).alias("__k"), "__range", F.lit(side).alias("side"), v.alias("__v")) for c, side, v in (("__first", 0, F.lit(None).cast(kinds["__v"])), ("__k", 1, F.col("__v")))])).alias("e")).select("e.*")
+    before = Window.partitionBy("__k").orderBy("__range", "side").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("__carried", F.last("__v", ignorenulls=True).over(before)).where("side = 0").select("__range", "__carried")
+    joined = facts.join(carried, "__range")
+    return joined.withColumn("__v", F.when(F.col("__open"), F.col("__carried")).otherwise(F.col("__v"))).drop("__range", "__open", "__carried")
+
+
+def _carry_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gives each fact of a sorted range the last version of its key before it; __open: there is
+    none in this range, and its key is the range's first."""
+    first = last = held = None
+    for b in batches:
+        if not len(b):
+            continue
+        names = b.schema.names
+        key, version = b.column("__k"), b.column("__v")
+        if first is None:
+            first, last, held = key.slice(0, 1), key.slice(0, 1), pa.nulls(1, version.type)
+        at = np.arange(len(b))
+        new = np.append(last[0] != key[0], pc.not_equal(key.slice(1), key.slice(0, len(b) - 1)).to_numpy(zero_copy_only=False))
+        begin = np.maximum.accumulate(np.where(new, at, -1))
+        latest = np.maximum.accumulate(np.where(b.column("__kind").to_numpy() == 0, at, -1))
+        # place 0 of the pool is what the batch before has left, for the key it ended with
+        take = np.where(latest >= np.maximum(begin, 0), latest + 1, np.where(begin < 0, 0, -1))
+        pool = pa.concat_arrays([held, version])
+        given = pool.take(pa.array(take, mask=take < 0))
+        open_ = pc.and_(pc.is_null(given), pc.equal(key, first[0]))
+        whole = pa.RecordBatch.from_arrays([*[given if n == "__v" else b.column(n) for n in names], key, open_], names=[*names, "__first", "__open"])
+        yield whole.filter(pc.equal(b.column("__kind"), 1))
+        last, held = key.slice(len(b) - 1), given.slice(len(b) - 1)
+    if first is not None:
+        one = {"__k": last, "__kind": pa.array([2], pa.int32()), "__v": held, "__range": b.column("__range").slice(0, 1), "__first": first, "__open": pa.array([False])}
+        yield pa.RecordBatch.from_arrays([one.get(f.name, pa.nulls(1, f.type)) for f in whole.schema], names=whole.schema.names)
 
 
 def scd2_overlaps(versions: DataFrame, key: str) -> DataFrame:

@@ -148,10 +148,10 @@ def payload(df: DataFrame, fields: list[str]) -> F.Column:
 
 
 def as_bronze(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Typed change rows as the change log's rows: op, lsn, event_ts_ms, images as JSON."""
-    row = F.to_json(payload(df, fields))
+    """Typed change rows as the change log's rows: op, lsn, event_ts_ms, images as VARIANT."""
+    row = F.to_variant_object(payload(df, fields))
     gone = F.col("op") == "d"
-    return df.select("op", "lsn", F.unix_millis("updated_at").alias("event_ts_ms"), F.when(gone, row).alias("before_json"), F.when(~gone, row).alias("after_json"))
+    return df.select("op", "lsn", F.unix_millis("updated_at").alias("event_ts_ms"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"))
 
 
 #: Shape of the envelopes that ``messages`` writes for ``changes``.

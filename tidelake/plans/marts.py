@@ -107,34 +107,37 @@ def dim_menu_item(staged: DataFrame) -> DataFrame:
 
 def fact_delivery(orders: DataFrame, dates: DataFrame, customers: DataFrame, restaurants: DataFrame, riders: DataFrame, weather: DataFrame, grace_minutes: float = SLA_GRACE_MINUTES) -> DataFrame:
     """One row for each live order with the keys of its dimensions; restaurant and rider as
-    they were when the order was placed."""
+    they were when the order was placed.  ``orders``, one row for each order_id, are read once for
+    each as-of join and once more; so they should be a stored table."""
     rows = orders.where("not is_deleted").withColumn("__day", F.to_date("placed_ts"))
-    rows = scd2_as_of_join(rows, restaurants, "restaurant_id", "placed_ts", {"restaurant_sk": "restaurant_sk", "city": "city", "cuisine": "cuisine", "commission_pct": "commission_pct"})
-    rows = scd2_as_of_join(rows, riders, "rider_id", "placed_ts", {"rider_sk": "rider_sk"})
+    rows = scd2_as_of_join(rows, restaurants, "restaurant_id", "placed_ts", {"restaurant_sk": "restaurant_sk", "city": "city", "cuisine": "cuisine", "commission_pct": "commission_pct"}, row_key=["order_id"])
+    rows = scd2_as_of_join(rows, riders, "rider_id", "placed_ts", {"rider_sk": "rider_sk"}, row_key=["order_id"])
     rows = rows.join(dates.select("date_sk", F.col("date_day").alias("__day")), "__day", "left")
     rows = rows.join(customers.select("customer_sk", "customer_id"), "customer_id", "left")
     rows = rows.join(weather.select("weather_sk", "city", F.col("weather_date").alias("__day")), ["city", "__day"], "left")
     done, late = F.col("is_delivered"), F.col("sla_breach_minutes")
     commission = F.col("subtotal_inr") * F.col("commission_pct") / F.lit(100)
-    fee = F.col("delivery_fee_inr")
     return rows.select(
         surrogate_key(["order_id"]).alias("order_sk"), "order_id", "date_sk", "customer_sk", "restaurant_sk", "rider_sk", "weather_sk",
         "customer_id", "restaurant_id", "rider_id", "city", "cuisine", "status",
         "placed_ts", "accepted_ts", "picked_up_ts", "delivered_ts", "promised_ts", "prep_minutes", "transit_minutes", "total_minutes",
         F.when(done, late).alias("sla_breach_minutes"), F.when(done, late > grace_minutes).alias("sla_breach_flag"),
         F.col("subtotal_inr").alias("gross_revenue_inr"), "discount_inr", "delivery_fee_inr", "total_inr",
-        F.round(commission, 2).alias("commission_inr"), fee.alias("rider_payout_inr"),
-        # the fee comes in and goes out to the rider
-        F.round(commission + fee - fee - F.col("discount_inr"), 2).alias("contribution_margin_inr"),
+        F.round(commission, 2).alias("commission_inr"), F.col("delivery_fee_inr").alias("rider_payout_inr"),
+        # the delivery fee comes in and goes out to the rider
+        F.round(commission - F.col("discount_inr"), 2).alias("contribution_margin_inr"),
         F.col("is_cancelled").alias("cancelled_flag"), "cancel_reason", "is_delivered", "is_terminal",
     )
 
 
 def fact_order_item(items: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
-    """One row for each live line of a live order, with the menu's price when it was placed."""
+    """One row for each live line of a live order, with the menu's price when it was placed.
+    ``items``, one row for each order_item_id, and ``orders`` are read twice, of the second time
+    only what the as-of join needs; so they should be stored tables."""
     head = orders.where("not is_deleted").select("order_id", "placed_ts", "restaurant_id", F.col("status").alias("order_status"))
     rows = items.where("not is_deleted").join(head, "order_id")
-    rows = scd2_as_of_join(rows, menu, "menu_item_id", "placed_ts", {"menu_item_sk": "menu_item_sk", "menu_item_name": "menu_item_name", "menu_price_inr": "menu_price_inr"})
+    found = {"menu_item_sk": "menu_item_sk", "menu_item_name": "menu_item_name", "menu_price_inr": "menu_price_inr"}
+    rows = scd2_as_of_join(rows, menu, "menu_item_id", "placed_ts", found, row_key=["order_item_id"])
     return rows.select(
         surrogate_key(["order_item_id"]).alias("order_item_sk"), surrogate_key(["order_id"]).alias("order_sk"), "menu_item_sk",
         "order_item_id", "order_id", "menu_item_id", "restaurant_id", "menu_item_name", "qty", "unit_price_inr", "line_total_inr",

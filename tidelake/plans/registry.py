@@ -18,7 +18,7 @@ from tidelake.functions.geo import bearing_deg, haversine_km
 from tidelake.functions.keys import attribute_hash, surrogate_key
 from tidelake.operators import datatests, decode, expectations, history, reports, state, trips
 from tidelake.plans import calendar, inputs, marts, spec
-from tidelake.sources import payloads, tables
+from tidelake.sources import keyed, payloads, tables
 from tidelake.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,18 +172,16 @@ _ORDER_COLUMNS = [c.strip() for c in f"{_ORDER_FIELDS}, {_ORDER_MONEY}, is_delet
 
 
 def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
-    """An entity's change log as a stored table, images as JSON."""
-    path = tables.scratch_dir(spark)
+    """An entity's change log as a stored table, images as VARIANT."""
     rows, cores = given(spark, sf, name), spark.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < cores:
         # a small table is one file of one row group: without this it stays one task's to the end
         rows = rows.repartition(cores, "lsn")
-    inputs.as_bronze(rows, entity.fields).write.parquet(path)
-    return spark.read.parquet(path)
+    return tables.stored(inputs.as_bronze(rows, entity.fields))
 
 
 def order_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Order changes that went through the change log's JSON."""
+    """Order changes that went through the change log."""
     return decode.parse_changes(bronze_table(spark, sf, "order_changes", spec.ORDERS), spec.ORDERS)
 
 
@@ -475,10 +473,18 @@ for _which in ("menu", "restaurant"):
     @query(f"merge_scd2_{_which}", f"SELECT {DIMS[_which][0].key}, attr_hash, {_WINDOW} FROM versions_{_which}", (f"parsed_{_which}", f"versions_{_which}"))
     def _(spark, sf, which=_which):
         rows, key = dim_rows(spark, sf, which), DIMS[which][0].key
-        first = history.apply_changes(None, rows.where(F.col("lsn") <= _CUT), key)
+        table = keyed.KeyedTable(spark, tables.scratch_dir(spark), [key])
+
+        def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
+            if old is None:
+                return history.scd2_versions(batch, key)
+            new = history.scd2_versions(batch, key, old.where("is_current"))
+            return history.merge_scd2(old, history.scd2_stage(new, key), key)
+
+        table.merge(rows.where(F.col("lsn") <= _CUT), 0, merge)
         # the second batch brings part of the first again
-        second = rows.where(F.col("lsn") > _CUT - 86_400_000_000 * 30)
-        return history.apply_changes(first, second, key).select(key, "attr_hash", *_WINDOW_COLUMNS)
+        table.merge(rows.where(F.col("lsn") > _CUT - 86_400_000_000 * 30), 1, merge)
+        return table.read().select(key, "attr_hash", *_WINDOW_COLUMNS)
 
 
 def _effective(which: str) -> str:
@@ -533,7 +539,8 @@ def _(spark, sf):
 
 
 def staged_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.stg_orders(state.latest_state(order_rows(spark, sf), ["order_id"]))
+    """The orders as they are, stored: facts read them several times."""
+    return marts.stg_orders(tables.stored(state.latest_state(order_rows(spark, sf), ["order_id"])))
 
 
 def entity_rows(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
@@ -719,7 +726,7 @@ SHARED["order_lines"] = f"""SELECT i.order_item_id, i.order_id, i.menu_item_id,
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     items = marts.stg_order_items(entity_rows(spark, sf, "item_changes", spec.ORDER_ITEMS))
-    return marts.fact_order_item(items, staged_orders(spark, sf), menu(spark, sf))
+    return marts.fact_order_item(tables.stored(items), staged_orders(spark, sf), menu(spark, sf))
 
 
 @query("fact_order_item", """SELECT order_item_id, order_id, menu_item_sk, restaurant_id, menu_item_name, qty, CAST(line_total_inr AS DOUBLE) AS line_total_inr, CAST(menu_price_inr AS DOUBLE) AS menu_price_inr,
@@ -1062,9 +1069,13 @@ def _(spark, sf):
 
 @query("late_reconciliation", f"SELECT {_ORDER_SQL} FROM orders_now", ("orders_now",))
 def _(spark, sf):
+    """A stored table of orders that gets one step of each order's changes late."""
     rows = order_rows(spark, sf)
-    early = state.latest_state(rows.where("lsn % 8 <> 2"), ["order_id"])
-    return state.merge_latest_guarded(early, rows.where("lsn % 8 = 2"), ["order_id"]).select(*_ORDER_COLUMNS)
+    table = keyed.KeyedTable(spark, tables.scratch_dir(spark), ["order_id"])
+    merge = lambda old, new: state.latest_state(new, ["order_id"]) if old is None else state.merge_latest_guarded(old, new, ["order_id"])
+    table.merge(rows.where("lsn % 8 <> 2"), 0, merge)
+    table.merge(rows.where("lsn % 8 = 2"), 1, merge)
+    return table.read().select(*_ORDER_COLUMNS)
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -1086,17 +1097,18 @@ def _(spark, sf):
     """Messages decoded and merged batch by batch; the last batch brings a fifth of all again."""
     base = tables.scratch_dir(spark)
     raw = inputs.messages(given(spark, sf, "changes"))
-    table = streams.Snapshot(spark, f"{base}/bronze")
+    table = keyed.KeyedTable(spark, f"{base}/bronze", state.CHANGE_IDENTITY)
 
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
+    def prepare(batch: DataFrame) -> DataFrame:
         good = decode.classify_batch(decode.decode_envelope(decode.strip_wire_header(batch), inputs.ENVELOPE)).good
         new = decode.to_bronze_changes(good, "orders", ingest_ts=F.col("timestamp")).withColumn("source_table", F.substring("topic", 5, 20))
-        new = state.dedup_changes(new)
-        return new if old is None else state.merge_insert_only(old, new, state.CHANGE_IDENTITY)
+        return state.dedup_changes(new)
+
+    merge = lambda old, new: new if old is None else state.merge_insert_only(old, new, state.CHANGE_IDENTITY)
 
     def run():
         stream = streams.read_change_stream(spark, f"{base}/in", schema=raw.schema, files=ALL_FILES)
-        streams.foreach_batch_sink(stream, table.merging(merge), f"{base}/ck", f"bronze_{abs(hash(base))}").awaitTermination()
+        streams.foreach_batch_sink(stream, table.merging(merge, prepare), f"{base}/ck", f"bronze_{abs(hash(base))}").awaitTermination()
 
     third = F.pmod(F.xxhash64("topic", "offset"), F.lit(3))
     fed([*(raw.where(third == i) for i in range(3)), raw.where("offset % 5 = 0")], f"{base}/in", run)
@@ -1108,12 +1120,13 @@ def _(spark, sf):
     """A stored change log read as a stream into a dimension, batches in log order."""
     base = tables.scratch_dir(spark)
     rows = inputs.as_bronze(given(spark, sf, "menu_changes"), spec.MENU_ITEMS.fields)
-    table = streams.Snapshot(spark, f"{base}/dim")
-    merge = lambda old, batch: history.apply_changes(old, decode.parse_dim_changes(batch, spec.MENU_ITEMS), "menu_item_id")
+    table = keyed.KeyedTable(spark, f"{base}/dim", ["menu_item_id"])
+    merge = lambda old, batch: history.apply_changes(old, batch, "menu_item_id")
+    prepare = lambda batch: decode.parse_dim_changes(batch, spec.MENU_ITEMS)
 
     def run():
         stream = streams.read_table_stream(spark, f"{base}/log", rows.schema)
-        streams.foreach_batch_sink(stream, table.merging(merge), f"{base}/ck", f"dim_{abs(hash(base))}").awaitTermination()
+        streams.foreach_batch_sink(stream, table.merging(merge, prepare), f"{base}/ck", f"dim_{abs(hash(base))}").awaitTermination()
 
     fed([rows.where(F.col("lsn") <= _CUT), rows.where(F.col("lsn") > _CUT)], f"{base}/log", run)
     return table.read().select("menu_item_id", "attr_hash", *_WINDOW_COLUMNS)
@@ -1139,7 +1152,7 @@ def _(spark, sf):
     """Pings of a day's trips as a stream in time order; the last update of each trip."""
     base = tables.scratch_dir(spark)
     p = _day_trips(spark, sf).drop("offset").withColumn("arrived", F.col("event_ts"))
-    table = streams.Snapshot(spark, f"{base}/trips")
+    table = keyed.KeyedTable(spark, f"{base}/trips", trips.TRIP_KEY)
     merge = lambda old, batch: batch if old is None else state.merge_restate(old, batch, trips.TRIP_KEY)
 
     def run():

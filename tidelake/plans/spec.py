@@ -16,9 +16,13 @@ class EntitySpec:
     tracked: tuple[str, ...] = ()
     timestamps: tuple[str, ...] = ("updated_at",)
 
+    @property
+    def types(self) -> dict[str, str]:
+        return dict(f.split(None, 1) for f in _split(self.payload))
+
     @property
     def fields(self) -> list[str]:
-        return [f.split()[0] for f in _split(self.payload)]
+        return list(self.types)
 
 
 def _split(ddl: str) -> list[str]:

@@ -118,3 +118,10 @@ def scratch_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="spark-scratch-", dir="/tmp")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/core-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """Rows as a table in the shared folder: computed once, however often and by whomever they are read."""
+    path = scratch_dir(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidelake.functions.geo import haversine_km
+from tidelake.sources.keyed import KeyedTable
 from tidelake.sources.tables import has_source
 
 #: Rows of a trigger at most (Kafka offsets).
@@ -61,35 +62,11 @@ def foreach_batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], Any]
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-class Snapshot:
-    """A table kept as full copies ``<path>/v<batch>``; the newest is the table.
-
-    A micro-batch that runs again after a failure starts from the copy before it, so its
-    merge is applied once.
-    """
+class Snapshot(KeyedTable):
+    """A stored table without keys: every merge rewrites it as a whole."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def versions(self) -> list[int]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        found = [f.getPath() for f in files.listStatus(folder)]
-        whole = [p for p in found if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName()[1:]) for p in whole)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        old = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v{old[-1]}") if old else None
-
-    def write(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-
-    def merging(self, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-        """A ``foreach_batch_sink`` writer: merge(table so far or None, batch)."""
-        return lambda batch, number: self.write(merge(self.read(number), batch), number)
+        super().__init__(spark, path)
 
 
 TRIP_OUTPUT = (
