@@ -15,10 +15,13 @@ salted, and every pair of salts becomes a group of its own, so that no task hold
 about twice that many and still every pair meets.  Only a spanning forest of each group's
 links leaves the task, never all pairs.
 
-``keep_one`` may judge by similarity instead: three further fingerprints, of other hashes of the
-same shingles, make 256 bits, of which linked texts differ in at most ``wide_bits``.  Every one of
-the four has the keys of the index, so each pair within ``max_bits`` in one of them meets, and of
-the pairs beyond it all that agree on one choice of blocks in one of them.
+``keep_one`` may judge by similarity instead, the Jaccard similarity of the sets of shingles.  Then
+further fingerprints are made of other hashes of the same shingles.  Each has the keys of the index;
+how many there are grows with the table, as keys must be cut finer there, so that a pair of
+similarity 0.8 meets with a chance of at least 0.93 at every size (``KEYED``).  Pairs that meet and
+differ in at most ``WIDE_BITS`` of the first four fingerprints' 256 bits are candidates; of these a
+few edge-disjoint forests of each key leave the task, near pairs first (``FORESTS``).  The shingle
+sets of a candidate's texts are then compared, and only pairs that are similar enough become links.
 """
 
 from __future__ import annotations
@@ -44,11 +47,22 @@ FANOUT = 16
 OPENED = 8_192
 #: Mean number of fingerprints of a key at which the bits are cut more finely.
 MEAN_KEY = 64
-#: The four fingerprints by which similarity is judged.
+#: The four fingerprints by which candidates are judged.
 WIDE = ["fp", "more1", "more2", "more3"]
-#: Differing bits of all four up to which texts count as similar: sets of a Jaccard similarity
-#: of 0.8 differ in 39 of 256 bits on average, of 0.9 in 26, of 0.7 in 49, of 0.6 in 59.
-WIDE_BITS = 44
+#: Differing bits of those four up to which texts are candidates: sets of a Jaccard similarity of
+#: 0.8 differ in 38 of 256 bits on average and in more than 52 with a chance of 0.005.
+WIDE_BITS = 52
+#: Differing bits of the key's own fingerprint up to which they are looked at; as above 9, and over 24 with a chance below 1e-6.
+OWN_BITS = 24
+#: Fingerprints that have keys, by the number of blocks: pairs of similarity 0.8 meet with a chance
+#: of 0.93, 0.94, 0.93 and 0.92, computed for independent bits.
+KEYED = {5: 4, 6: 8, 7: 12, 8: 16}
+#: As MEAN_KEY, where candidates are judged by similarity.
+MEAN_WIDE_KEY = 1_024
+#: Candidates of a key: so many forests, none with an edge of another, each taken in these steps of
+#: differing bits.  A link between two groups is lost only if so many nearer candidates between
+#: them prove to be not similar enough.
+FORESTS, STEPS = 3, (20, 32, 42, WIDE_BITS)
 
 
 # --- fingerprints -----------------------------------------------------------------------
@@ -87,10 +101,15 @@ def second_hashes(hashes: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def wide_simhash(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) -> list[int]:
-    """The fingerprints of WIDE of one text, each of other hashes made of those before."""
+def wide_names(n: int) -> list[str]:
+    """The columns of n fingerprints of a text; the first four are those of WIDE."""
+    return ["fp", *[f"more{i}" for i in range(1, n)]]
+
+
+def wide_simhash(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED, n: int = len(WIDE)) -> list[int]:
+    """n fingerprints of one text, each of other hashes made of those before."""
     hashes, out = shingle_hashes(text, shingle, seed), []
-    for _ in WIDE:
+    for _ in range(n):
         out.append(majority(hashes))
         hashes = second_hashes(hashes)
     return out
@@ -108,18 +127,37 @@ def fingerprints(docs: DataFrame, text: Column, name: str = "fp", shingle: int =
     return docs.withColumn(name, of(text.cast("binary")))
 
 
-def wide_fingerprints(docs: DataFrame, text: Column, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``docs`` with the four long columns of WIDE: fp as above, and those of other hashes."""
+def wide_fingerprints(docs: DataFrame, text: Column, shingle: int = SHINGLE, seed: int = SEED, n: int = len(WIDE)) -> DataFrame:
+    """``docs`` with n further long columns: fp as above, and fingerprints of other hashes."""
+    names = wide_names(n)
 
-    @F.pandas_udf(", ".join(f"{c} long" for c in WIDE))
+    @F.pandas_udf(", ".join(f"{c} long" for c in names))
     def of(texts):
         import pandas as pd
 
-        return pd.DataFrame([wide_simhash(t, shingle, seed) for t in texts], columns=WIDE, dtype="int64")
+        return pd.DataFrame([wide_simhash(t, shingle, seed, n) for t in texts], columns=names, dtype="int64")
 
     return docs.withColumn("wide", of(text.cast("binary"))).select(*docs.columns, "wide.*")
 
 
+def shingle_sets(docs: DataFrame, text: Column, name: str = "set", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``docs`` with a further column ``name``: the different hashes of a text's shingles, ascending."""
+
+    @F.pandas_udf("array<long>")
+    def of(texts):
+        import pandas as pd
+
+        return pd.Series([np.unique(shingle_hashes(t, shingle, seed).view("<i8")) for t in texts], dtype=object)
+
+    return docs.withColumn(name, of(text.cast("binary")))
+
+
+def jaccard(one: np.ndarray, two: np.ndarray) -> float:
+    """Similarity of two ascending arrays of different values; two empty ones are alike."""
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
+
+
 def hex16(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
@@ -162,30 +200,30 @@ def _join_labels(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = up
 
 
-def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS, more: np.ndarray | None = None) -> np.ndarray:
-    """For each code the smallest index linked to it, through any number of links, inside its key.
-
-    keys: a number for each code, equal ones together.  codes: uint64, in Gray order in a key.
-    more: further words of 64 bits of each code, a row each, whose differences count as well;
-    the groups are pruned by the first 64 alone, which is a lower bound.
-    """
-    n = len(codes)
-    root = np.arange(n)
-    if n < 2:
-        return root
-
-    def near(a, b):
-        hit = np.bitwise_count(codes[a] ^ codes[b]) <= max_bits
-        if more is not None:
-            at = np.flatnonzero(hit)
-            both = codes[a[at]] ^ codes[b[at]], *(more[a[at]] ^ more[b[at]]).T
-            hit[at] = sum(np.bitwise_count(x).astype(np.int64) for x in both) <= max_bits
-        return hit
+def _span(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Unites the sets of a[i] and b[i] in place and tells which pairs did it: a forest."""
+    taken, open_ = np.zeros(len(a), dtype=bool), np.arange(len(a))
+    while True:
+        ra, rb = parent[a[open_]], parent[b[open_]]
+        apart = ra != rb
+        open_, ra, rb = open_[apart], ra[apart], rb[apart]
+        if not len(open_):
+            return taken
+        # each larger root hooks once, by its first pair
+        hooked, first = np.unique(np.maximum(ra, rb), return_index=True)
+        taken[open_[first]] = True
+        parent[hooked] = np.minimum(ra, rb)[first]
+        while True:
+            up = parent[parent]
+            if np.array_equal(up, parent):
+                break
+            parent[:] = up
 
-    at = np.flatnonzero(keys[1:] == keys[:-1])
-    at = at[near(at, at + 1)]
-    _join_labels(root, at, at + 1)
 
+def _visit(keys: np.ndarray, codes: np.ndarray, max_bits: int, root: np.ndarray, found) -> None:
+    """Gives ``found`` all pairs of codes of a key that groups of up to ``max_bits`` differing bits
+    leave, but for those of nodes whose members ``root`` has in one set already."""
+    n = len(codes)
     starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
     # levels[j]: first child of each node, end of the children, shared bits, their mask, first node of each key
     levels, both, either = [], codes, codes
@@ -216,16 +254,58 @@ def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS, mo
         k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         ca, cb = first[a][pair] + k // nb[pair], first[b][pair] + k % nb[pair]
         if level == 0:
-            hit = (ca < cb) & near(ca, cb)
-            _join_labels(root, ca[hit], cb[hit])
+            found(ca[ca < cb], cb[ca < cb])
             continue
         _, _, shared, mask = levels[level - 1]
         keep = (ca <= cb) & (np.bitwise_count((shared[ca] ^ shared[cb]) & mask[ca] & mask[cb]) <= max_bits)
         if keep.any():
             work.append((level - 1, ca[keep], cb[keep]))
+
+
+def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+    """For each code the smallest index linked to it, through any number of links, inside its key.
+
+    keys: a number for each code, equal ones together.  codes: uint64, in Gray order in a key.
+    """
+    root = np.arange(len(codes))
+    if len(codes) < 2:
+        return root
+    near = lambda a, b: np.bitwise_count(codes[a] ^ codes[b]) <= max_bits
+    at = np.flatnonzero(keys[1:] == keys[:-1])
+    at = at[near(at, at + 1)]
+    _join_labels(root, at, at + 1)
+
+    def found(a, b):
+        hit = near(a, b)
+        _join_labels(root, a[hit], b[hit])
+
+    _visit(keys, codes, max_bits, root, found)
     return root
 
 
+def gray_forests(keys: np.ndarray, codes: np.ndarray, judged: np.ndarray, own_bits: int = OWN_BITS, steps: tuple = STEPS, forests: int = FORESTS) -> tuple[np.ndarray, ...]:
+    """Pairs (a, b, bits) of codes of a key that differ in at most ``own_bits`` and, in the words of
+    ``judged`` (a row for each code), in at most the last of ``steps``: forests of them, near pairs first."""
+    roots, out = [np.arange(len(codes)) for _ in range(forests)], []
+    if len(codes) < 2:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    for low, high in zip((-1, *steps), steps):
+
+        def found(a, b, low=low, high=high):
+            some = np.bitwise_count(codes[a] ^ codes[b]) <= own_bits
+            a, b = a[some], b[some]
+            bits = np.bitwise_count(judged[a] ^ judged[b]).sum(axis=1, dtype=np.int64)
+            some = (bits > low) & (bits <= high)
+            a, b, bits = a[some], b[some], bits[some]
+            for root in roots:
+                taken = _span(root, a, b)
+                out.append((a[taken], b[taken], bits[taken]))
+                a, b, bits = a[~taken], b[~taken], bits[~taken]
+
+        _visit(keys, codes, own_bits, roots[-1], found)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
+
+
 # --- links and groups -------------------------------------------------------------------
 
 
@@ -237,71 +317,108 @@ def block_masks(blocks: int, max_bits: int = MAX_BITS) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
-def blocks_for(n: int, max_bits: int = MAX_BITS) -> int:
-    """The fewest blocks at which random fingerprints leave at most MEAN_KEY to a key."""
+def blocks_for(n: int, max_bits: int = MAX_BITS, mean_key: int = MEAN_KEY) -> int:
+    """The fewest blocks at which random fingerprints leave at most ``mean_key`` to a key."""
     for blocks in range(max_bits + 1, 2 * max_bits + 1):
-        if n <= MEAN_KEY * 2 ** (64 * (blocks - max_bits) / blocks):
+        if n <= mean_key * 2 ** (64 * (blocks - max_bits) / blocks):
             return blocks
     return 2 * max_bits
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS, wide_bits: int | None = None) -> DataFrame:
-    """Edges (a, b) that connect all fingerprints within ``max_bits`` of each other; with
-    ``wide_bits`` those that meet at a key of ``max_bits`` of any of the four fingerprints and
-    differ in at most that many bits of all.
-
-    ``fps``: a long column fp, each value once; if there are ``wide_bits``, all columns of WIDE
-    and a long column node, by which the edges then name the rows.  The edges are a forest of
-    each key's links, so their number is at most that of the rows times the choices of blocks.
-    """
-    names, node, most = (WIDE[:1], "fp", max_bits) if wide_bits is None else (WIDE, "node", wide_bits)
-    codes = ["node", *[f"code{i}" for i in range(len(names))]]
-    masks = block_masks(blocks_for(fps.count(), max_bits), max_bits)
-    # the fingerprint that gives the key comes first, the others follow in turn
-    turned = [names[i:] + names[:i] for i in range(len(names))]
+def _dealt(fps: DataFrame, node: str, keyed: list[str], judged: list[str], masks: list[int], key_rows: int) -> DataFrame:
+    """(choice, bits, p, q, node, code0, ...): rows where they meet, by each choice of blocks of each
+    fingerprint of ``keyed`` (code0; the others are those of ``judged``), in Gray order."""
+    codes = ["node", *[f"code{i}" for i in range(1 + len(judged))]]
     choices = F.array(
         *[
             F.struct(
                 F.lit(turn * len(masks) + i).alias("choice"),
-                F.col(own[0]).bitwiseAND(F.lit(m)).alias("bits"),
-                *[F.col(c).alias(code) for c, code in zip([node, *own], codes)],
+                F.col(own).bitwiseAND(F.lit(m)).alias("bits"),
+                *[F.col(c).alias(code) for c, code in zip([node, own, *judged], codes)],
             )
-            for turn, own in enumerate(turned)
+            for turn, own in enumerate(keyed)
             for i, m in enumerate(masks)
         ]
     )
-    keyed = fps.select(F.explode(choices).alias("key")).select("key.*")
+    rows = fps.select(F.explode(choices).alias("key")).select("key.*")
     hot = (
-        keyed.groupBy("choice", "bits")
+        rows.groupBy("choice", "bits")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > key_rows)
         .select("choice", "bits", F.ceil(F.col("n") / key_rows).cast("int").alias("parts"))
     )
     salt = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     met = (
-        keyed.join(hot, ["choice", "bits"], "left")
+        rows.join(hot, ["choice", "bits"], "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("own", salt)
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select("choice", "bits", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), *codes)
     )
     dealt = met.repartition("choice", "bits", "p", "q").withColumn("gray", gray_rank(F.col("code0")))
-    dealt = dealt.sortWithinPartitions("choice", "bits", "p", "q", "gray")
+    return dealt.sortWithinPartitions("choice", "bits", "p", "q", "gray").select("choice", "bits", "p", "q", *codes)
+
 
-    def linked(batches):
+def _by_key(settle):
+    """A function over Arrow batches that gives ``settle`` whole keys, many at a time."""
+
+    def run(batches):
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
             if sum(len(x) for x in held) >= 262_144:
-                held = yield from _settle(held, most, False)
+                held = yield from _settle(held, settle, False)
         if held:
-            yield from _settle(held, most, True)
+            yield from _settle(held, settle, True)
+
+    return run
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
+    """Edges (a, b) that connect all fingerprints within ``max_bits`` of each other.
 
-    return dealt.select("choice", "bits", "p", "q", *codes).mapInArrow(linked, "a long, b long")
+    ``fps``: a long column fp, each value once.  The edges are a forest of each key's links, so
+    their number is at most that of the rows times the choices of blocks.
+    """
+    masks = block_masks(blocks_for(fps.count(), max_bits), max_bits)
+
+    def linked(keys, node, codes):
+        root = gray_links(keys, codes[0], max_bits)
+        at = np.flatnonzero(root != np.arange(len(root)))
+        return {"a": node[at], "b": node[root[at]]}
+
+    return _dealt(fps, "fp", ["fp"], [], masks, key_rows).mapInArrow(_by_key(linked), "a long, b long")
+
+
+def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
+    """Different pairs (a, b) of nodes that may be similar: what ``gray_forests`` finds in each key.
+
+    ``fps``: a long column node and the fingerprints of ``wide_names(KEYED[blocks])``.
+    """
+
+    def near(keys, node, codes):
+        a, b, _ = gray_forests(keys, codes[0], np.column_stack(codes[1:]))
+        return {"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b])}
 
+    dealt = _dealt(fps, "node", wide_names(KEYED[blocks]), WIDE, block_masks(blocks, max_bits), key_rows)
+    return dealt.mapInArrow(_by_key(near), "a long, b long").distinct()
 
-def _settle(held: list, max_bits: int, last: bool):
-    """Link the whole keys among the held batches; gives back the rows of the last key unless it is complete."""
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose ``sets`` (node, set) have a Jaccard similarity of ``least`` or more."""
+
+    @F.pandas_udf("boolean")
+    def alike(one, two):
+        import pandas as pd
+
+        return pd.Series([jaccard(x, y) >= least for x, y in zip(one, two)], dtype=bool)
+
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike("set_a", "set_b")).select("a", "b")
+
+
+def _settle(held: list, settle, last: bool):
+    """Settles the whole keys among the held batches; gives back the rows of the last key unless it is complete."""
     table = pa.Table.from_batches(held).combine_chunks()
     cols = [table.column(c).to_numpy() for c in ("choice", "bits", "p", "q")]
     new = np.zeros(len(table), dtype=bool)
@@ -309,12 +426,9 @@ def _settle(held: list, max_bits: int, last: bool):
         new[1:] |= c[1:] != c[:-1]
     keys = np.cumsum(new)
     upto = len(table) if last else int(np.searchsorted(keys, keys[-1]))
-    code, *more = [table.column(c).to_numpy()[:upto].view(np.uint64) for c in table.column_names if c.startswith("code")]
-    root = gray_links(keys[:upto], code, max_bits, np.column_stack(more) if more else None)
-    at = np.flatnonzero(root != np.arange(upto))
-    if len(at):
-        node = table.column("node").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[root[at]])], names=["a", "b"])
+    codes = [table.column(c).to_numpy()[:upto].view(np.uint64) for c in table.column_names if c.startswith("code")]
+    found = settle(keys[:upto], table.column("node").to_numpy()[:upto], codes)
+    yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in found.items()})
     return table.slice(upto).to_batches()
 
 
@@ -329,17 +443,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     rows = written(fingerprints(rows, F.col("text")).select("doc_id", "fp"))
     firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    groups = roots(firsts, max_bits)
+    groups = roots(firsts, links(firsts, max_bits))
     ids = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = groups.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def roots(firsts: DataFrame, max_bits: int = MAX_BITS, wide_bits: int | None = None) -> DataFrame:
-    """``firsts`` (rows as ``links`` takes them) with root: the smallest fingerprint of the group,
-    with ``wide_bits`` its smallest node."""
-    name = "fp" if wide_bits is None else "node"
-    parts = connected_components(links(firsts, max_bits, wide_bits=wide_bits)).withColumnRenamed("node", "member")
+def roots(firsts: DataFrame, edges: DataFrame, name: str = "fp") -> DataFrame:
+    """``firsts`` with root: the smallest ``name`` that its own one reaches over the edges."""
+    parts = connected_components(edges).withColumnRenamed("node", "member")
     joined = firsts.join(parts, F.col(name) == F.col("member"), "left")
     return joined.withColumn("root", F.coalesce("root", name)).drop("member")
 
@@ -350,20 +462,31 @@ def keep_one(
     text_col: str = "text",
     max_bits: int = MAX_BITS,
     shingle: int = SHINGLE,
-    wide_bits: int | None = None,
+    similar: float | None = None,
 ) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id
     (null ids last; of equal ids the first row).  All null texts, empty ones and those without
-    words have fingerprint 0 and so are one group.  Rows that repeat are one group each."""
+    words have fingerprint 0 and so are one group.  Rows that repeat are one group each.
+
+    Texts are linked up to ``max_bits`` differing bits, or, if there is ``similar``, by that Jaccard
+    similarity of their sets of shingles or more; then ``max_bits`` only cuts the keys.
+    """
     rows = numbered(docs, text_col)
     order = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
     marked = rows.select("rid", F.col("doc").getField(id_col).alias("id"), "text")
-    if wide_bits is None:
+    if similar is None:
         marked = written(fingerprints(marked, F.col("text"), shingle=shingle).select("rid", "id", "fp"))
         firsts = marked.groupBy("fp").agg(F.min(order).alias("first"))
+        groups = roots(firsts, links(firsts, max_bits))
     else:
-        marked = written(wide_fingerprints(marked, F.col("text"), shingle=shingle).select("rid", "id", *WIDE))
-        firsts = written(marked.groupBy(*WIDE).agg(F.min(order).alias("first"), F.min("rid").alias("node")))
-    groups = roots(firsts, max_bits, wide_bits).groupBy("root").agg(F.min("first").alias("first"))
+        blocks = blocks_for(rows.count(), max_bits, MEAN_WIDE_KEY)
+        names = wide_names(KEYED[blocks])
+        marked = written(wide_fingerprints(marked, F.col("text"), shingle=shingle, n=len(names)).select("rid", "id", *names))
+        firsts = written(marked.groupBy(*names).agg(F.min(order).alias("first"), F.min("rid").alias("node")))
+        pairs = written(candidates(firsts, blocks, max_bits))
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+        sets = shingle_sets(rows.join(asked, "rid").select(F.col("rid").alias("node"), "text"), F.col("text"), shingle=shingle)
+        groups = roots(firsts, similar_pairs(pairs, written(sets.select("node", "set")), similar), "node")
+    groups = groups.groupBy("root").agg(F.min("first").alias("first"))
     kept = groups.select(F.col("first.rid").alias("rid"))
     return rows.join(kept, "rid", "left_semi").select("doc.*")
