@@ -1083,15 +1083,13 @@ def _(spark, sf):
 
 def fed(parts: list[DataFrame], folder: str, run: Callable[[], object]) -> None:
     """Appends one part after the other to a folder, each as its partitions are, and runs the
-    stream after each: it goes on from its checkpoint and takes what is new as one batch."""
+    stream after each: it goes on from its checkpoint and takes what is new, up to
+    ``BYTES_PER_TRIGGER`` in a batch."""
     for part in parts:
         part.write.mode("append").parquet(folder)
         run()
 
 
-#: More files than a part ever has.
-ALL_FILES = 1_000_000
-
 @query("foreach_batch_sink", "SELECT DISTINCT source_table, pk, lsn, op FROM kinds WHERE kind = 'good'", ("kinds",))
 def _(spark, sf):
     """Messages decoded and merged batch by batch; the last batch brings a fifth of all again."""
@@ -1107,7 +1105,7 @@ def _(spark, sf):
     merge = lambda old, new: new if old is None else state.merge_insert_only(old, new, state.CHANGE_IDENTITY)
 
     def run():
-        stream = streams.read_change_stream(spark, f"{base}/in", schema=raw.schema, files=ALL_FILES)
+        stream = streams.read_change_stream(spark, f"{base}/in", schema=raw.schema)
         streams.foreach_batch_sink(stream, table.merging(merge, prepare), f"{base}/ck", f"bronze_{abs(hash(base))}").awaitTermination()
 
     third = F.pmod(F.xxhash64("topic", "offset"), F.lit(3))
@@ -1156,7 +1154,7 @@ def _(spark, sf):
     merge = lambda old, batch: batch if old is None else state.merge_restate(old, batch, trips.TRIP_KEY)
 
     def run():
-        stream = streams.trips_stream(streams.read_ping_stream(spark, f"{base}/pings", schema=p.drop("arrived").schema, files=ALL_FILES), "2 days")
+        stream = streams.trips_stream(streams.read_ping_stream(spark, f"{base}/pings", schema=p.drop("arrived").schema), "2 days")
         streams.foreach_batch_sink(stream, table.merging(merge), f"{base}/ck", f"trips_{abs(hash(base))}", mode="update").awaitTermination()
 
     fed(_thirds(p), f"{base}/pings", run)
@@ -1173,7 +1171,7 @@ def _(spark, sf):
     keeper = streams.LateRows(spark, f"{base}/late", "2 days")
 
     def run():
-        stream = streams.read_ping_stream(spark, f"{base}/pings", schema=p.drop("arrived").schema, files=ALL_FILES)
+        stream = streams.read_ping_stream(spark, f"{base}/pings", schema=p.drop("arrived").schema)
         streams.foreach_batch_sink(stream, keeper.write, f"{base}/ck", f"late_{abs(hash(base))}").awaitTermination()
 
     fed(_thirds(p), f"{base}/pings", run)
@@ -1195,7 +1193,7 @@ def _(spark, sf):
     got = []
 
     def run():
-        got[:] = [_drained(spark, base, streams.read_change_stream(spark, f"{base}/in", schema=raw.schema, files=ALL_FILES), "changes")]
+        got[:] = [_drained(spark, base, streams.read_change_stream(spark, f"{base}/in", schema=raw.schema), "changes")]
 
     fed([raw.where(F.pmod(F.xxhash64("topic", "offset"), F.lit(3)) == i) for i in range(3)], f"{base}/in", run)
     return got[0].groupBy("topic").agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("value").isNull()).alias("tombstones"), F.count_distinct("batch").cast("int").alias("batches"))
@@ -1210,6 +1208,94 @@ def _(spark, sf):
     return got.groupBy("rider_id").agg(F.count(F.lit(1)).alias("pings"))
 
 
+@query("bounded_triggers", "SELECT count(*) AS messages, TRUE AS is_bounded, TRUE AS is_split FROM kinds", ("kinds",))
+def _(spark, sf):
+    """A log landed in files of at most as many changes as a trigger may take, a file in a trigger."""
+    base = tables.scratch_dir(spark)
+    raw = inputs.messages(given(spark, sf, "changes"))
+    streams.land(raw, f"{base}/in")
+    name = f"bounded_{abs(hash(base))}"
+    with streams.progress_of(spark) as told:
+        stream = streams.read_change_stream(spark, f"{base}/in", schema=raw.schema, files=1)
+        streams.foreach_batch_sink(stream, lambda batch, n: batch.write.parquet(f"{base}/out/batch={n}"), f"{base}/ck", name).awaitTermination()
+    most, batches = max(b.rows for b in told.of(name)), len(told.of(name))
+    total = spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("messages"))
+    split = F.lit(batches) * streams.CHANGES_PER_TRIGGER >= F.col("messages")
+    return total.select("messages", F.lit(most <= streams.CHANGES_PER_TRIGGER).alias("is_bounded"), split.alias("is_split"))
+
+
+@query("dedup_changes_stream", "SELECT DISTINCT source_table, pk, lsn, op FROM changes")
+def _(spark, sf):
+    """Changes in time order, a part of each delivered again with the next part; the state keeps
+    the identities of 40 days."""
+    base = tables.scratch_dir(spark)
+    c = given(spark, sf, "changes").select("source_table", "pk", "lsn", "op", "event_ts").withColumn("arrived", F.col("event_ts"))
+    one, two, three = _thirds(c)
+    again = lambda part: part.where("lsn % 5 = 0")
+
+    def run():
+        stream = streams.dedup_stream(streams.read_change_stream(spark, f"{base}/in", schema=c.drop("arrived").schema), state.CHANGE_IDENTITY, "event_ts", "40 days")
+        streams.foreach_batch_sink(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch={n}"), f"{base}/ck", f"dedup_{abs(hash(base))}").awaitTermination()
+
+    fed([one, two.unionAll(again(one)), three.unionAll(again(two)), again(three)], f"{base}/in", run)
+    return spark.read.parquet(f"{base}/out").select("source_table", "pk", "lsn", "op")
+
+
+@query("late_report", """SELECT count(*) AS sent, count(*) FILTER (WHERE event_ts <= newest - INTERVAL '2' DAY) AS kept, count(*) FILTER (WHERE event_ts <= newest - INTERVAL '2' DAY) AS dropped, TRUE AS is_consistent
+  FROM (SELECT CASE WHEN offset_no % 50 = 0 THEN event_ts - INTERVAL '9' DAY ELSE event_ts END AS event_ts, least(CAST(day(event_ts) - 1 AS BIGINT) // 10, 2) AS part FROM pings) AS p
+  LEFT JOIN (SELECT part + 1 AS after, max(max(event_ts)) OVER (ORDER BY part) AS newest FROM (SELECT CASE WHEN offset_no % 50 = 0 THEN event_ts - INTERVAL '9' DAY ELSE event_ts END AS event_ts, least(CAST(day(event_ts) - 1 AS BIGINT) // 10, 2) AS part FROM pings) AS q GROUP BY part) AS n
+  ON part = after""")
+def _(spark, sf):
+    """Late pings that are kept against what the engine drops: of the stream that de-duplicates pings,
+    rows that come in and go out are observed, and the engine tells what it dropped."""
+    base = tables.scratch_dir(spark)
+    p = pings(spark, sf).select("topic", "partition", "offset", F.col("event_ts").alias("arrived"), F.when(F.col("offset") % 50 == 0, F.col("event_ts") - F.expr("INTERVAL 9 DAYS")).otherwise(F.col("event_ts")).alias("event_ts"))
+    schema, name = p.drop("arrived").schema, f"dropped_{abs(hash(base))}"
+    keeper = streams.LateRows(spark, f"{base}/late", "2 days")
+
+    def run():
+        read = lambda: streams.read_ping_stream(spark, f"{base}/pings", schema=schema)
+        streams.foreach_batch_sink(read(), keeper.write, f"{base}/late_ck", f"late_{abs(hash(base))}").awaitTermination()
+        once = streams.dedup_stream(read().observe("sent", F.count(F.lit(1)).alias("n")), state.PING_IDENTITY, "event_ts", "2 days").observe("passed", F.count(F.lit(1)).alias("n"))
+        streams.foreach_batch_sink(once, lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/batch={n}"), f"{base}/ck", name).awaitTermination()
+
+    with streams.progress_of(spark) as told:
+        fed(_thirds(p), f"{base}/pings", run)
+    sent, passed, dropped = (sum(f(b) for b in told.batches if b.query == name) for f in (lambda b: b.observed["sent"]["n"], lambda b: b.observed["passed"]["n"], lambda b: b.dropped))
+    kept = keeper.read(schema).agg(F.count(F.lit(1)).alias("kept"))
+    return kept.select(F.lit(sent).cast("long").alias("sent"), "kept", F.lit(dropped).cast("long").alias("dropped"), F.lit(sent == passed + dropped).alias("is_consistent"))
+
+
+@query("continuous_run", "SELECT DISTINCT source_table, pk, lsn, op FROM changes")
+def _(spark, sf):
+    """A query that stays up: fed while it runs, stopped in between, started again from its
+    checkpoint; changes are merged into a stored table as they come."""
+    base = tables.scratch_dir(spark)
+    c = given(spark, sf, "changes").select("source_table", "pk", "lsn", "op")
+    table = keyed.KeyedTable(spark, f"{base}/table", state.CHANGE_IDENTITY)
+    merge = lambda old, new: state.dedup_changes(new) if old is None else state.merge_insert_only(old, new, state.CHANGE_IDENTITY)
+    part = lambda i: c.where(F.pmod(F.xxhash64("lsn"), F.lit(3)) == i)
+
+    def start(n: int):
+        stream = streams.read_change_stream(spark, f"{base}/in", schema=c.schema)
+        return streams.foreach_batch_sink(stream, table.merging(merge), f"{base}/ck", f"running_{n}_{abs(hash(base))}", once=False, every="1 second")
+
+    streams.land(part(0), f"{base}/in", 1_000_000)
+    query = start(1)
+    try:
+        streams.land(part(1), f"{base}/in", 1_000_000)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    streams.land(part(2), f"{base}/in", 1_000_000)
+    query = start(2)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return table.read().select("source_table", "pk", "lsn", "op")
+
+
 @query("scd2_specs", "SELECT 'restaurant' AS which, count(*) AS versions, count(DISTINCT restaurant_id) AS keys FROM versions_restaurant UNION ALL SELECT 'rider', count(*), count(DISTINCT rider_id) FROM versions_rider UNION ALL SELECT 'menu', count(*), count(DISTINCT menu_item_id) FROM versions_menu",
        tuple(f"{a}_{w}" for w in DIMS for a in ("parsed", "versions")))
 def _(spark, sf):

@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from typing import Any, NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tidelake.functions.geo import haversine_km
 from tidelake.sources.keyed import KeyedTable
 from tidelake.sources.tables import has_source
 
-#: Rows of a trigger at most (Kafka offsets).
+#: Rows of a trigger at most (Kafka offsets; rows of a file that ``land`` writes).
 CHANGES_PER_TRIGGER, PINGS_PER_TRIGGER = 10_000, 50_000
+#: Bytes of files that a trigger takes at most, unless told how many files.
+BYTES_PER_TRIGGER = 256 << 20
 
 
-def _read_messages(spark: SparkSession, where: str, per_trigger: int, starting: str, schema: StructType | str | None, files: int) -> DataFrame:
-    """``where``: a topic (with ``kafka:servers/topic``) or a folder of message files."""
+def land(rows: DataFrame, folder: str, per_file: int = CHANGES_PER_TRIGGER) -> None:
+    """Appends messages to a folder in files of at most ``per_file`` rows: a stream that takes a
+    file in a trigger has batches of that bound."""
+    rows.write.mode("append").option("maxRecordsPerFile", per_file).parquet(folder)
+
+
+def _bounded(reader, files: int | None, size: int):
+    return reader.option("maxFilesPerTrigger", files) if files else reader.option("maxBytesPerTrigger", size)
+
+
+def _read_messages(spark: SparkSession, where: str, per_trigger: int, starting: str, schema: StructType | str | None, files: int | None, size: int) -> DataFrame:
+    """``where``: a topic (with ``kafka:servers/topic``) or a folder of message files.  A trigger is
+    bounded by rows of a topic, and by ``files`` or else by ``size`` bytes of a folder."""
     if where.startswith("kafka:"):
         if not has_source(spark, "kafka"):
             raise RuntimeError("the Kafka source is not on the class path")
@@ -29,22 +43,81 @@ def _read_messages(spark: SparkSession, where: str, per_trigger: int, starting:
         options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "maxOffsetsPerTrigger": str(per_trigger), "failOnDataLoss": "false"}
         return spark.readStream.format("kafka").options(**options).load().select("topic", "partition", "offset", "timestamp", "value")
     schema = schema or "topic string, partition int, offset bigint, timestamp timestamp, value binary"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(where)
+    return _bounded(spark.readStream.schema(schema), files, size).parquet(where)
 
 
-def read_change_stream(spark: SparkSession, where: str, starting: str = "earliest", per_trigger: int = CHANGES_PER_TRIGGER, schema: StructType | str | None = None, files: int = 1) -> DataFrame:
+def read_change_stream(spark: SparkSession, where: str, starting: str = "earliest", per_trigger: int = CHANGES_PER_TRIGGER, schema: StructType | str | None = None, files: int | None = None, size: int = BYTES_PER_TRIGGER) -> DataFrame:
     """Messages of one change topic, a bounded number in a trigger."""
-    return _read_messages(spark, where, per_trigger, starting, schema, files)
+    return _read_messages(spark, where, per_trigger, starting, schema, files, size)
 
 
-def read_ping_stream(spark: SparkSession, where: str, starting: str = "latest", per_trigger: int = PINGS_PER_TRIGGER, schema: StructType | str | None = None, files: int = 1) -> DataFrame:
-    return _read_messages(spark, where, per_trigger, starting, schema, files)
+def read_ping_stream(spark: SparkSession, where: str, starting: str = "latest", per_trigger: int = PINGS_PER_TRIGGER, schema: StructType | str | None = None, files: int | None = None, size: int = BYTES_PER_TRIGGER) -> DataFrame:
+    return _read_messages(spark, where, per_trigger, starting, schema, files, size)
 
 
-def read_table_stream(spark: SparkSession, path: str, schema: StructType | str, files: int | None = None) -> DataFrame:
+def read_table_stream(spark: SparkSession, path: str, schema: StructType | str, files: int | None = None, size: int = BYTES_PER_TRIGGER) -> DataFrame:
     """What is appended to a table, as a stream."""
-    reader = spark.readStream.schema(schema)
-    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
+    return _bounded(spark.readStream.schema(schema), files, size).parquet(path)
+
+
+def dedup_stream(rows: DataFrame, identity: Sequence[str], event_time: str, within: str) -> DataFrame:
+    """A stream without the rows that repeat an identity no more than ``within`` after its first
+    row, by event time.  Identities older than that leave the state; rows older than that are late
+    and dropped (``LateRows`` keeps them)."""
+    return rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(identity))
+
+
+class Batch(NamedTuple):
+    """What a query tells of a micro-batch."""
+
+    query: str
+    batch: int
+    rows: int
+    seconds: float
+    rows_per_s: float
+    state_rows: int
+    dropped: int
+    observed: dict[str, dict[str, Any]]
+
+
+class Progress(StreamingQueryListener):
+    """The newest ``keep`` micro-batches of all queries, as they end: rows, seconds, rows in state, rows
+    dropped behind the watermark, and what ``observe`` counted."""
+
+    def __init__(self, keep: int = 1_000):
+        self.batches: deque[Batch] = deque(maxlen=keep)
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        state = p.stateOperators
+        seconds = p.durationMs.get("triggerExecution", 0) / 1000
+        self.batches.append(Batch(p.name, p.batchId, p.numInputRows, seconds, p.numInputRows / seconds if seconds else 0.0, sum(s.numRowsTotal for s in state), sum(s.numRowsDroppedByWatermark for s in state), {k: v.asDict() for k, v in p.observedMetrics.items()}))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def of(self, query: str) -> list[Batch]:
+        """The batches of a query that read rows."""
+        return [b for b in list(self.batches) if b.query == query and b.rows]
+
+
+@contextmanager
+def progress_of(spark: SparkSession) -> Iterator[Progress]:
+    """Listens to all queries of the session; at the end everything that was told has arrived."""
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        spark.streams.removeListener(listener)
 
 
 def foreach_batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], Any], checkpoint: str, name: str, once: bool = True, every: str = "10 seconds", mode: str = "append") -> StreamingQuery:
@@ -69,50 +142,64 @@ class Snapshot(KeyedTable):
         super().__init__(spark, path)
 
 
-TRIP_OUTPUT = (
-    "rider_id long, trip_id string, started_ts timestamp, ended_ts timestamp, duration_s double, ping_count long, avg_speed_kmph double,"
-    " max_speed_kmph double, start_lat double, start_lon double, end_lat double, end_lon double"
-)  # what the state knows; ``trips_stream`` adds displacement and day
-TRIP_STATE = "t0 long, t1 long, n long, total double, top double, lat0 double, lon0 double, lat1 double, lon1 double"
+_TRIP_ROW = "rider_id long, trip_id string, t0 long, t1 long, ping_count long, avg_speed_kmph double, max_speed_kmph double, start_lat double, start_lon double, end_lat double, end_lon double"
+_TripRow = Row(*[c.split()[0] for c in _TRIP_ROW.split(", ")])
+_TRIP_SUMS = "t0 long, lat0 double, lon0 double, t1 long, lat1 double, lon1 double, n long, speeds long, total double, top double, ends_at long"
+#: Where state must lie for processors with timers.
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class TripProcessor(StatefulProcessor):
+    """One trip's state: ends by (time, lat, lon), counts and speeds; a timer of event time ends it."""
+
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.trip = handle.getValueState("trip", _TRIP_SUMS)
+
+    def handleInputRows(self, key, rows, timerValues):
+        s = self.trip.get() if self.trip.exists() else None
+        first, last, n, speeds, total, top, timer = ((*s[0:3],), (*s[3:6],), *s[6:]) if s else (None, None, 0, 0, 0.0, None, None)
+        for r in rows:
+            at = r.t, r.lat, r.lon
+            first, last, n = min(first or at, at), max(last or at, at), n + 1
+            if r.speed_kmph is not None:
+                speeds, total, top = speeds + 1, total + r.speed_kmph, r.speed_kmph if top is None else max(top, r.speed_kmph)
+        ends_at = max(last[0] // 1000 + self.wait_ms, timerValues.getCurrentWatermarkInMs() + 1)
+        if timer != ends_at:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(ends_at)
+        self.trip.update((*first, *last, n, speeds, total, top, ends_at))
+        yield _TripRow(*key, first[0], last[0], n, total / speeds if speeds else None, top, *first[1:], *last[1:])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.trip.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
     """Trips as pings arrive: every update of a trip gives its row anew (update mode), with the columns of ``trips``.
 
-    A trip's state ends when the watermark has passed its last ping by the tolerance, so the
-    state stays bounded; pings behind the watermark are dropped here (``LateRows`` keeps them).
+    A trip's state ends when the watermark has passed its last ping by the tolerance, by a timer, so
+    the state stays bounded; it lies in RocksDB, beside the heap.  Pings behind the watermark are
+    dropped here (``LateRows`` keeps them).  Pings without key, time or place belong to no trip.
     """
+    pings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
     wait_ms = int(pd.Timedelta(tolerance).total_seconds() * 1000)
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        s = list(state.get) if state.exists else None
-        for part in parts:
-            micros = part["event_ts"].astype("datetime64[us]").astype("int64")
-            part = part.assign(t=micros).sort_values(["t", "lat", "lon"])
-            first, last = part.iloc[0], part.iloc[-1]
-            new = [first.t, last.t, len(part), part.speed_kmph.sum(), part.speed_kmph.max(), first.lat, first.lon, last.lat, last.lon]
-            if s is None:
-                s = new
-                continue
-            if new[0] < s[0]:
-                s[0], s[5], s[6] = new[0], new[5], new[6]
-            if new[1] > s[1]:
-                s[1], s[7], s[8] = new[1], new[7], new[8]
-            s[2], s[3], s[4] = s[2] + new[2], s[3] + new[3], max(s[4], new[4])
-        s = [x.item() if hasattr(x, "item") else x for x in s]
-        state.update(tuple(s))
-        state.setTimeoutTimestamp(max(s[1] // 1000 + wait_ms, state.getCurrentWatermarkMs() + 1))
-        stamp = lambda x: pd.Timestamp(x, unit="us")
-        row = [*key, stamp(s[0]), stamp(s[1]), (s[1] - s[0]) / 1e6, s[2], s[3] / s[2], s[4], *s[5:]]
-        yield pd.DataFrame([row], columns=[f.split()[0] for f in TRIP_OUTPUT.split(", ")])
-
-    keyed = pings.withWatermark("event_ts", tolerance).groupBy("rider_id", "trip_id")
-    rows = keyed.applyInPandasWithState(update, TRIP_OUTPUT, TRIP_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    whole = pings.dropna(subset=["rider_id", "trip_id", "event_ts", "lat", "lon"]).withWatermark("event_ts", tolerance)
+    keyed = whole.select("rider_id", "trip_id", F.unix_micros("event_ts").alias("t"), "lat", "lon", "speed_kmph", "event_ts").groupBy("rider_id", "trip_id")
+    rows = keyed.transformWithState(TripProcessor(wait_ms), _TRIP_ROW, "update", "eventTime")
     ends = [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
-    return rows.withColumns({"straight_line_km": haversine_km(*ends), "trip_date": F.to_date("started_ts")})
+    return rows.select(
+        "rider_id", "trip_id", F.timestamp_micros("t0").alias("started_ts"), F.timestamp_micros("t1").alias("ended_ts"), ((F.col("t1") - F.col("t0")) / F.lit(1_000_000.0)).alias("duration_s"), "ping_count",
+        "avg_speed_kmph", "max_speed_kmph", *ends, haversine_km(*ends).alias("straight_line_km"), F.to_date(F.timestamp_micros("t0")).alias("trip_date"),
+    )
 
 
 def split_late(batch: DataFrame, newest, tolerance: str = "15 minutes") -> tuple[DataFrame, DataFrame]:
