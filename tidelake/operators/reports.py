@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidelake.sources.tables import without_day
+
 
 def freshness(rows: DataFrame, column: str, now: Column | None = None, limit_hours: float = 24.0) -> DataFrame:
     """One row: newest, hours_old, status: fresh, stale (older than the limit) or error (no row has a time)."""
@@ -40,18 +42,30 @@ def day_checksum(rows: DataFrame, day_column: str, day: dt.date) -> DataFrame:
 def prove_backfill(table: DataFrame, rebuild: Callable[[dt.date], DataFrame], day_column: str, day: dt.date) -> DataFrame:
     """One row: checksums of a day before, after deleting and after rebuilding it, and whether
     the rebuilt day equals the old one."""
-    without = table.where(F.col(day_column) != F.lit(day))
+    without = without_day(table, day_column, day)
     rebuilt = without.unionByName(rebuild(day).where(F.col(day_column) == F.lit(day)))
     parts = [day_checksum(x, day_column, day).select(F.col("row_count").alias(f"{n}_rows"), F.col("content_hash").alias(f"{n}_hash")) for n, x in (("before", table), ("deleted", without), ("after", rebuilt))]
     row = parts[0].join(parts[1]).join(parts[2])  # one row each
     return row.withColumn("is_equal", (F.col("before_rows") == F.col("after_rows")) & (F.col("before_hash") == F.col("after_hash")))
 
 
-def reconcile_counts(kinds: DataFrame, landed: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """One row: messages by kind (column kind), rows landed, different identities, and whether they add up."""
-    sent = kinds.agg(
-        F.count(F.lit(1)).alias("messages"), F.count_if(F.col("kind") == "tombstone").alias("tombstones"), F.count_if(F.col("kind") == "undecodable").alias("quarantined")
-    )
+def observed_kinds(batch: DataFrame, kind: Column, name: str = "kinds") -> tuple[DataFrame, Observation]:
+    """A batch whose messages are counted by kind as it is read for something else."""
+    told = Observation(name)
+    counts = [F.count_if(kind == k).alias(c) for k, c in (("tombstone", "tombstones"), ("undecodable", "quarantined"))]
+    return batch.observe(told, F.count(F.lit(1)).alias("messages"), *counts), told
+
+
+def reconcile_counts(sent: DataFrame | Observation, landed: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """One row: messages by kind, rows landed, different identities, and whether they add up.
+    sent: what ``observed_kinds`` has counted (the batch is read already), or rows with a column kind."""
+    if isinstance(sent, Observation):
+        names = ("messages", "tombstones", "quarantined")
+        sent = landed.sparkSession.createDataFrame([tuple(sent.get[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    else:
+        sent = sent.agg(
+            F.count(F.lit(1)).alias("messages"), F.count_if(F.col("kind") == "tombstone").alias("tombstones"), F.count_if(F.col("kind") == "undecodable").alias("quarantined")
+        )
     got = landed.agg(F.count(F.lit(1)).alias("landed"), F.count_distinct(*identity).alias("identities"))
     adds = F.col("messages") >= F.col("landed") + F.col("tombstones") + F.col("quarantined")
     return sent.join(got).withColumn("redelivered", F.col("messages") - F.col("landed") - F.col("tombstones") - F.col("quarantined")).withColumn("is_consistent", adds & (F.col("landed") == F.col("identities")))

@@ -125,21 +125,23 @@ def _(spark, sf):
 
 @query("classify_batch", "SELECT topic, kind, count(*) AS n FROM kinds GROUP BY topic, kind", ("kinds",))
 def _(spark, sf):
-    # decoded once; the three parts read only what they need of it
-    batch = decoded(spark, sf).select("topic", "value", "envelope")
-    path = tables.scratch_dir(spark)
-    batch.write.parquet(path)
-    parts = decode.classify_batch(spark.read.schema(batch.schema).parquet(path))
+    # decoded once, to what tells the parts apart; each part then reads only that
+    batch = tables.stored(decoded(spark, sf).select("topic", F.substring("value", 1, 1).alias("value"), "envelope.op"))
+    parts = decode.classify_batch(batch, required="op")
     named = [df.withColumn("kind", F.lit(n)) for n, df in zip(("good", "tombstone", "undecodable"), parts)]
     return reduce(DataFrame.union, named).groupBy("topic", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bronze(spark: SparkSession, sf: str) -> DataFrame:
-    good = decode.classify_batch(decoded(spark, sf)).good
+def _flat(good: DataFrame) -> DataFrame:
+    """Good messages of several tables as bronze rows."""
     flat = decode.to_bronze_changes(good, "orders", ingest_ts=F.col("timestamp"))
     return flat.withColumn("source_table", F.substring("topic", 5, 20))
 
 
+def bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(decode.classify_batch(decoded(spark, sf)).good)
+
+
 @query(
     "to_bronze_changes",
     """SELECT source_table, pk, lsn, op, CAST(floor(epoch_us(event_ts) / 1000) AS BIGINT) AS event_ts_ms, op = 'd' AS has_before, op <> 'd' AS has_after, topic, part_no AS "partition",
@@ -346,6 +348,17 @@ def _(spark, sf):
     return rows.withColumn("files", F.lit(tables.file_count(spark, path))).withColumn("absent", F.lit(tables.file_count(spark, f"{path}/absent")))
 
 
+@query("zorder_layout", "SELECT count(*) AS rows, 128 AS files, TRUE AS by_user_reads_few, TRUE AS by_time_reads_few FROM events")
+def _(spark, sf):
+    """Events in a Z-order of two lookup keys: the share of files that a lookup by either reads."""
+    path = tables.scratch_dir(spark)
+    spark.read.parquet(f"{sf}/events.parquet").write.parquet(f"{path}/a")
+    _, files = tables.maintain_layout(spark, f"{path}/a", f"{path}/b", ["ts", "user_id"], 128)
+    rows = spark.read.parquet(f"{path}/b")
+    few = {k: F.lit(tables.share_read(rows, k) < 0.25) for k in ("user_id", "ts")}
+    return rows.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(files).alias("files"), few["user_id"].alias("by_user_reads_few"), few["ts"].alias("by_time_reads_few"))
+
+
 # --- de-duplication, latest state, merges -----------------------------------------------
 
 
@@ -759,6 +772,25 @@ def _(spark, sf):
     return out.select("order_date", "city", "restaurant_id", "delivered_orders", "gross_revenue_inr")
 
 
+@query("sla_period", "SELECT city, count(*) AS delivered_orders, CAST(sum(gross_revenue_inr) AS DOUBLE) AS gross_revenue_inr, TRUE AS p50_is_near, TRUE AS p95_is_near FROM deliveries WHERE is_delivered GROUP BY city", _STAR)
+def _(spark, sf):
+    """All days of a city from the stored parts of its days, half of which were built by a second run;
+    the quantiles' true ranks are counted over the facts."""
+    base = tables.scratch_dir(spark)
+    facts = tables.stored(deliveries(spark, sf).select("placed_ts", "city", "restaurant_id", "total_minutes", "is_delivered", "sla_breach_flag", "gross_revenue_inr", "commission_inr", "contribution_margin_inr"))
+    odd = F.dayofmonth("placed_ts") % 2 == 1
+    tables.append_partitioned(marts.sla_parts(facts.where(odd)), base, "order_date")
+    tables.overwrite_days(marts.sla_parts(facts.where(~odd)), base, "order_date")
+    whole = tables.stored(marts.sla_period(spark.read.parquet(base), ["city"]))
+    near = []
+    ranked = facts.where("is_delivered").join(whole.select(F.col("city").alias("c"), "p50_total_minutes", "p95_total_minutes"), F.col("city").eqNullSafe(F.col("c")))
+    for p, q in (("p50", 0.5), ("p95", 0.95)):
+        below, upto = (F.avg(x.cast("double")) for x in (F.col("total_minutes") < F.col(f"{p}_total_minutes"), F.col("total_minutes") <= F.col(f"{p}_total_minutes")))
+        near.append(((below <= q + 0.02) & (upto >= q - 0.02)).alias(f"{p}_is_near"))
+    ranks = ranked.groupBy("city").agg(*near).withColumnRenamed("city", "c")
+    return whole.join(ranks, F.col("city").eqNullSafe(F.col("c"))).select("city", "delivered_orders", "gross_revenue_inr", "p50_is_near", "p95_is_near")
+
+
 @query("sla_by_hour", "SELECT city, restaurant_id, CAST(hour(placed_ts) AS INT) AS hour_of_day, count(*) AS delivered_orders, round(100.0 * count(*) FILTER (WHERE sla_breach_flag) / count(*), 2) AS sla_breach_pct FROM deliveries WHERE is_delivered GROUP BY 1, 2, 3", _STAR)
 def _(spark, sf):
     return marts.sla_by_hour(deliveries(spark, sf))
@@ -1057,8 +1089,10 @@ def _(spark, sf):
   (SELECT count(*) FROM (SELECT DISTINCT source_table, pk, lsn FROM kinds WHERE kind = 'good') AS i) AS landed, (SELECT count(*) FROM (SELECT DISTINCT source_table, pk, lsn FROM kinds WHERE kind = 'good') AS i) AS identities,
   count(*) FILTER (WHERE kind = 'good') - (SELECT count(*) FROM (SELECT DISTINCT source_table, pk, lsn FROM kinds WHERE kind = 'good') AS i) AS redelivered, TRUE AS is_consistent FROM kinds""", ("kinds",))
 def _(spark, sf):
-    kinds = decoded(spark, sf).select(decode.kind_of("envelope.op").alias("kind"))
-    return reports.reconcile_counts(kinds, state.dedup_changes(bronze(spark, sf)), state.CHANGE_IDENTITY)
+    """Messages are counted as they land: decoded once."""
+    batch, told = reports.observed_kinds(decoded(spark, sf), decode.kind_of("envelope.op"))
+    landed = tables.stored(state.dedup_changes(_flat(decode.classify_batch(batch).good)).select(*state.CHANGE_IDENTITY))
+    return reports.reconcile_counts(told, landed, state.CHANGE_IDENTITY)
 
 
 @query("null_rate_check", """SELECT day, column_name, null_rate FROM (SELECT CAST(placed_ts AS DATE) AS day, 'rider_id' AS column_name, avg(CASE WHEN rider_id IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate FROM orders_now GROUP BY 1
@@ -1099,8 +1133,7 @@ def _(spark, sf):
 
     def prepare(batch: DataFrame) -> DataFrame:
         good = decode.classify_batch(decode.decode_envelope(decode.strip_wire_header(batch), inputs.ENVELOPE)).good
-        new = decode.to_bronze_changes(good, "orders", ingest_ts=F.col("timestamp")).withColumn("source_table", F.substring("topic", 5, 20))
-        return state.dedup_changes(new)
+        return state.dedup_changes(_flat(good))
 
     merge = lambda old, new: new if old is None else state.merge_insert_only(old, new, state.CHANGE_IDENTITY)
 
