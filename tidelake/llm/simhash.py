@@ -325,18 +325,18 @@ def blocks_for(n: int, max_bits: int = MAX_BITS, mean_key: int = MEAN_KEY) -> in
     return 2 * max_bits
 
 
-def _dealt(fps: DataFrame, node: str, keyed: list[str], judged: list[str], masks: list[int], key_rows: int) -> DataFrame:
+def _dealt(fps: DataFrame, node: str, keyed: dict[str, list[str]], masks: list[int], key_rows: int) -> DataFrame:
     """(choice, bits, p, q, node, code0, ...): rows where they meet, by each choice of blocks of each
-    fingerprint of ``keyed`` (code0; the others are those of ``judged``), in Gray order."""
-    codes = ["node", *[f"code{i}" for i in range(1 + len(judged))]]
+    fingerprint of ``keyed`` (code0; the further ones are those that ``keyed`` has for it), in Gray order."""
+    codes = ["node", *[f"code{i}" for i in range(1 + len(next(iter(keyed.values()))))]]
     choices = F.array(
         *[
             F.struct(
                 F.lit(turn * len(masks) + i).alias("choice"),
                 F.col(own).bitwiseAND(F.lit(m)).alias("bits"),
-                *[F.col(c).alias(code) for c, code in zip([node, own, *judged], codes)],
+                *[F.col(c).alias(code) for c, code in zip([node, own, *others], codes)],
             )
-            for turn, own in enumerate(keyed)
+            for turn, (own, others) in enumerate(keyed.items())
             for i, m in enumerate(masks)
         ]
     )
@@ -387,7 +387,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) ->
         at = np.flatnonzero(root != np.arange(len(root)))
         return {"a": node[at], "b": node[root[at]]}
 
-    return _dealt(fps, "fp", ["fp"], [], masks, key_rows).mapInArrow(_by_key(linked), "a long, b long")
+    return _dealt(fps, "fp", {"fp": []}, masks, key_rows).mapInArrow(_by_key(linked), "a long, b long")
 
 
 def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
@@ -396,11 +396,15 @@ def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows:
     ``fps``: a long column node and the fingerprints of ``wide_names(KEYED[blocks])``.
     """
 
+    names = wide_names(KEYED[blocks])
+    # where no other fingerprints have keys, those that judge are the key's own and the rest of them
+    keyed = {c: [w for w in WIDE if w != c] if names == WIDE else WIDE for c in names}
+
     def near(keys, node, codes):
-        a, b, _ = gray_forests(keys, codes[0], np.column_stack(codes[1:]))
+        a, b, _ = gray_forests(keys, codes[0], np.column_stack(codes[-len(WIDE) :]))
         return {"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b])}
 
-    dealt = _dealt(fps, "node", wide_names(KEYED[blocks]), WIDE, block_masks(blocks, max_bits), key_rows)
+    dealt = _dealt(fps, "node", keyed, block_masks(blocks, max_bits), key_rows)
     return dealt.mapInArrow(_by_key(near), "a long, b long").distinct()
 
 
