@@ -65,7 +65,8 @@ def same(a: Column, b: Column) -> Column:
 
 def multipliers(sizes: DataFrame, goals: DataFrame, accuracy: float = ACCURACY, iterations: int = ITERATIONS) -> DataFrame:
     """``goals`` with lambda, the multiplier of each source's constraint (null where the
-    source has no tokens).  Each iteration sums gradient and Hessian over ``sizes``."""
+    source has no tokens).  Each iteration sums gradient and Hessian over ``sizes``.  Raises if
+    they have not settled at the end."""
     state = goals.withColumn("lambda", F.when((F.col("source_size") > 0) & (F.col("target") > 0), F.lit(0.0)))
     for _ in range(iterations):
         tilted = F.col("size") * F.exp("lambda")
@@ -88,8 +89,8 @@ def multipliers(sizes: DataFrame, goals: DataFrame, accuracy: float = ACCURACY,
         off = state.agg(F.max("off").alias("off")).first()["off"]
         state = state.drop("off")
         if off is None or off < accuracy:
-            break
-    return state
+            return state
+    raise RuntimeError(f"the multipliers are still off by {off:g} after {iterations} iterations")
 
 
 def shard_of(key: Column, rows: Column, shard_rows: int = SHARD_ROWS) -> Column:
