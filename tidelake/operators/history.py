@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -127,7 +127,7 @@ def _last_before(rows: DataFrame, row_key: Sequence[str], range_rows: int = RANG
     rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select(*order[:3], *row_key, "__v").withColumn("__range", F.spark_partition_id())
     kinds = {f.name: f.dataType for f in rows.schema}
     out = StructType([*rows.schema.fields, StructField("__first", kinds["__k"]), StructField("__open", BooleanType())])
-    told = stored(rows.mapInArrow(_carry_on, out))
+    told = stored(rows.mapInArrow(_carry_on(), out))
     facts = told.where("__kind = 1").select(*order[:2], *row_key, "__v", "__range", "__open")
 
     # each range's first key takes what the ranges before have for that key: two rows for each range
@@ -139,32 +139,37 @@ def _last_before(rows: DataFrame, row_key: Sequence[str], range_rows: int = RANG
     return joined.withColumn("__v", F.when(F.col("__open"), F.col("__carried")).otherwise(F.col("__v"))).drop("__range", "__open", "__carried")
 
 
-def _carry_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gives each fact of a sorted range the last version of its key before it; __open: there is
-    none in this range, and its key is the range's first."""
-    first = last = held = None
-    for b in batches:
-        if not len(b):
-            continue
-        names = b.schema.names
-        key, version = b.column("__k"), b.column("__v")
-        if first is None:
-            first, last, held = key.slice(0, 1), key.slice(0, 1), pa.nulls(1, version.type)
-        at = np.arange(len(b))
-        new = np.append(last[0] != key[0], pc.not_equal(key.slice(1), key.slice(0, len(b) - 1)).to_numpy(zero_copy_only=False))
-        begin = np.maximum.accumulate(np.where(new, at, -1))
-        latest = np.maximum.accumulate(np.where(b.column("__kind").to_numpy() == 0, at, -1))
-        # place 0 of the pool is what the batch before has left, for the key it ended with
-        take = np.where(latest >= np.maximum(begin, 0), latest + 1, np.where(begin < 0, 0, -1))
-        pool = pa.concat_arrays([held, version])
-        given = pool.take(pa.array(take, mask=take < 0))
-        open_ = pc.and_(pc.is_null(given), pc.equal(key, first[0]))
-        whole = pa.RecordBatch.from_arrays([*[given if n == "__v" else b.column(n) for n in names], key, open_], names=[*names, "__first", "__open"])
-        yield whole.filter(pc.equal(b.column("__kind"), 1))
-        last, held = key.slice(len(b) - 1), given.slice(len(b) - 1)
-    if first is not None:
-        one = {"__k": last, "__kind": pa.array([2], pa.int32()), "__v": held, "__range": b.column("__range").slice(0, 1), "__first": first, "__open": pa.array([False])}
-        yield pa.RecordBatch.from_arrays([one.get(f.name, pa.nulls(1, f.type)) for f in whole.schema], names=whole.schema.names)
+def _carry_on() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A scan that gives each fact of a sorted range the last version of its key before it; __open:
+    there is none in this range, and its key is the range's first.  Built here, so that it travels to
+    the workers whole and they need not have this package."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = held = None
+        for b in batches:
+            if not len(b):
+                continue
+            names = b.schema.names
+            key, version = b.column("__k"), b.column("__v")
+            if first is None:
+                first, last, held = key.slice(0, 1), key.slice(0, 1), pa.nulls(1, version.type)
+            at = np.arange(len(b))
+            new = np.append(last[0] != key[0], pc.not_equal(key.slice(1), key.slice(0, len(b) - 1)).to_numpy(zero_copy_only=False))
+            begin = np.maximum.accumulate(np.where(new, at, -1))
+            latest = np.maximum.accumulate(np.where(b.column("__kind").to_numpy() == 0, at, -1))
+            # place 0 of the pool is what the batch before has left, for the key it ended with
+            take = np.where(latest >= np.maximum(begin, 0), latest + 1, np.where(begin < 0, 0, -1))
+            pool = pa.concat_arrays([held, version])
+            given = pool.take(pa.array(take, mask=take < 0))
+            open_ = pc.and_(pc.is_null(given), pc.equal(key, first[0]))
+            whole = pa.RecordBatch.from_arrays([*[given if n == "__v" else b.column(n) for n in names], key, open_], names=[*names, "__first", "__open"])
+            yield whole.filter(pc.equal(b.column("__kind"), 1))
+            last, held = key.slice(len(b) - 1), given.slice(len(b) - 1)
+        if first is not None:
+            one = {"__k": last, "__kind": pa.array([2], pa.int32()), "__v": held, "__range": b.column("__range").slice(0, 1), "__first": first, "__open": pa.array([False])}
+            yield pa.RecordBatch.from_arrays([one.get(f.name, pa.nulls(1, f.type)) for f in whole.schema], names=whole.schema.names)
+
+    return scan
 
 
 def scd2_overlaps(versions: DataFrame, key: str) -> DataFrame:

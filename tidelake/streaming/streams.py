@@ -149,38 +149,42 @@ _TRIP_SUMS = "t0 long, lat0 double, lon0 double, t1 long, lat1 double, lon1 doub
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class TripProcessor(StatefulProcessor):
-    """One trip's state: ends by (time, lat, lon), counts and speeds; a timer of event time ends it."""
-
-    def __init__(self, wait_ms: int):
-        self.wait_ms = wait_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.trip = handle.getValueState("trip", _TRIP_SUMS)
-
-    def handleInputRows(self, key, rows, timerValues):
-        s = self.trip.get() if self.trip.exists() else None
-        first, last, n, speeds, total, top, timer = ((*s[0:3],), (*s[3:6],), *s[6:]) if s else (None, None, 0, 0, 0.0, None, None)
-        for r in rows:
-            at = r.t, r.lat, r.lon
-            first, last, n = min(first or at, at), max(last or at, at), n + 1
-            if r.speed_kmph is not None:
-                speeds, total, top = speeds + 1, total + r.speed_kmph, r.speed_kmph if top is None else max(top, r.speed_kmph)
-        ends_at = max(last[0] // 1000 + self.wait_ms, timerValues.getCurrentWatermarkInMs() + 1)
-        if timer != ends_at:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(ends_at)
-        self.trip.update((*first, *last, n, speeds, total, top, ends_at))
-        yield _TripRow(*key, first[0], last[0], n, total / speeds if speeds else None, top, *first[1:], *last[1:])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.trip.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+def _trip_processor(wait_ms: int) -> StatefulProcessor:
+    """What handles a trip's pings.  Built here, so that it travels to the workers whole and they need
+    not have this package."""
+    trip_row, sums = _TripRow, _TRIP_SUMS
+
+    class TripProcessor(StatefulProcessor):
+        """One trip's state: ends by (time, lat, lon), counts and speeds; a timer of event time ends it."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.trip = handle.getValueState("trip", sums)
+
+        def handleInputRows(self, key, rows, timerValues):
+            s = self.trip.get() if self.trip.exists() else None
+            first, last, n, speeds, total, top, timer = ((*s[0:3],), (*s[3:6],), *s[6:]) if s else (None, None, 0, 0, 0.0, None, None)
+            for r in rows:
+                at = r.t, r.lat, r.lon
+                first, last, n = min(first or at, at), max(last or at, at), n + 1
+                if r.speed_kmph is not None:
+                    speeds, total, top = speeds + 1, total + r.speed_kmph, r.speed_kmph if top is None else max(top, r.speed_kmph)
+            ends_at = max(last[0] // 1000 + wait_ms, timerValues.getCurrentWatermarkInMs() + 1)
+            if timer != ends_at:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(ends_at)
+            self.trip.update((*first, *last, n, speeds, total, top, ends_at))
+            yield trip_row(*key, first[0], last[0], n, total / speeds if speeds else None, top, *first[1:], *last[1:])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.trip.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return TripProcessor()
 
 
 def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
@@ -194,7 +198,7 @@ def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
     wait_ms = int(pd.Timedelta(tolerance).total_seconds() * 1000)
     whole = pings.dropna(subset=["rider_id", "trip_id", "event_ts", "lat", "lon"]).withWatermark("event_ts", tolerance)
     keyed = whole.select("rider_id", "trip_id", F.unix_micros("event_ts").alias("t"), "lat", "lon", "speed_kmph", "event_ts").groupBy("rider_id", "trip_id")
-    rows = keyed.transformWithState(TripProcessor(wait_ms), _TRIP_ROW, "update", "eventTime")
+    rows = keyed.transformWithState(_trip_processor(wait_ms), _TRIP_ROW, "update", "eventTime")
     ends = [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
     return rows.select(
         "rider_id", "trip_id", F.timestamp_micros("t0").alias("started_ts"), F.timestamp_micros("t1").alias("ended_ts"), ((F.col("t1") - F.col("t0")) / F.lit(1_000_000.0)).alias("duration_s"), "ping_count",
