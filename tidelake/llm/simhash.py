@@ -43,8 +43,8 @@ SEED = 42
 KEY_ROWS = 32_768
 #: Members of a node of the index.
 FANOUT = 16
-#: Node pairs that are opened at a time.
-OPENED = 8_192
+#: Node pairs that are opened at a time: each has up to FANOUT^2 pairs of codes, about 100 bytes a pair while they are judged.
+OPENED = 2_048
 #: Mean number of fingerprints of a key at which the bits are cut more finely.
 MEAN_KEY = 64
 #: The four fingerprints by which candidates are judged.
