@@ -152,12 +152,6 @@ def shingle_sets(docs: DataFrame, text: Column, name: str = "set", shingle: int
     return docs.withColumn(name, of(text.cast("binary")))
 
 
-def jaccard(one: np.ndarray, two: np.ndarray) -> float:
-    """Similarity of two ascending arrays of different values; two empty ones are alike."""
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    return both / (len(one) + len(two) - both) if len(one) + len(two) else 1.0
-
-
 def hex16(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
@@ -409,16 +403,13 @@ def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows:
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose ``sets`` (node, set) have a Jaccard similarity of ``least`` or more."""
-
-    @F.pandas_udf("boolean")
-    def alike(one, two):
-        import pandas as pd
-
-        return pd.Series([jaccard(x, y) >= least for x, y in zip(one, two)], dtype=bool)
-
+    """The pairs (a, b) whose ``sets`` (node, set) have a Jaccard similarity of ``least`` or more; two
+    empty sets are alike.  Sets are compared a pair at a time by Spark, so none waits in a batch for others."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike("set_a", "set_b")).select("a", "b")
+    both, all_ = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
+    # both / (all - both) >= least, with each asked for once
+    enough = both >= all_ * F.lit(least / (1 + least)) - F.lit(1e-9)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
 
 
 def _settle(held: list, settle, last: bool):
