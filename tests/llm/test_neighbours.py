@@ -97,6 +97,7 @@ def test_recall_where_most_cells_are_skipped(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
     monkeypatch.setattr(neighbours, "FIT_ROWS", 2_000)
     monkeypatch.setattr(neighbours, "QUERY_ROWS", 100)
+    monkeypatch.setattr(neighbours, "OPEN_ROWS", 200)
     x = clusters(np.random.default_rng(6), 6000, 32, 40)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     want, got = brute(rows), run(spark, rows)
@@ -111,12 +112,37 @@ def test_recall_where_most_cells_are_skipped(spark, monkeypatch):
     counts = np.bincount(cell, minlength=60)
     square = ((x - centres[cell]) ** 2).sum(axis=1)
     radius = np.sqrt(np.bincount(cell, square, minlength=60) / np.maximum(counts, 1))
-    index = neighbours.Index(centres, turn, x[:2000], ids[:2000], 20).sized(counts, radius)
-    asked = ids[::20]
-    bars = index.bars(asked, x[asked])
-    assert index.visited(x[asked], bars).mean() < 0.5
-    found = neighbours.scan(asked, x[asked], bars, ids, x, neighbours.encode(x, centres[cell], turn), cell, index, 20)
-    assert found[4] < 0.5 * len(asked) * 6000 and found[3] < 0.1 * len(asked) * 6000
+    index = neighbours.Index(centres, turn, x[:2000], 20).sized(counts, radius, 300)
+    asked, code = ids[::20], neighbours.encode(x, centres[cell], turn)
+    none = np.full(len(asked), -np.inf)
+    row, _, opened = index.opened(x[asked], np.zeros(len(asked), dtype=int))
+    one = neighbours.scan(asked, x[asked], none, (row, opened), ids, x, code, cell, index, 20)
+    bars = np.array([one[2][one[0] == q].min() if (one[0] == q).sum() == 20 else -np.inf for q in asked])
+    assert np.isfinite(bars).all()
+    row, _, wanted = index.visited(x[asked], bars)
+    asks = np.unique(np.stack([row, wanted]), axis=1)
+    assert asks.shape[1] < 0.5 * len(asked) * 60
+    two = neighbours.scan(asked, x[asked], bars, (asks[0], asks[1]), ids, x, code, cell, index, 20)
+    assert two[4] < 0.5 * len(asked) * 6000 and one[3] + two[3] < 0.1 * len(asked) * 6000
+
+
+def test_vectors_without_clusters(spark, monkeypatch):
+    """Unit vectors spread evenly: recall over 0.95; of 60,000 under a tenth of the pairs looked up
+    (the fewer vectors, the larger the share that the best 20 are: of 20,000 it is 0.117)."""
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 100)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 1_500)
+    monkeypatch.setattr(neighbours, "OPEN_ROWS", 600)
+    x = np.random.default_rng(9).normal(size=(60_000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(x[:6_000])]
+    want, got = brute(rows), run(spark, rows)
+    hits = sum(len({v for v, _ in want[q]} & {v for v, _ in got[q]}) for q in want)
+    assert hits >= 0.95 * sum(map(len, want.values()))
+    asked, cell = np.arange(0, 60_000, 200), np.zeros(60_000, dtype=int)
+    centre, turn = x.mean(axis=0)[None], neighbours.rotation(64)
+    index = neighbours.Index(centre, turn, x, 20)
+    found = neighbours.scan(asked, x[asked], np.full(len(asked), -np.inf), (np.arange(len(asked)), np.zeros(len(asked), dtype=int)), np.arange(60_000), x, neighbours.encode(x, centre, turn), cell, index, 20)
+    assert found[3] < 0.1 * found[4]
 
 
 def test_a_repeated_query_asks_once(spark):
