@@ -131,3 +131,13 @@ def test_bearings(spark):
     c = [F.col(x) for x in "abcd"]
     assert [round(r[0]) for r in df.select(bearing_deg(*c)).collect()] == [0, 90, 180, 270]
     assert df.select(haversine_km(c[0], c[1], c[0], c[1])).first()[0] == 0
+
+
+def test_orphaned_windows_meet_without_a_join(spark):
+    """Nulls, windows without length, and no broadcast however small the versions seem."""
+    rows = [(1, at(1), at(2), "a"), (1, at(2), at(9), "b"), (1, at(5), at(5), "c"), (2, at(9), at(1), "d"), (3, at(1), None, "e"), (None, at(1), at(1), "f"), (4, None, at(4), "g")]
+    df = spark.createDataFrame(rows, "k long, valid_from timestamp, valid_to timestamp, name string")
+    got = history.scd2_orphaned_windows(df, "k")
+    assert got.columns == df.columns and {r.name for r in got.collect()} == {"b", "d", "f", "g"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan

@@ -180,6 +180,16 @@ def scd2_overlaps(versions: DataFrame, key: str) -> DataFrame:
 
 
 def scd2_orphaned_windows(versions: DataFrame, key: str) -> DataFrame:
-    """Closed windows at whose end no other window of the key begins."""
-    begins = versions.select(F.col(key).alias("__k"), F.col("valid_from").alias("__begin")).distinct()
-    return versions.where(F.col("valid_to").isNotNull()).join(begins, (F.col(key) == F.col("__k")) & (F.col("valid_to") == F.col("__begin")), "left_anti")
+    """Closed windows at whose end no other window of the key begins.
+
+    Begins and ends meet by key and time in one sequence, so the versions are made once, and no
+    table of all begins is built beside them: a join would broadcast it wherever its size is
+    estimated too low, as it is behind row images.
+    """
+    row = F.struct(*versions.columns)
+    ends = F.array(F.struct(F.col("valid_from").alias("at"), F.lit(None).cast(versions.schema).alias("row")), F.struct(F.col("valid_to").alias("at"), row.alias("row")))
+    line = versions.select(F.col(key).alias("__k"), F.explode(ends).alias("e")).select("__k", F.col("e.at").alias("__at"), F.col("e.row").alias("__row"))
+    # a row of the table has a time; what has none begins and ends nowhere
+    met = line.where("__at is not null").withColumn("__begun", F.max(F.col("__row").isNull()).over(Window.partitionBy("__k", "__at")))
+    # null keys meet nothing
+    return met.where("__row is not null and (not __begun or __k is null)").select("__row.*")
