@@ -141,3 +141,11 @@ def test_orphaned_windows_meet_without_a_join(spark):
     assert got.columns == df.columns and {r.name for r in got.collect()} == {"b", "d", "f", "g"}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Broadcast" not in plan
+
+
+def test_changes_at_one_position_have_one_order(spark):
+    """However the rows arrive, changes of a key that share a log position give the same versions."""
+    rows = [(k, lsn, h) for k in range(20) for lsn in (1, 2) for h in "ABC"]
+    shown = lambda df: sorted((r.k, r.lsn, r.attr_hash, r.is_current) for r in df.select("k", "lsn", "attr_hash", "is_current").collect())
+    one, other = (shown(history.scd2_versions(changes(spark, x).coalesce(1), "k")) for x in (rows, rows[::-1]))
+    assert one == other

@@ -29,7 +29,8 @@ def timeline(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -
     rows = changes.withColumn("stored", F.lit(False))
     if open_rows is not None:
         rows = rows.unionByName(open_rows.withColumn("stored", F.lit(True)), allowMissingColumns=True)
-    order = Window.partitionBy(key).orderBy("lsn", "stored")
+    # attr_hash: changes that share a position have one order, whichever came first
+    order = Window.partitionBy(key).orderBy("lsn", "stored", "attr_hash")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"__any": F.max("stored").over(Window.partitionBy(key)), "__seen": F.max("stored").over(upto), "__same": F.lag("attr_hash").over(order) == F.col("attr_hash")})
     rows = rows.where(F.col("stored") | (F.col("__seen") == F.col("__any")) & ~F.coalesce("__same", F.lit(False)))
