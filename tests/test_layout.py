@@ -76,3 +76,17 @@ def test_rows_without_a_day_outlive_a_backfill(spark):
     assert [r.v for r in tables.without_day(df, "d", day).collect()] == [2]
     proof = reports.prove_backfill(df, lambda x: df.where(F.col("d") == F.lit(x)), "d", day).first()
     assert proof.is_equal and (proof.before_rows, proof.deleted_rows) == (1, 0)
+
+
+def test_an_input_is_derived_in_as_many_tasks_as_there_are_cores(spark):
+    """The tables are one split each; what is derived from them must not stay one task's, and a log's images are whole."""
+    from tidelake.plans import inputs, registry, spec
+
+    sf, cores = "/root/testdata/sf0.001", spark.sparkContext.defaultParallelism
+    for name in ("order_changes", "menu_changes", "customer_changes"):
+        rows = inputs.given(spark, sf, name, deal=True)
+        assert rows.rdd.getNumPartitions() == cores
+        assert rows.count() == inputs.given(spark, sf, name).count()
+    log = registry.bronze_table(spark, sf, "order_changes", spec.ORDERS)
+    assert log.where("op <> 'd' and try_variant_get(after, '$.order_id', 'bigint') is null").count() == 0
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled") == "false"

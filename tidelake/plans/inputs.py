@@ -124,14 +124,24 @@ def with_inputs(text: str, spark: bool = False, more: dict[str, str] | None = No
     return f"WITH {', '.join(parts)}\n{text}" if parts else text
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
+#: Tables that inputs many times as wide are derived from, and what their rows are dealt by.
+_DEALT_BY = {"customer": ("c_custkey",), "orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_partkey")}
+
+
+def register(spark: SparkSession, sf_dir: str, deal: bool = False) -> None:
+    """Names the tables for SQL.  deal: a table that comes as fewer splits than there are cores is
+    dealt over all of them first, as what is derived from a split stays one task's, and is many times wider."""
+    cores = spark.sparkContext.defaultParallelism
     for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        rows = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        if deal and t in _DEALT_BY and rows.rdd.getNumPartitions() < cores:
+            rows = rows.repartition(cores, *_DEALT_BY[t])
+        rows.createOrReplaceTempView(t)
 
 
-def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def given(spark: SparkSession, sf_dir: str, name: str, deal: bool = False) -> DataFrame:
     """An input in Spark, times as timestamps."""
-    register(spark, sf_dir)
+    register(spark, sf_dir, deal)
     df = spark.sql(with_inputs(f"SELECT * FROM {name}", spark=True))
     return df.select(*[F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
 

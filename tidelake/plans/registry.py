@@ -174,8 +174,11 @@ _ORDER_COLUMNS = [c.strip() for c in f"{_ORDER_FIELDS}, {_ORDER_MONEY}, is_delet
 
 
 def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
-    """An entity's change log as a stored table, images as VARIANT."""
-    rows, cores = given(spark, sf, name), spark.sparkContext.defaultParallelism
+    """An entity's change log as a stored table, images as VARIANT.
+
+    Images are written whole: fields shredded into columns of their own cost more to write and to
+    read than they save, as images are parsed whole."""
+    rows, cores = inputs.given(spark, sf, name, deal=True), spark.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < cores:
         # a small table is one file of one row group: without this it stays one task's to the end
         rows = rows.repartition(cores, "lsn")
