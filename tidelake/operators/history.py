@@ -65,7 +65,8 @@ def merge_scd2(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, key: str) -> DataFrame:
     """One batch of parsed changes applied to a dimension (none yet: None): closed rows stay,
-    open ones go through the timeline with the changes."""
+    open ones go through the timeline with the changes.  Batches must come in log order: a change
+    before a key's open row is taken for a delivery of what is known already (``ChangeLog`` takes any order)."""
     if target is None:
         return scd2_versions(changes, key)
     is_open = F.coalesce("is_current", F.lit(False))

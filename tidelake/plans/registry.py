@@ -182,6 +182,7 @@ def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpe
     if rows.rdd.getNumPartitions() < cores:
         # a small table is one file of one row group: without this it stays one task's to the end
         rows = rows.repartition(cores, "lsn")
+    spark.conf.set("spark.sql.variant.writeShredding.enabled", "false")
     return tables.stored(inputs.as_bronze(rows, entity.fields))
 
 
@@ -1151,19 +1152,18 @@ def _(spark, sf):
 
 @query("read_table_stream", f"SELECT menu_item_id, attr_hash, {_WINDOW} FROM versions_menu", ("parsed_menu", "versions_menu"))
 def _(spark, sf):
-    """A stored change log read as a stream into a dimension, batches in log order."""
+    """A stored change log read as a stream into a dimension.  A trigger takes as many files as its
+    bytes allow, in no order of the log; so the sink keeps every change, and windows are cut over all."""
     base = tables.scratch_dir(spark)
     rows = inputs.as_bronze(given(spark, sf, "menu_changes"), spec.MENU_ITEMS.fields)
-    table = keyed.KeyedTable(spark, f"{base}/dim", ["menu_item_id"])
-    merge = lambda old, batch: history.apply_changes(old, batch, "menu_item_id")
-    prepare = lambda batch: decode.parse_dim_changes(batch, spec.MENU_ITEMS)
+    log = streams.ChangeLog(spark, f"{base}/dim", lambda batch: decode.parse_dim_changes(batch, spec.MENU_ITEMS))
 
     def run():
         stream = streams.read_table_stream(spark, f"{base}/log", rows.schema)
-        streams.foreach_batch_sink(stream, table.merging(merge, prepare), f"{base}/ck", f"dim_{abs(hash(base))}").awaitTermination()
+        streams.foreach_batch_sink(stream, log.write, f"{base}/ck", f"dim_{abs(hash(base))}").awaitTermination()
 
     fed([rows.where(F.col("lsn") <= _CUT), rows.where(F.col("lsn") > _CUT)], f"{base}/log", run)
-    return table.read().select("menu_item_id", "attr_hash", *_WINDOW_COLUMNS)
+    return history.scd2_versions(log.read(["menu_item_id", "lsn", "attr_hash"]), "menu_item_id").select("menu_item_id", "attr_hash", *_WINDOW_COLUMNS)
 
 
 _DAY_TRIPS = "(SELECT * REPLACE (concat(trip_id, '-', CAST(CAST(event_ts AS DATE) AS VARCHAR)) AS trip_id) FROM pings) AS p"

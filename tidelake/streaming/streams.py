@@ -238,3 +238,23 @@ class LateRows:
     def read(self, schema: StructType | str) -> DataFrame:
         """All rows kept so far, with the number of their batch."""
         return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+
+
+class ChangeLog:
+    """Keeps every change of a stream: a ``foreach_batch_sink`` writer that appends what ``parse``
+    makes of each micro-batch.  No batch reads or rewrites what is there, so the work is that of the
+    changes, and windows cut over the log (``history.scd2_versions``) do not depend on the order or the
+    size of batches: a change may arrive behind later ones of its key.
+
+    A batch that runs again overwrites its own folder.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, parse: Callable[[DataFrame], DataFrame]):
+        self.spark, self.path, self.parse = spark, path.rstrip("/"), parse
+
+    def write(self, batch: DataFrame, number: int) -> None:
+        self.parse(batch).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+
+    def read(self, identity: Sequence[str]) -> DataFrame:
+        """All changes so far; what was delivered twice, in whichever batches, is there once."""
+        return self.spark.read.parquet(self.path).drop("batch").dropDuplicates(list(identity))
