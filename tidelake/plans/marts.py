@@ -23,6 +23,13 @@ def _minutes(a: str, b: str) -> Column:
     return F.timestamp_diff("SECOND", F.date_trunc("second", F.col(a)), F.date_trunc("second", F.col(b))) / F.lit(60.0)
 
 
+def _exact_mean(minutes: str) -> Column:
+    """The mean of minutes, summed in whole microseconds: a mean of doubles depends on the order in
+    which rows arrive, and its second decimal with it wherever it lies on a half."""
+    sums = F.sum(F.round(F.col(minutes) * 60_000_000).cast("long"))
+    return F.try_divide(sums, F.count(minutes) * F.lit(60_000_000))
+
+
 # --- staging ----------------------------------------------------------------------------
 
 
@@ -157,7 +164,7 @@ def agg_sla_daily(facts: DataFrame, dates: DataFrame, weather: DataFrame) -> Dat
     rows = rows.join(weather.select("weather_sk", "weather_band", "is_rainy"), "weather_sk", "left")
     breached = F.count_if("sla_breach_flag")
     whole = F.percentile_approx("total_minutes", [0.5, 0.95], 10_000)
-    mean = lambda c: F.round(F.avg(c), 2).alias(f"avg_{c}")
+    mean = lambda c: F.round(_exact_mean(c), 2).alias(f"avg_{c}")
     out = rows.groupBy(F.to_date("placed_ts").alias("order_date"), "city", "restaurant_id").agg(
         *[F.max(c).alias(c) for c in ("day_type", "is_weekend", "is_holiday", "weather_band", "is_rainy")],
         F.count(F.lit(1)).alias("delivered_orders"), breached.alias("breached_orders"),
