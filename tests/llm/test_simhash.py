@@ -286,3 +286,47 @@ def test_texts_with_two_words_changed_are_similar():
         one, two = (simhash.wide_simhash(" ".join(x).encode(), 5) for x in (base, other))
         hits.append(sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(one, two)) <= simhash.WIDE_BITS)
     assert np.mean(hits) > 0.98
+
+
+def test_a_link_behind_nearer_candidates_is_found(spark):
+    """Sixty fingerprints that are all candidates of each other: the forests leave most pairs out; the
+    only similar one is among those."""
+    draw = random.Random(8)
+    centre = [draw.getrandbits(62) for _ in range(4)]
+    rows = [(n, *[c ^ 1 << draw.randrange(60) for c in centre]) for n in range(60)]
+    fps = spark.createDataFrame(rows, "node long, fp long, more1 long, more2 long, more3 long")
+    found = simhash.candidates(fps, 5).localCheckpoint()
+    tried = {(r.a, r.b) for r in found.where("tried").collect()}
+    a, b = next((i, j) for j in range(59, 0, -1) for i in range(j) if (i, j) not in tried)
+    own = {n: [1000 * n + i for i in range(20)] for n in range(60)}
+    own[b] = own[a][:18] + [-1]
+    sets = spark.createDataFrame(list(own.items()), "node long, set array<long>")
+    assert not simhash.similar_pairs(found.where("tried").select("a", "b"), sets, 0.8).collect()
+    assert [tuple(r) for r in simhash.similar_links(found, sets, 0.8).collect()] == [(a, b)]
+
+
+def test_rest_pairs_hold_all_similar_pairs_of_different_parts(spark):
+    draw = random.Random(3)
+    sets = {}
+    for n in range(120):
+        base = random.Random(n % 4).sample(range(10**6), 10 + 15 * (n % 4))
+        gone = set(draw.sample(base, draw.randint(0, len(base) // 5)))
+        sets[n] = sorted({x if x not in gone else draw.randrange(10**6) for x in base})
+    parts = {n: n % 7 for n in sets}
+    nodes = spark.createDataFrame(list(parts.items()), "node long, part long")
+    frame = spark.createDataFrame(list(sets.items()), "node long, set array<long>")
+    got = {(r.a, r.b) for r in simhash.rest_pairs(nodes, frame, 0.8).collect()}
+    want = {(i, j) for j in sets for i in range(j) if parts[i] != parts[j] and plain_jaccard(set(sets[i]), set(sets[j])) >= 0.8}
+    assert len(want) > 50 and want <= got and all(i < j and parts[i] != parts[j] for i, j in got)
+
+
+def test_sets_of_the_last_forest_hold_every_candidate_that_no_forest_took():
+    draw = random.Random(12)
+    centre = [draw.getrandbits(64) for _ in range(5)]
+    rows = np.array([[c ^ 1 << draw.randrange(64) ^ 1 << draw.randrange(64) for c in centre] for _ in range(120)], dtype=np.uint64)
+    a, b, _, root = simhash._forests(np.zeros(120, dtype=int), rows[:, 0], rows[:, 1:])
+    of, member = simhash._open_sets(np.arange(120), root)
+    where, taken = dict(zip(member.tolist(), of.tolist())), {frozenset(p) for p in zip(a.tolist(), b.tolist())}
+    bits = lambda i, j: sum((int(x) ^ int(y)).bit_count() for x, y in zip(rows[i, 1:], rows[j, 1:]))
+    left = [(i, j) for i in range(120) for j in range(i) if bits(i, j) <= simhash.WIDE_BITS and frozenset((i, j)) not in taken]
+    assert len(left) > 1000 and all(i in where and where[i] == where.get(j) for i, j in left)

@@ -22,6 +22,9 @@ similarity 0.8 meets with a chance of at least 0.93 at every size (``KEYED``).
 differ in at most ``WIDE_BITS`` of the first four fingerprints' 256 bits are candidates; of these a
 few edge-disjoint forests of each key leave the task, near pairs first (``FORESTS``).  The shingle
 sets of a candidate's texts are then compared, and only pairs that are similar enough become links.
+Candidates that no forest took lie inside sets of the last forest.  Where such a set is not one group by
+the links found, its texts meet once more, by the rarest shingles of their sets (``rest_pairs``), so
+every link that the forests left out is found.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.shared import connected_components, numbered, written
@@ -60,8 +63,7 @@ KEYED = {5: 4, 6: 8, 7: 12, 8: 16}
 #: As MEAN_KEY, where candidates are judged by similarity.
 MEAN_WIDE_KEY = 1_024
 #: Candidates of a key: so many forests, none with an edge of another, each taken in these steps of
-#: differing bits.  A link between two groups is lost only if so many nearer candidates between
-#: them prove to be not similar enough.
+#: differing bits.  What is behind them is asked for where it may still link two groups.
 FORESTS, STEPS = 3, (20, 32, 42, WIDE_BITS)
 
 
@@ -280,9 +282,15 @@ def gray_links(keys: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS) ->
 def gray_forests(keys: np.ndarray, codes: np.ndarray, judged: np.ndarray, own_bits: int = OWN_BITS, steps: tuple = STEPS, forests: int = FORESTS) -> tuple[np.ndarray, ...]:
     """Pairs (a, b, bits) of codes of a key that differ in at most ``own_bits`` and, in the words of
     ``judged`` (a row for each code), in at most the last of ``steps``: forests of them, near pairs first."""
+    return _forests(keys, codes, judged, own_bits, steps, forests)[:3]
+
+
+def _forests(keys: np.ndarray, codes: np.ndarray, judged: np.ndarray, own_bits: int = OWN_BITS, steps: tuple = STEPS, forests: int = FORESTS) -> tuple[np.ndarray, ...]:
+    """As ``gray_forests``, and the set of each code in the last forest: both codes of a pair that no
+    forest has taken are in one set, of three codes or more, as each forest has joined them before."""
     roots, out = [np.arange(len(codes)) for _ in range(forests)], []
     if len(codes) < 2:
-        return (np.zeros(0, dtype=np.int64),) * 3
+        return *(np.zeros(0, dtype=np.int64),) * 3, roots[-1]
     for low, high in zip((-1, *steps), steps):
 
         def found(a, b, low=low, high=high):
@@ -297,7 +305,17 @@ def gray_forests(keys: np.ndarray, codes: np.ndarray, judged: np.ndarray, own_bi
                 a, b, bits = a[~taken], b[~taken], bits[~taken]
 
         _visit(keys, codes, own_bits, roots[-1], found)
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
+    taken = tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
+    return *taken, roots[-1]
+
+
+def _open_sets(node: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest node of its set, node) of the nodes in sets of three or more."""
+    _, own, size = np.unique(root, return_inverse=True, return_counts=True)
+    least = np.full(len(size), np.iinfo(np.int64).max)
+    np.minimum.at(least, own, node)
+    some = size[own] > 2
+    return least[own][some], node[some]
 
 
 # --- links and groups -------------------------------------------------------------------
@@ -385,7 +403,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) ->
 
 
 def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows: int = KEY_ROWS) -> DataFrame:
-    """Different pairs (a, b) of nodes that may be similar: what ``gray_forests`` finds in each key.
+    """Different pairs (a, b) of nodes that may be similar, ``tried``: what ``gray_forests`` finds in each
+    key.  Not ``tried``: (set, node) of the sets of a key's last forest, in which all its other candidates lie.
 
     ``fps``: a long column node and the fingerprints of ``wide_names(KEYED[blocks])``.
     """
@@ -395,11 +414,13 @@ def candidates(fps: DataFrame, blocks: int, max_bits: int = MAX_BITS, key_rows:
     keyed = {c: [w for w in WIDE if w != c] if names == WIDE else WIDE for c in names}
 
     def near(keys, node, codes):
-        a, b, _ = gray_forests(keys, codes[0], np.column_stack(codes[-len(WIDE) :]))
-        return {"a": np.minimum(node[a], node[b]), "b": np.maximum(node[a], node[b])}
+        a, b, _, root = _forests(keys, codes[0], np.column_stack(codes[-len(WIDE) :]))
+        of, member = _open_sets(node, root)
+        first, second = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+        return {"a": np.append(first, of), "b": np.append(second, member), "tried": np.arange(len(a) + len(of)) < len(a)}
 
     dealt = _dealt(fps, "node", keyed, block_masks(blocks, max_bits), key_rows)
-    return dealt.mapInArrow(_by_key(near), "a long, b long").distinct()
+    return dealt.mapInArrow(_by_key(near), "a long, b long, tried boolean").distinct()
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -412,6 +433,47 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b")
 
 
+def open_nodes(rest: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, part) of the nodes in sets (a, b) that are more than one group; part: a node's group, by
+    ``groups`` (node, root), which has those that are linked."""
+    own = rest.join(groups.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("part", F.coalesce("root", "b"))
+    apart = own.groupBy("a").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    return own.join(apart, "a", "left_semi").select(F.col("b").alias("node"), "part").distinct()
+
+
+def rest_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, part) of different parts, among them all whose ``sets`` (node, set)
+    have a Jaccard similarity of ``least`` or more: by prefix filtering, exact for sets that are not empty.
+
+    Similar sets share at least ``least`` of either one's shingles.  So, with shingles in one order, they
+    share one of those that stand before the last ``least`` of each; the order begins with the rarest, and
+    of those only what two parts have is kept.
+    """
+    words = nodes.join(sets, "node").select("node", "part", F.size("set").alias("n"), F.explode("set").alias("word"))
+    times = words.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("times", "word"))
+    begins = words.join(times, "word").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - F.lit(1e-6)) + 1)
+    begins = written(begins.where("times > 1").select("word", "node", "part", "n"))
+    shared = begins.groupBy("word").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    begins = begins.join(shared.select("word"), "word", "left_semi")
+    other = begins.select("word", *[F.col(c).alias(f"other_{c}") for c in ("node", "part", "n")])
+    alike = F.least("n", "other_n") >= F.greatest("n", "other_n") * F.lit(least) - F.lit(1e-6)
+    met = begins.join(other, "word").where((F.col("part") < F.col("other_part")) & alike)
+    return met.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
+
+
+def similar_links(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect all candidates of a similarity of ``least`` or more: of the pairs that were
+    tried (``candidates``), and between the groups that these make of the sets that hold the rest."""
+    pairs = found.where("tried").select("a", "b")
+    tried = written(similar_pairs(pairs, sets, least))
+    nodes = written(open_nodes(found.where("not tried"), connected_components(tried)))
+    if nodes.isEmpty():
+        return tried
+    rest = rest_pairs(nodes, sets, least).join(pairs, ["a", "b"], "left_anti")
+    return tried.unionByName(similar_pairs(rest, sets, least))
+
+
 def _settle(held: list, settle, last: bool):
     """Settles the whole keys among the held batches; gives back the rows of the last key unless it is complete."""
     table = pa.Table.from_batches(held).combine_chunks()
@@ -479,9 +541,9 @@ def keep_one(
         marked = written(wide_fingerprints(marked, F.col("text"), shingle=shingle, n=len(names)).select("rid", "id", *names))
         firsts = written(marked.groupBy(*names).agg(F.min(order).alias("first"), F.min("rid").alias("node")))
         pairs = written(candidates(firsts, blocks, max_bits))
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+        asked = pairs.where("tried").select(F.explode(F.array("a", "b")).alias("rid")).distinct()
         sets = shingle_sets(rows.join(asked, "rid").select(F.col("rid").alias("node"), "text"), F.col("text"), shingle=shingle)
-        groups = roots(firsts, similar_pairs(pairs, written(sets.select("node", "set")), similar), "node")
+        groups = roots(firsts, similar_links(pairs, written(sets.select("node", "set")), similar), "node")
     groups = groups.groupBy("root").agg(F.min("first").alias("first"))
     kept = groups.select(F.col("first.rid").alias("rid"))
     return rows.join(kept, "rid", "left_semi").select("doc.*")
