@@ -146,3 +146,23 @@ def test_a_dimension_does_not_depend_on_the_order_of_batches(spark, tmp_path):
     shown = lambda x: sorted((r.k, r.lsn, r.valid_from, r.valid_to, r.is_current) for r in x.select("k", "lsn", "valid_from", "valid_to", "is_current").collect())
     got = history.scd2_versions(log.read(["k", "lsn", "attr_hash"]), "k")
     assert shown(got) == shown(history.scd2_versions(df, "k")) and got.count() == 18
+
+
+def test_trips_of_a_rider_share_one_state_and_end_one_by_one(spark, tmp_path):
+    """A rider's trips that overlap are kept apart, each leaves at its own time, and what is asked for is one state a rider."""
+    base, sizes = str(tmp_path), []
+    parts = [
+        [(1, f"t{i}", 12.0 + i, 77.0, float(i), at(i)) for i in range(6)],
+        [(1, "t5", 13.0, 77.0, 50.0, at(5.5)), (1, "t9", 12.0, 77.0, 5.0, at(20))],
+        [(1, "t9", 12.5, 77.0, 7.0, at(20.5)), (1, "t3", 12.5, 77.0, 7.0, at(20.5))],  # t3 has ended: a trip of its own now
+    ]
+    rows = []
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, PINGS).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = streams.trips_stream(streams.read_ping_stream(spark, f"{base}/in", schema=PINGS), "2 hours")
+        with streams.progress_of(spark) as told:
+            write = lambda batch, k: rows.extend((n, r.trip_id, r.ping_count, r.max_speed_kmph, r.start_lat, r.end_lat) for r in batch.collect())  # noqa: B023, E731
+            streams.foreach_batch_sink(stream, write, f"{base}/ck", f"shared{n}", mode="update").awaitTermination()
+        sizes.append([b.state_rows for b in told.batches if b.query == f"shared{n}"][-1])
+    assert sizes == [1, 1, 1]
+    assert sorted(rows) == [(0, f"t{i}", 1, float(i), 12.0 + i, 12.0 + i) for i in range(6)] + [(1, "t5", 2, 50.0, 17.0, 13.0), (1, "t9", 1, 5.0, 12.0, 12.0), (2, "t3", 1, 7.0, 12.5, 12.5), (2, "t9", 2, 7.0, 12.0, 12.5)]

@@ -144,41 +144,58 @@ class Snapshot(KeyedTable):
 
 _TRIP_ROW = "rider_id long, trip_id string, t0 long, t1 long, ping_count long, avg_speed_kmph double, max_speed_kmph double, start_lat double, start_lon double, end_lat double, end_lon double"
 _TripRow = Row(*[c.split()[0] for c in _TRIP_ROW.split(", ")])
-_TRIP_SUMS = "t0 long, lat0 double, lon0 double, t1 long, lat1 double, lon1 double, n long, speeds long, total double, top double, ends_at long"
+_TRIP_SUMS = "trip_id string, t0 long, lat0 double, lon0 double, t1 long, lat1 double, lon1 double, n long, speeds long, total double, top double, ends_at long"
+_RIDER_STATE = f"trips array<struct<{_TRIP_SUMS}>>, timer long"
 #: Where state must lie for processors with timers.
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _trip_processor(wait_ms: int) -> StatefulProcessor:
-    """What handles a trip's pings.  Built here, so that it travels to the workers whole and they need
+    """What handles a rider's pings.  Built here, so that it travels to the workers whole and they need
     not have this package."""
-    trip_row, sums = _TripRow, _TRIP_SUMS
+    trip_row, held = _TripRow, _RIDER_STATE
 
     class TripProcessor(StatefulProcessor):
-        """One trip's state: ends by (time, lat, lon), counts and speeds; a timer of event time ends it."""
+        """The open trips of a rider, one state for all: asking for state costs far more than a ping does,
+        and most trips have few pings.  Of each trip: ends by (time, lat, lon), counts and speeds, and when
+        it ends; a timer of event time stands at the first of those."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.trip = handle.getValueState("trip", sums)
+            self.rider = handle.getValueState("rider", held)
+
+        def keep(self, trips, timer) -> None:
+            """Stores the trips, with the timer where the first of them ends."""
+            first = min(t[-1] for t in trips)
+            if timer != first:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(first)
+            self.rider.update((trips, first))
 
         def handleInputRows(self, key, rows, timerValues):
-            s = self.trip.get() if self.trip.exists() else None
-            first, last, n, speeds, total, top, timer = ((*s[0:3],), (*s[3:6],), *s[6:]) if s else (None, None, 0, 0, 0.0, None, None)
+            s = self.rider.get()
+            open_, timer = ({t[0]: tuple(t) for t in s[0]}, s[1]) if s else ({}, None)
+            now, touched = timerValues.getCurrentWatermarkInMs(), {}
             for r in rows:
                 at = r.t, r.lat, r.lon
-                first, last, n = min(first or at, at), max(last or at, at), n + 1
+                _, t0, lat0, lon0, t1, lat1, lon1, n, speeds, total, top, _ = open_.get(r.trip_id) or (None, *at, *at, 0, 0, 0.0, None, None)
+                first, last = min((t0, lat0, lon0), at), max((t1, lat1, lon1), at)
                 if r.speed_kmph is not None:
                     speeds, total, top = speeds + 1, total + r.speed_kmph, r.speed_kmph if top is None else max(top, r.speed_kmph)
-            ends_at = max(last[0] // 1000 + wait_ms, timerValues.getCurrentWatermarkInMs() + 1)
-            if timer != ends_at:
-                if timer is not None:
-                    self.handle.deleteTimer(timer)
-                self.handle.registerTimer(ends_at)
-            self.trip.update((*first, *last, n, speeds, total, top, ends_at))
-            yield trip_row(*key, first[0], last[0], n, total / speeds if speeds else None, top, *first[1:], *last[1:])
+                open_[r.trip_id] = touched[r.trip_id] = (r.trip_id, *first, *last, n + 1, speeds, total, top, max(last[0] // 1000 + wait_ms, now + 1))
+            self.keep(list(open_.values()), timer)
+            for trip_id, t0, lat0, lon0, t1, lat1, lon1, n, speeds, total, top, _ in touched.values():
+                yield trip_row(*key, trip_id, t0, t1, n, total / speeds if speeds else None, top, lat0, lon0, lat1, lon1)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            self.trip.clear()
+            s, now = self.rider.get(), max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+            left = [tuple(t) for t in s[0] if t[-1] > now] if s else []
+            if left:
+                # the timer that has just expired is gone already
+                self.keep(left, None)
+            else:
+                self.rider.clear()
             return iter(())
 
         def close(self) -> None:
@@ -191,13 +208,13 @@ def trips_stream(pings: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
     """Trips as pings arrive: every update of a trip gives its row anew (update mode), with the columns of ``trips``.
 
     A trip's state ends when the watermark has passed its last ping by the tolerance, by a timer, so
-    the state stays bounded; it lies in RocksDB, beside the heap.  Pings behind the watermark are
+    the state stays bounded; it lies in RocksDB, beside the heap, the open trips of a rider together.  Pings behind the watermark are
     dropped here (``LateRows`` keeps them).  Pings without key, time or place belong to no trip.
     """
     pings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
     wait_ms = int(pd.Timedelta(tolerance).total_seconds() * 1000)
     whole = pings.dropna(subset=["rider_id", "trip_id", "event_ts", "lat", "lon"]).withWatermark("event_ts", tolerance)
-    keyed = whole.select("rider_id", "trip_id", F.unix_micros("event_ts").alias("t"), "lat", "lon", "speed_kmph", "event_ts").groupBy("rider_id", "trip_id")
+    keyed = whole.select("rider_id", "trip_id", F.unix_micros("event_ts").alias("t"), "lat", "lon", "speed_kmph", "event_ts").groupBy("rider_id")
     rows = keyed.transformWithState(_trip_processor(wait_ms), _TRIP_ROW, "update", "eventTime")
     ends = [F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")]
     return rows.select(
