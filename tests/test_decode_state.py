@@ -113,3 +113,15 @@ def test_insert_only_and_restate_are_idempotent(spark):
     new = spark.createDataFrame([(1, 3, "n")], ROWS)
     again = state.merge_restate(state.merge_restate(target, new, ["k"]), new, ["k"])
     assert [tuple(r) for r in again.collect()] == [(1, 3, "n")]
+
+
+def test_only_the_newest_image_of_a_key_is_parsed(spark):
+    """As the latest state of all parsed changes; nine of ten images never become rows of the plan behind the ranks."""
+    rows = [(op, lsn, 1000 * lsn, image if op == "d" else None, None if op == "d" else image) for lsn in range(40) for op in ("d" if lsn % 7 == 0 else "u",) for image in (f'{{"order_id": {lsn % 4}, "status": "S{lsn}", "subtotal_inr": "x", "placed_ts": "2024-01-01T00:00:{lsn:02d}Z"}}',)]
+    rows += [("u", 90, 0, None, '{"status": "none"}'), ("u", 91, 0, None, "{broken"), ("u", 92, 0, None, None)]
+    log = decode.with_images(spark.createDataFrame(rows, "op string, lsn long, event_ts_ms long, before_json string, after_json string"))
+    whole = state.latest_state(decode.parse_changes(log, spec.ORDERS), ["order_id"])
+    got = decode.latest_changes(log, spec.ORDERS)
+    assert got.columns == whole.columns and sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 4
+    ranked = got._jdf.queryExecution().optimizedPlan().toString().split("Window")[-1]
+    assert "$.order_id" in ranked and "$.status" not in ranked

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.keys import attribute_hash
+from tidelake.operators.state import latest_state
 from tidelake.plans.spec import ENTITIES, EntitySpec
 
 HEADER_BYTES = 5
@@ -85,12 +86,22 @@ def with_images(changes: DataFrame) -> DataFrame:
     return changes.withColumns(parsed).drop("before_json", "after_json")
 
 
+def _field(spec: EntitySpec, name: str) -> Column:
+    """A field of the row image of a change (the old one of a delete); null where it is absent or its type cannot hold it."""
+    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    return F.try_variant_get(image, f"$.{name}", spec.types[name])
+
+
+def with_key(changes: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Change rows with their images and the entity's key beside them, all else unparsed.  Changes without a key are dropped."""
+    changes = changes if "after" in changes.columns else with_images(changes)
+    return changes.withColumn(spec.key, _field(spec, spec.key)).where(F.col(spec.key).isNotNull())
+
+
 def _parsed(changes: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The row image of a change (the old one of a delete) as a struct, beside the change's columns.
-    An absent field, and one that its type cannot hold, is null."""
+    """The row image of a change as a struct, beside the change's columns."""
     changes = changes if "after" in changes.columns else with_images(changes)
-    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    fields = [F.try_variant_get(image, f"$.{f}", t).alias(f) for f, t in spec.types.items()]
+    fields = [_field(spec, f).alias(f) for f in spec.types]
     return changes.withColumn("__row", F.struct(*fields)).where(F.col(f"__row.{spec.key}").isNotNull())
 
 
@@ -103,6 +114,12 @@ def parse_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
     return _parsed(changes, spec).select(*_typed(spec), (F.col("op") == "d").alias("is_deleted"), "op", "lsn")
 
 
+def latest_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
+    """``latest_state`` of what ``parse_changes`` gives, by the entity's key: of a key's changes only
+    the newest is parsed, as parsing an image costs more than all the rest."""
+    return parse_changes(latest_state(with_key(changes, spec), [spec.key]), spec)
+
+
 def parse_dim_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
     """As ``parse_changes``, with valid_from and attr_hash for history.
 

@@ -186,9 +186,13 @@ def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpe
     return tables.stored(inputs.as_bronze(rows, entity.fields))
 
 
+def order_log(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze_table(spark, sf, "order_changes", spec.ORDERS)
+
+
 def order_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Order changes that went through the change log."""
-    return decode.parse_changes(bronze_table(spark, sf, "order_changes", spec.ORDERS), spec.ORDERS)
+    return decode.parse_changes(order_log(spark, sf), spec.ORDERS)
 
 
 @query("parse_order_changes", f"SELECT {_ORDER_SQL} FROM order_changes")
@@ -383,7 +387,7 @@ SHARED["orders_now"] = _LATEST.format(c="* EXCLUDE (rn)", k="order_id", t="order
 
 @query("latest_state", f"SELECT {_ORDER_SQL} FROM orders_now", ("orders_now",))
 def _(spark, sf):
-    return state.latest_state(order_rows(spark, sf), ["order_id"]).select(*_ORDER_COLUMNS)
+    return orders_now(spark, sf).select(*_ORDER_COLUMNS)
 
 
 @query("state_as_of", _LATEST.format(c="order_id, status, is_deleted, lsn", k="order_id", t="(SELECT * FROM order_changes WHERE updated_at <= placed_ts + INTERVAL '15' MINUTE) AS upto"))
@@ -526,7 +530,7 @@ def _(spark, sf):
     ("orders_now", "parsed_restaurant", "versions_restaurant", "live_restaurant"),
 )
 def _(spark, sf):
-    facts = state.latest_state(order_rows(spark, sf), ["order_id"]).select("order_id", "restaurant_id", "placed_ts")
+    facts = orders_now(spark, sf).select("order_id", "restaurant_id", "placed_ts")
     live = history.scd2_effective_from(versions(spark, sf, "restaurant").where("not is_deleted"), "restaurant_id")
     joined = history.scd2_as_of_join(facts, live, "restaurant_id", "placed_ts", {"commission_pct": "commission_pct", "valid_from": "valid_from"})
     return joined.drop("restaurant_id")
@@ -557,7 +561,7 @@ def _(spark, sf):
 
 def staged_orders(spark: SparkSession, sf: str) -> DataFrame:
     """The orders as they are, stored: facts read them several times."""
-    return marts.stg_orders(tables.stored(state.latest_state(order_rows(spark, sf), ["order_id"])))
+    return marts.stg_orders(tables.stored(orders_now(spark, sf)))
 
 
 def entity_rows(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
@@ -861,7 +865,7 @@ _JUDGED = ("orders_now", "judged_orders")
 
 
 def orders_now(spark: SparkSession, sf: str) -> DataFrame:
-    return state.latest_state(order_rows(spark, sf), ["order_id"])
+    return decode.latest_changes(order_log(spark, sf), spec.ORDERS)
 
 
 def _names(df: DataFrame) -> Column:
@@ -1108,9 +1112,9 @@ def _(spark, sf):
 @query("late_reconciliation", f"SELECT {_ORDER_SQL} FROM orders_now", ("orders_now",))
 def _(spark, sf):
     """A stored table of orders that gets one step of each order's changes late."""
-    rows = order_rows(spark, sf)
+    rows = decode.with_key(order_log(spark, sf), spec.ORDERS)
     table = keyed.KeyedTable(spark, tables.scratch_dir(spark), ["order_id"])
-    merge = lambda old, new: state.latest_state(new, ["order_id"]) if old is None else state.merge_latest_guarded(old, new, ["order_id"])
+    merge = lambda old, new: decode.latest_changes(new, spec.ORDERS) if old is None else state.merge_latest_guarded(old, decode.parse_changes(new, spec.ORDERS), ["order_id"])
     table.merge(rows.where("lsn % 8 <> 2"), 0, merge)
     table.merge(rows.where("lsn % 8 = 2"), 1, merge)
     return table.read().select(*_ORDER_COLUMNS)
