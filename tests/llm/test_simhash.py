@@ -330,3 +330,48 @@ def test_sets_of_the_last_forest_hold_every_candidate_that_no_forest_took():
     bits = lambda i, j: sum((int(x) ^ int(y)).bit_count() for x, y in zip(rows[i, 1:], rows[j, 1:]))
     left = [(i, j) for i in range(120) for j in range(i) if bits(i, j) <= simhash.WIDE_BITS and frozenset((i, j)) not in taken]
     assert len(left) > 1000 and all(i in where and where[i] == where.get(j) for i, j in left)
+
+
+def cloud(n, seed=5, least=0.8):
+    """Near copies in one cloud: sets, parts, and what links beyond the parts connect."""
+    draw = random.Random(seed)
+    base = draw.sample(range(10**6), 60)
+    sets = {i: sorted({x if draw.random() > draw.choice((0.03, 0.12, 0.2)) else draw.randrange(-(2**60), 2**60) for x in base}) for i in range(n)}
+    parts = {i: i // 9 * 9 if i < n // 2 else i for i in range(n)}
+    pairs = [(i, j) for j in sets for i in range(j) if parts[i] != parts[j] and plain_jaccard(set(sets[i]), set(sets[j])) >= least]
+    return sets, parts, pairs
+
+
+@pytest.mark.parametrize("block_words", [simhash.BLOCK_WORDS, 2_000, 300])
+def test_rest_links_connect_what_all_pairs_connect(spark, block_words):
+    sets, parts, pairs = cloud(150)
+    nodes = spark.createDataFrame([(i % 2, i, parts[i] + i % 2) for i in sets], "cloud long, node long, part long")
+    frame = spark.createDataFrame(list(sets.items()), "node long, set array<long>")
+    got = [(r.a, r.b) for r in simhash.rest_links(nodes, frame, 0.8, block_words).collect()]
+    apart = [(parts[i] + i % 2, i) for i in sets]
+    assert got and set(got) <= set(pairs)
+    assert plain_components(200, apart + got) == plain_components(200, apart + [p for p in pairs if p[0] % 2 == p[1] % 2])
+
+
+def test_texts_of_a_cloud_do_not_meet_as_rows_of_pairs(spark):
+    """400 near copies, few of them similar: no join makes rows of more than a few a text."""
+    sets, _, _ = cloud(400)
+    found = spark.createDataFrame([(0, 1, True), *[(0, i, False) for i in sets]], "a long, b long, tried boolean")
+    frame = spark.createDataFrame(list(sets.items()), "node long, set array<long>")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    got = [(r.a, r.b) for r in simhash.similar_links(found, frame, 0.8).collect()]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    rows = []
+    for at in range(before, store.executionsCount()):
+        run = store.executionsList().apply(at).executionId()
+        told, plan = store.executionMetrics(run), store.planGraph(run).allNodes()
+        for i in range(plan.size()):
+            if "Join" in plan.apply(i).name():
+                own = plan.apply(i).metrics()
+                for m in (own.apply(k) for k in range(own.size())):
+                    if m.name() == "number of output rows" and told.contains(m.accumulatorId()):
+                        rows.append(int(told.apply(m.accumulatorId()).replace(",", "")))
+    assert rows and max(rows) < 8 * len(sets)
+    want = [(i, j) for j in sets for i in range(j) if plain_jaccard(set(sets[i]), set(sets[j])) >= 0.8]
+    assert plain_components(400, got) == plain_components(400, want)

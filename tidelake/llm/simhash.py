@@ -23,8 +23,8 @@ differ in at most ``WIDE_BITS`` of the first four fingerprints' 256 bits are can
 few edge-disjoint forests of each key leave the task, near pairs first (``FORESTS``).  The shingle
 sets of a candidate's texts are then compared, and only pairs that are similar enough become links.
 Candidates that no forest took lie inside sets of the last forest.  Where such a set is not one group by
-the links found, its texts meet once more, by the rarest shingles of their sets (``rest_pairs``), so
-every link that the forests left out is found.
+the links found, its texts meet once more, in blocks whose pairs are judged inside a task (``rest_links``),
+so every link that the forests left out is found.
 """
 
 from __future__ import annotations
@@ -65,6 +65,10 @@ MEAN_WIDE_KEY = 1_024
 #: Candidates of a key: so many forests, none with an edge of another, each taken in these steps of
 #: differing bits.  What is behind them is asked for where it may still link two groups.
 FORESTS, STEPS = 3, (20, 32, 42, WIDE_BITS)
+#: Shingles of a block of texts that is held against another one, and what a text counts beside its own.
+BLOCK_WORDS, TEXT_WORDS = 1 << 20, 32
+#: 64-bit words of a set's sketch, how many of them are looked at first, and pairs that are judged at a time.
+SKETCH, SKETCH_FIRST, JUDGED = 16, 4, 1 << 20
 
 
 # --- fingerprints -----------------------------------------------------------------------
@@ -434,11 +438,13 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def open_nodes(rest: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, part) of the nodes in sets (a, b) that are more than one group; part: a node's group, by
-    ``groups`` (node, root), which has those that are linked."""
-    own = rest.join(groups.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("part", F.coalesce("root", "b"))
-    apart = own.groupBy("a").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    return own.join(apart, "a", "left_semi").select(F.col("b").alias("node"), "part").distinct()
+    """(cloud, node, part) of the nodes in clouds that are more than one group; cloud: sets (a, b) that have
+    nodes in common; part: a node's group, by ``groups`` (node, root), which has those that are linked."""
+    clouds = connected_components(rest.select("a", "b")).withColumnRenamed("root", "cloud")
+    nodes = rest.select(F.col("b").alias("node")).distinct().join(clouds, "node", "left").join(groups, "node", "left")
+    own = written(nodes.select(F.coalesce("cloud", "node").alias("cloud"), "node", F.coalesce("root", "node").alias("part")))
+    apart = own.groupBy("cloud").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    return own.join(apart, "cloud", "left_semi")
 
 
 def rest_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -447,7 +453,7 @@ def rest_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     Similar sets share at least ``least`` of either one's shingles.  So, with shingles in one order, they
     share one of those that stand before the last ``least`` of each; the order begins with the rarest, and
-    of those only what two parts have is kept.
+    of those only what two parts have is kept.  Every pair is a row, so this is for few nodes (``rest_links``).
     """
     words = nodes.join(sets, "node").select("node", "part", F.size("set").alias("n"), F.explode("set").alias("word"))
     times = words.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
@@ -462,16 +468,115 @@ def rest_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return met.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
 
 
+def _sketches(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """SKETCH words of bits for each set of shingles: whether an odd number of its shingles has a bit.  Two
+    sketches differ in no more bits than there are shingles that only one of the sets has."""
+    bits, starts, out = 64 * SKETCH, np.append(0, ends[:-1]), []
+    spread = (second_hashes(words.view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+    for at in range(0, len(ends), 1_024):
+        last = min(at + 1_024, len(ends))
+        own = np.repeat(np.arange(last - at), ends[at:last] - starts[at:last])
+        odd = np.bincount(own * bits + spread[starts[at] : ends[last - 1]], minlength=(last - at) * bits) & 1
+        out.append(np.packbits(odd.astype(bool).reshape(-1, bits), axis=1).view(np.uint64))
+    return np.concatenate(out)
+
+
+def cloud_links(part: np.ndarray, words: np.ndarray, ends: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of texts whose sets have a Jaccard similarity of ``least`` or more, enough of them to join all
+    parts that such pairs join.  ``words``: the sets, one behind the other, none empty, each up to its ``ends``.
+
+    side: texts of side 0 meet those of side 1, or, where there is none, each other.  Sketches tell how
+    many shingles only one of two sets has at least; what that leaves is compared by the sets themselves.
+    """
+    sizes, root = np.diff(ends, prepend=0), np.unique(part, return_index=True, return_inverse=True)
+    root, out = root[1][root[2]], []
+    sketch, (seen, code) = _sketches(words, ends), np.unique(words, return_inverse=True)
+    own, mark = [code[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())], np.zeros(len(seen), dtype=bool)
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = not len(two)
+    two = one if alone else two
+    step = max(1, JUDGED // max(1, len(two)))
+    for at in range(0, len(one), step):
+        a = one[at : at + step, None]
+        most = (sizes[a] + sizes[two]) * ((1 - least) / (1 + least)) + 1e-6
+        differ = np.zeros(most.shape, dtype=np.int64)
+        for w in range(SKETCH_FIRST):
+            differ += np.bitwise_count(sketch[a, w] ^ sketch[two, w])
+        x, y = np.nonzero((differ <= most) & (np.abs(sizes[a] - sizes[two]) <= most) & (root[a] != root[two]) & ((a < two) | (not alone)))
+        some = np.bitwise_count(sketch[a[x, 0]] ^ sketch[two[y]]).sum(axis=1, dtype=np.int64) <= most[x, y]
+        first, second = a[x[some], 0], two[y[some]]
+        cut = np.flatnonzero(np.diff(first, prepend=-1))
+        for i, others in zip(first[cut].tolist(), np.split(second, cut[1:])):
+            others = others[root[others] != root[i]]
+            if not len(others):
+                continue
+            mark[own[i]] = True
+            both = np.add.reduceat(mark[np.concatenate([own[j] for j in others])], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            mark[own[i]] = False
+            others = others[both >= (sizes[i] + sizes[others]) * (least / (1 + least)) - 1e-9]
+            taken = others[_span(root, np.full(len(others), i), others)]
+            out.append((np.full(len(taken), i), taken))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 2
+
+
+def _met(nodes: DataFrame, block_words: int) -> DataFrame:
+    """``nodes`` (cloud, node, part, set) where they meet: cloud, p and q (two blocks) and side, each pair of
+    nodes of different parts once.  A part of over ``block_words`` is dealt over blocks of its own, which need
+    not meet each other; the other parts of a cloud are dealt over common blocks, each as a whole."""
+    size = F.size("set") + F.lit(TEXT_WORDS)
+    parts = nodes.groupBy("cloud", "part").agg(F.sum(size).alias("n"))
+    parts = parts.withColumn("home", F.when(F.col("n") > block_words, F.col("part")).otherwise(F.lit(-1)))
+    homes = parts.groupBy("cloud", "home").agg(F.ceil(F.sum("n") / block_words).cast("int").alias("blocks"))
+    nr = F.pmod(F.xxhash64(F.when(F.col("home") < 0, F.col("part")).otherwise(F.col("node"))), F.col("blocks")).cast("int")
+    dealt = nodes.join(parts.join(homes, ["cloud", "home"]).select("cloud", "part", "home", "blocks"), ["cloud", "part"])
+    dealt = written(dealt.select("cloud", "node", "part", "set", F.struct("home", nr.alias("nr")).alias("block")))
+    blocks = dealt.select("cloud", F.col("block").alias("p")).distinct()
+    pairs = blocks.join(blocks.withColumnRenamed("p", "q"), "cloud").where("p <= q and (p.home <> q.home or p.home < 0)")
+    sides = F.array(F.struct(F.col("p").alias("block"), F.lit(0).alias("side")), F.struct(F.col("q").alias("block"), F.lit(1).alias("side")))
+    sides = pairs.select("cloud", "p", "q", F.explode(sides).alias("s")).where("p <> q or s.side = 0").select("cloud", "p", "q", "s.block", "s.side")
+    return dealt.join(sides, ["cloud", "block"]).select("cloud", F.xxhash64("p", "q").alias("pair"), "side", "node", "part", "set")
+
+
+def rest_links(nodes: DataFrame, sets: DataFrame, least: float, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Links (a, b) that connect all ``nodes`` (cloud, node, part) of one cloud whose ``sets`` (node, set) have
+    a Jaccard similarity of ``least`` or more, beyond what their parts connect.
+
+    The texts of a cloud meet in blocks, each pair of blocks in one task, so no pair is a row: a task holds
+    two blocks and gives a forest of its links.  The work is that of all pairs of different parts, as texts
+    that are nearly similar must all be told from those that are.
+    """
+
+    def settle(batches):
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(len(x) for x in held) >= 16_384:
+                held = yield from settled(held, False)
+        if held:
+            yield from settled(held, True)
+
+    def settled(held, last):
+        table = pa.Table.from_batches(held).combine_chunks()
+        cloud, pair = table.column("cloud").to_numpy(), table.column("pair").to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, (cloud[1:] != cloud[:-1]) | (pair[1:] != pair[:-1]))), len(table))
+        for s, e in zip(cuts, cuts[1:] if last else cuts[1:-1]):
+            rows = table.slice(s, e - s)
+            words = rows.column("set").combine_chunks()
+            part, side, node = (rows.column(c).to_numpy() for c in ("part", "side", "node"))
+            a, b = cloud_links(part, words.flatten().to_numpy(), np.cumsum(words.value_lengths().to_numpy(), dtype=np.int64), side, least)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
+        return [] if last else table.slice(cuts[-2]).to_batches()
+
+    met = _met(nodes.join(sets, "node").where(F.size("set") > 0), block_words)
+    return met.repartition("cloud", "pair").sortWithinPartitions("cloud", "pair").mapInArrow(settle, "a long, b long")
+
+
 def similar_links(found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links (a, b) that connect all candidates of a similarity of ``least`` or more: of the pairs that were
     tried (``candidates``), and between the groups that these make of the sets that hold the rest."""
-    pairs = found.where("tried").select("a", "b")
-    tried = written(similar_pairs(pairs, sets, least))
+    tried = written(similar_pairs(found.where("tried").select("a", "b"), sets, least))
     nodes = written(open_nodes(found.where("not tried"), connected_components(tried)))
-    if nodes.isEmpty():
-        return tried
-    rest = rest_pairs(nodes, sets, least).join(pairs, ["a", "b"], "left_anti")
-    return tried.unionByName(similar_pairs(rest, sets, least))
+    return tried if nodes.isEmpty() else tried.unionByName(rest_links(nodes, sets, least))
 
 
 def _settle(held: list, settle, last: bool):
