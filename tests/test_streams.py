@@ -166,3 +166,19 @@ def test_trips_of_a_rider_share_one_state_and_end_one_by_one(spark, tmp_path):
         sizes.append([b.state_rows for b in told.batches if b.query == f"shared{n}"][-1])
     assert sizes == [1, 1, 1]
     assert sorted(rows) == [(0, f"t{i}", 1, float(i), 12.0 + i, 12.0 + i) for i in range(6)] + [(1, "t5", 2, 50.0, 17.0, 13.0), (1, "t9", 1, 5.0, 12.0, 12.0), (2, "t3", 1, 7.0, 12.5, 12.5), (2, "t9", 2, 7.0, 12.0, 12.5)]
+
+
+def test_lanes_are_worked_off_at_once_in_bounded_batches(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(60_000).withColumnRenamed("id", "lsn")
+    lanes = streams.land_in_lanes(rows, f"{base}/in", ["lsn"], lanes=3)
+    assert lanes == ["lane=0", "lane=1", "lane=2"]
+    write = lambda lane: lambda batch, n: batch.write.mode("overwrite").parquet(f"{base}/out/{lane}/batch={n}")
+    with streams.progress_of(spark) as told:
+        started = [streams.foreach_batch_sink(streams.read_change_stream(spark, f"{base}/in/{x}", schema="lsn long", files=1), write(x), f"{base}/ck/{x}", x, hold=False) for x in lanes]
+        for query in started:
+            query.awaitTermination()
+    batches = [told.of(x) for x in lanes]
+    assert all(len(b) >= 2 for b in batches) and max(b.rows for x in batches for b in x) <= 10_000
+    got = spark.read.parquet(f"{base}/out")
+    assert got.count() == got.select("lsn").distinct().count() == 60_000

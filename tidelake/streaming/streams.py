@@ -19,6 +19,8 @@ from tidelake.sources.tables import has_source
 
 #: Rows of a trigger at most (Kafka offsets; rows of a file that ``land`` writes).
 CHANGES_PER_TRIGGER, PINGS_PER_TRIGGER = 10_000, 50_000
+#: Lanes of a landed log, each of which a query of its own may work off.
+LANES = 8
 #: Bytes of files that a trigger takes at most, unless told how many files.
 BYTES_PER_TRIGGER = 256 << 20
 
@@ -29,6 +31,16 @@ def land(rows: DataFrame, folder: str, per_file: int = CHANGES_PER_TRIGGER) -> N
     rows.write.mode("append").option("maxRecordsPerFile", per_file).parquet(folder)
 
 
+def land_in_lanes(rows: DataFrame, folder: str, by: Sequence[str], lanes: int = LANES, per_file: int = CHANGES_PER_TRIGGER) -> list[str]:
+    """As ``land``, into a folder for each lane, ``<folder>/lane=<n>``; a message's lane is that of the hash of ``by``.
+    Gives the names of the lanes that have rows; a row for each of them comes to the driver."""
+    lane = F.pmod(F.xxhash64(*by), F.lit(lanes)).cast("int")
+    dealt = rows.withColumn("lane", lane).repartition(lanes, "lane")
+    dealt.write.mode("append").option("maxRecordsPerFile", per_file).partitionBy("lane").parquet(folder)
+    there = rows.sparkSession.read.parquet(folder).select("lane").distinct().collect()
+    return sorted(f"lane={r.lane}" for r in there)
+
+
 def _bounded(reader, files: int | None, size: int):
     return reader.option("maxFilesPerTrigger", files) if files else reader.option("maxBytesPerTrigger", size)
 
@@ -120,11 +132,15 @@ def progress_of(spark: SparkSession) -> Iterator[Progress]:
         spark.streams.removeListener(listener)
 
 
-def foreach_batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], Any], checkpoint: str, name: str, once: bool = True, every: str = "10 seconds", mode: str = "append") -> StreamingQuery:
+def foreach_batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], Any], checkpoint: str, name: str, once: bool = True, every: str = "10 seconds", mode: str = "append", hold: bool = True) -> StreamingQuery:
     """A named, checkpointed query that gives each micro-batch to ``write``.  once: works off
-    what is there in bounded batches and ends; else runs on."""
+    what is there in bounded batches and ends; else runs on.  hold: a batch is kept while it is
+    written; a ``write`` that reads it once needs no copy."""
 
     def held(batch: DataFrame, number: int) -> None:
+        if not hold:
+            write(batch, number)
+            return
         batch.persist()
         try:
             write(batch, number)
