@@ -149,3 +149,12 @@ def test_changes_at_one_position_have_one_order(spark):
     shown = lambda df: sorted((r.k, r.lsn, r.attr_hash, r.is_current) for r in df.select("k", "lsn", "attr_hash", "is_current").collect())
     one, other = (shown(history.scd2_versions(changes(spark, x).coalesce(1), "k")) for x in (rows, rows[::-1]))
     assert one == other
+
+
+def test_first_versions_need_two_windows_and_nothing_of_open_rows(spark):
+    """Of no open row nothing has to be known: only the change before and the one behind are looked at."""
+    rows = spark.createDataFrame([(1, 1, 10, "a"), (1, 2, 20, "a"), (1, 3, 30, "b"), (2, 1, 5, "a")], "k long, lsn long, valid_from long, attr_hash string")
+    got = history.scd2_versions(rows, "k")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2
+    assert sorted(tuple(r) for r in got.select("k", "lsn", "valid_to", "is_current").collect()) == [(1, 1, 30, False), (1, 3, None, True), (2, 1, None, True)]

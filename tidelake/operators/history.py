@@ -18,27 +18,35 @@ from tidelake.sources.tables import stored
 BEGINNING = "1900-01-01"
 
 
-def timeline(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
+def timeline(changes: DataFrame, key: str | list[str], open_rows: DataFrame | None = None) -> DataFrame:
     """Each key's open row, if it has one, followed by the versions that its changes make.
 
     Both stand in one sequence by log position, the open row behind a change at its own
     position.  What stands before an open row is known already and goes; so does a change
     that repeats the attributes before it.  What is left is chained: each row's window ends
     where the next begins, which also closes the open row.  ``stored`` tells the open row.
+
+    key: what rows of one sequence share, beside the key itself also what it determines, such as the
+    ``bucket`` that rows are dealt by already: then nothing is shuffled.
     """
-    rows = changes.withColumn("stored", F.lit(False))
-    if open_rows is not None:
-        rows = rows.unionByName(open_rows.withColumn("stored", F.lit(True)), allowMissingColumns=True)
     # attr_hash: changes that share a position have one order, whichever came first
-    order = Window.partitionBy(key).orderBy("lsn", "stored", "attr_hash")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"__any": F.max("stored").over(Window.partitionBy(key)), "__seen": F.max("stored").over(upto), "__same": F.lag("attr_hash").over(order) == F.col("attr_hash")})
-    rows = rows.where(F.col("stored") | (F.col("__seen") == F.col("__any")) & ~F.coalesce("__same", F.lit(False)))
+    order = Window.partitionBy(key).orderBy("lsn", "attr_hash")
+    same = F.coalesce(F.lag("attr_hash").over(order) == F.col("attr_hash"), F.lit(False))
+    if open_rows is None:
+        # nothing is known already, so no row has to know of an open one
+        rows = changes.withColumn("__same", same).where("not __same").withColumn("stored", F.lit(False))
+    else:
+        rows = changes.withColumn("stored", F.lit(False)).unionByName(open_rows.withColumn("stored", F.lit(True)), allowMissingColumns=True)
+        order = Window.partitionBy(key).orderBy("lsn", "stored", "attr_hash")
+        same = F.coalesce(F.lag("attr_hash").over(order) == F.col("attr_hash"), F.lit(False))
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumns({"__any": F.max("stored").over(Window.partitionBy(key)), "__seen": F.max("stored").over(upto), "__same": same})
+        rows = rows.where(F.col("stored") | (F.col("__seen") == F.col("__any")) & ~F.col("__same"))
     end = F.lead("valid_from").over(order)
     return rows.drop("__any", "__seen", "__same").withColumns({"valid_to": end, "is_current": end.isNull()})
 
 
-def scd2_versions(changes: DataFrame, key: str, open_rows: DataFrame | None = None) -> DataFrame:
+def scd2_versions(changes: DataFrame, key: str | list[str], open_rows: DataFrame | None = None) -> DataFrame:
     """New versions from parsed changes (key, lsn, valid_from, attr_hash, ...), given the open
     row of each key so far: (key, lsn, valid_from, attr_hash) at least."""
     return timeline(changes, key, open_rows).where("not stored").drop("stored")

@@ -468,7 +468,16 @@ def _(spark, sf):
 
 
 def versions(spark: SparkSession, sf: str, which: str) -> DataFrame:
-    return history.scd2_versions(dim_rows(spark, sf, which), DIMS[which][0].key)
+    """Hashes travel and sort as bytes: half as wide as their digits, in the same order."""
+    return hashes_as_text(history.scd2_versions(hashes_as_bytes(dim_rows(spark, sf, which)), DIMS[which][0].key))
+
+
+def hashes_as_bytes(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("attr_hash", F.unhex("attr_hash"))
+
+
+def hashes_as_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("attr_hash", F.lower(F.hex("attr_hash")))
 
 
 _WINDOW = "lsn, valid_from, valid_to, is_current, is_deleted"
