@@ -158,3 +158,24 @@ def test_first_versions_need_two_windows_and_nothing_of_open_rows(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 2
     assert sorted(tuple(r) for r in got.select("k", "lsn", "valid_to", "is_current").collect()) == [(1, 1, 30, False), (1, 3, None, True), (2, 1, None, True)]
+
+
+def test_versions_of_rows_dealt_by_bucket_are_not_shuffled_again(spark, tmp_path):
+    from tidelake.sources.keyed import KeyedTable
+
+    rows = spark.createDataFrame([(k, n, 10 * n, "ab"[n % 2]) for k in range(40) for n in range(3)], "k long, lsn long, valid_from long, attr_hash string")
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], 4)
+    made = []
+
+    def merge(old, batch):
+        made.append(history.scd2_versions(table.dealt(batch), ["bucket", "k"]))
+        return made[-1]
+
+    assert table.merge(rows, 0, merge) == [0, 1, 2, 3]
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    want = history.scd2_versions(rows, "k")
+    names = ["k", "lsn", "valid_from", "valid_to", "is_current"]
+    assert sorted(map(tuple, table.read().select(names).collect()), key=repr) == sorted(map(tuple, want.select(names).collect()), key=repr)
+    # a bucket is one file
+    assert len(table.read().inputFiles()) == 4

@@ -502,19 +502,20 @@ for _which in ("menu", "restaurant"):
 
     @query(f"merge_scd2_{_which}", f"SELECT {DIMS[_which][0].key}, attr_hash, {_WINDOW} FROM versions_{_which}", (f"parsed_{_which}", f"versions_{_which}"))
     def _(spark, sf, which=_which):
-        rows, key = dim_rows(spark, sf, which), DIMS[which][0].key
+        rows, key = hashes_as_bytes(dim_rows(spark, sf, which)), DIMS[which][0].key
         table = keyed.KeyedTable(spark, tables.scratch_dir(spark), [key])
 
         def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
             if old is None:
-                return history.scd2_versions(batch, key)
+                # dealt once, by bucket: neither the sequences nor the table shuffle again
+                return history.scd2_versions(table.dealt(batch), ["bucket", key])
             new = history.scd2_versions(batch, key, old.where("is_current"))
             return history.merge_scd2(old, history.scd2_stage(new, key), key)
 
         table.merge(rows.where(F.col("lsn") <= _CUT), 0, merge)
         # the second batch brings part of the first again
         table.merge(rows.where(F.col("lsn") > _CUT - 86_400_000_000 * 30), 1, merge)
-        return table.read().select(key, "attr_hash", *_WINDOW_COLUMNS)
+        return hashes_as_text(table.read()).select(key, "attr_hash", *_WINDOW_COLUMNS)
 
 
 def _effective(which: str) -> str:

@@ -29,6 +29,10 @@ class KeyedTable:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int") if self.keys else F.lit(0)
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows by their ``bucket``, a bucket in one task: what a merge groups by bucket and key is not shuffled again."""
+        return rows.withColumn("bucket", self.bucket()).repartition("bucket")
+
     # --- files ---
 
     def _listed(self, folder: str, prefix: str) -> list[int]:
@@ -69,12 +73,14 @@ class KeyedTable:
 
     def merge(self, batch: DataFrame, number: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> list[int]:
         """merge(rows of the touched buckets or None, batch) becomes those buckets' content.
-        Gives the touched buckets; a row for each of them comes to the driver."""
+        Gives the touched buckets; a row for each of them comes to the driver.
+
+        Rows that ``merge`` gives with a column ``bucket`` are dealt by it already (``dealt``) and are not shuffled again."""
         touched = sorted(r[0] for r in batch.select(self.bucket().alias("b")).distinct().collect())
         if touched:
-            rows = merge(self.read(number, touched), batch).withColumn("bucket", self.bucket())
+            rows = merge(self.read(number, touched), batch)
             # dynamic: only versions of this number are replaced, those that the batch left behind when it failed
-            dealt = rows.repartition("bucket").withColumn("version", F.lit(number))
+            dealt = (rows if "bucket" in rows.columns else self.dealt(rows)).withColumn("version", F.lit(number))
             dealt.write.partitionBy("bucket", "version").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
         self._commit(number)
         for b, kept in self.versions(number, touched).items():
