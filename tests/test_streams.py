@@ -1,6 +1,7 @@
 """Streams: bounded triggers, bounded state, timers, restarts, and what the listener tells."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +183,28 @@ def test_lanes_are_worked_off_at_once_in_bounded_batches(spark, tmp_path):
     assert all(len(b) >= 2 for b in batches) and max(b.rows for x in batches for b in x) <= 10_000
     got = spark.read.parquet(f"{base}/out")
     assert got.count() == got.select("lsn").distinct().count() == 60_000
+
+
+def test_bounded_triggers_does_not_wait_for_a_listener(spark, monkeypatch):
+    """A listener that loses events, as one that lags behind many triggers does, changes nothing."""
+    from tidelake.plans import registry
+
+    monkeypatch.setattr(streams.Progress, "onQueryProgress", lambda self, event: None)
+    found = registry.QUERIES["bounded_triggers"](spark, "/root/testdata/sf0.001").collect()
+    assert [tuple(r) for r in found] == [(1_143, True, True)]
+
+
+def test_a_slow_listener_is_heard_out(spark, tmp_path, monkeypatch):
+    """Events come for longer than one may be quiet, and longer than any one wait."""
+    tell = streams.Progress.onQueryProgress
+
+    def slowly(self, event):
+        time.sleep(0.8)
+        tell(self, event)
+
+    monkeypatch.setattr(streams.Progress, "onQueryProgress", slowly)
+    streams.land(spark.range(60).coalesce(1), f"{tmp_path}/in", 10)
+    with streams.progress_of(spark, quiet_s=1.5) as told:
+        write = lambda batch, n: batch.count()
+        streams.foreach_batch_sink(streams.read_change_stream(spark, f"{tmp_path}/in", schema="id long", files=1), write, f"{tmp_path}/ck", "slowly").awaitTermination()
+    assert [b.rows for b in told.of("slowly")] == [10] * 6

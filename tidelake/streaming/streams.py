@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from typing import Any, NamedTuple
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
@@ -99,21 +101,24 @@ class Progress(StreamingQueryListener):
     def __init__(self, keep: int = 1_000):
         self.batches: deque[Batch] = deque(maxlen=keep)
         self.ended: set[str] = set()
+        self.heard = 0
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.heard += 1
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
         state = p.stateOperators
         seconds = p.durationMs.get("triggerExecution", 0) / 1000
         self.batches.append(Batch(p.name, p.batchId, p.numInputRows, seconds, p.numInputRows / seconds if seconds else 0.0, sum(s.numRowsTotal for s in state), sum(s.numRowsDroppedByWatermark for s in state), {k: v.asDict() for k, v in p.observedMetrics.items()}))
+        self.heard += 1
 
     def onQueryIdle(self, event) -> None:
-        pass
+        self.heard += 1
 
     def onQueryTerminated(self, event) -> None:
         self.ended.add(str(event.id))
+        self.heard += 1
 
     def of(self, query: str) -> list[Batch]:
         """The batches of a query that read rows."""
@@ -121,15 +126,39 @@ class Progress(StreamingQueryListener):
 
 
 @contextmanager
-def progress_of(spark: SparkSession) -> Iterator[Progress]:
-    """Listens to all queries of the session; at the end everything that was told has arrived."""
+def progress_of(spark: SparkSession, quiet_s: float = 60.0) -> Iterator[Progress]:
+    """Listens to all queries of the session; at the end everything that was told has arrived, however
+    long that takes: only if nothing is heard for ``quiet_s`` does it raise.
+
+    The listener works off events one by one, far slower than many small triggers bring them, and the
+    engine drops what its queue cannot hold.  So this is for looking on: what a result
+    depends on is better read from what the batches wrote.
+    """
     listener = Progress()
     spark.streams.addListener(listener)
     try:
         yield listener
     finally:
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
-        spark.streams.removeListener(listener)
+        try:
+            _heard_out(spark, listener, quiet_s)
+        finally:
+            spark.streams.removeListener(listener)
+
+
+def _heard_out(spark: SparkSession, listener: Progress, quiet_s: float) -> None:
+    """Waits until no event is under way to the listener."""
+    heard, since = listener.heard, time.monotonic()
+    while True:
+        try:
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(500)
+            return
+        except Py4JJavaError as e:
+            if "TimeoutException" not in str(e.java_exception):
+                raise
+            if listener.heard != heard:
+                heard, since = listener.heard, time.monotonic()
+            elif time.monotonic() - since > quiet_s:
+                raise
 
 
 def foreach_batch_sink(stream: DataFrame, write: Callable[[DataFrame, int], Any], checkpoint: str, name: str, once: bool = True, every: str = "10 seconds", mode: str = "append", hold: bool = True) -> StreamingQuery:
