@@ -109,6 +109,38 @@ def test_as_of_ranges_without_versions_carry_on(spark):
     assert got == {(k, t): "a" if k == 1 else "b" if k == 2 and t >= 25 else None for k, t, kind, _ in rows if kind}
 
 
+@pytest.mark.parametrize("most", [None, 40])
+def test_dealt_facts_take_the_version_in_force(spark, most):
+    """As the range join: gaps, nulls, equal times, a time that half of a key's facts share, keys cut by time (40) and not."""
+    rng = random.Random(3)
+    days = lambda n: at(24 * n)
+    rows = []
+    for k in range(6):
+        cuts = sorted(rng.sample(range(0, 900), 8))
+        rows += [(k, days(a), None if b == cuts[-1] and k % 2 else days(b), f"{k}-{a}") for a, b in zip(cuts, cuts[1:]) if rng.random() < 0.8]
+    # a version without length begins with the one that lasts; key 5 has one version, long before its facts
+    rows = [r for r in rows if r[0] != 5] + [(4, days(901), days(901), "none"), (4, days(901), None, "lasts"), (5, days(0), None, "old"), (None, days(1), None, "n")]
+    dim = spark.createDataFrame(rows, "k long, effective_from timestamp, valid_to timestamp, h string")
+    asked = [(i, rng.choice([0, 1, 2, 3, 4, 4, 4, 7, None]), rng.choice([None, days(300), days(901), *map(days, range(-5, 950, 5))])) for i in range(600)]
+    asked += [(600 + i, 5, days(500) if i % 2 else days(400 + i)) for i in range(200)]
+    facts = spark.createDataFrame(asked, "id long, j long, ts timestamp")
+    got = history.scd2_as_of_dealt(facts, dim, "k", "ts", {"h": "h"}, fact_key="j", most=most)
+    assert got.columns == ["id", "j", "ts", "h"]
+    pairs = facts.join(dim, (F.col("k") == F.col("j")) & history.in_force(F.col("ts"), F.col("effective_from"), F.col("valid_to")), "left")
+    want = {(r.id, r.h) for r in pairs.collect()}
+    assert {(r.id, r.h) for r in got.collect()} == want and got.count() == 800 and sum(h is not None for _, h in want) > 300
+
+
+def test_a_dealt_key_of_many_facts_is_many_groups(spark):
+    """One key with all facts: no group of the window has more than a part of them, and lines travel once."""
+    dim = spark.range(1_000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("effective_from"), F.timestamp_seconds((F.col("id") + 1) * 3600).alias("valid_to"), F.col("id").alias("v"))
+    facts = spark.range(20_000).select("id", F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 180 + 1).alias("ts"))
+    got = history.scd2_as_of_dealt(facts, dim, "k", "ts", {"v": "v"}, most=1_000)
+    assert got.where(~F.col("v").eqNullSafe(F.floor((F.col("id") * 180 + 1) / 3600))).count() == 0 and got.count() == 20_000
+    spread = history.scd2_as_of_dealt(facts.withColumn("one", F.lit(1)), dim, "k", "ts", {"v": "v"}, most=1_000).groupBy(F.spark_partition_id()).count()
+    assert spread.agg(F.max("count")).first()[0] < 20_000
+
+
 def test_null_and_empty_differ_in_hashes(spark):
     df = spark.createDataFrame([(None, "a"), ("", "a"), ("a", None)], "x string, y string")
     assert df.select(attribute_hash(["x", "y"]).alias("h")).distinct().count() == 3

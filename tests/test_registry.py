@@ -67,3 +67,26 @@ def test_state_as_of_a_step_takes_all_orders(spark):
     last = {r.order_id: r.lsn for r in registry.order_rows(spark, SF).groupBy("order_id").max("lsn").toDF("order_id", "lsn").collect()}
     assert found.keys() == last.keys()
     assert sum(found[k] < last[k] for k in last) > len(last) / 4
+
+
+@pytest.mark.parametrize("name, joins", [("fact_order_item", 2), ("assert_line_totals", 2)])
+def test_order_lines_are_written_once_and_joined_once(spark, monkeypatch, name, joins):
+    """Of all that the lines come from only the items and the heads of the orders are stored.  Lines meet the menu without a join: one is
+    that with the orders, the other is within the log of the menu, or that of sums and orders, which need no menu."""
+    from tidelake.sources import tables
+
+    paths, where = [], tables.scratch_dir
+    monkeypatch.setattr(tables, "scratch_dir", lambda spark: paths.append(where(spark)) or paths[-1])
+    df = registry.QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(paths) == 2 and plan.count("Join ") == joins
+
+
+def test_newest_changes_by_a_key_beside_the_image(spark):
+    """As those by the key inside it."""
+    from tidelake.operators import decode
+    from tidelake.plans import spec
+
+    log = registry.change_log(spark, SF, "order_changes", spec.ORDERS, key="order_id")
+    beside, inside = decode.latest_changes(log, spec.ORDERS, key="pk"), decode.latest_changes(log.drop("pk"), spec.ORDERS)
+    assert beside.columns == inside.columns and sorted(map(str, beside.collect())) == sorted(map(str, inside.collect()))

@@ -114,10 +114,12 @@ def parse_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
     return _parsed(changes, spec).select(*_typed(spec), (F.col("op") == "d").alias("is_deleted"), "op", "lsn")
 
 
-def latest_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
+def latest_changes(changes: DataFrame, spec: EntitySpec, key: str | None = None) -> DataFrame:
     """``latest_state`` of what ``parse_changes`` gives, by the entity's key: of a key's changes only
-    the newest is parsed, as parsing an image costs more than all the rest."""
-    return parse_changes(latest_state(with_key(changes, spec), [spec.key]), spec)
+    the newest is parsed, as parsing an image costs more than all the rest.  key: a column that has the key
+    already; a log that is not stored then makes its images once, not once more to look for keys in them."""
+    keyed = with_key(changes, spec) if key is None else changes.withColumnRenamed(key, spec.key)
+    return parse_changes(latest_state(keyed, [spec.key]), spec)
 
 
 def parse_dim_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:

@@ -119,6 +119,58 @@ def scd2_as_of_join(facts: DataFrame, versions: DataFrame, key: str, at: str, co
     return facts.join(told, (F.col(fact_key or key) == F.col("__k")) & (F.col(at) == F.col("__t")), "left").select(*facts.columns, *columns.values())
 
 
+def scd2_as_of_dealt(facts: DataFrame, versions: DataFrame, key: str, at: str, columns: dict[str, str], counted: DataFrame | None = None, fact_key: str | None = None, most: int | None = None) -> DataFrame:
+    """As ``scd2_as_of_join``, for facts of many keys: they travel whole, once, beside the versions, and
+    nothing is written or joined again.
+
+    Facts and versions are dealt by key and each fact takes the last version before it.  A key of more than
+    ``most`` facts is cut by time into parts, each of which begins with the version the parts before leave; so it
+    is as many tasks as its rows take.  Facts without key or time find nothing and lie wherever their hash falls.
+    counted: a table of at least the facts' keys (``fact_key``), in which rows of a key are counted; the facts themselves if there is none.
+    """
+    fact_key, most = fact_key or key, most or RANGE_ROWS
+    kinds = dict(facts.dtypes)
+    found = F.struct(F.col("valid_to").alias("to"), *[F.col(c).alias(n) for c, n in columns.items()])
+    # of versions that begin together the one that lasts is the last
+    last = F.coalesce(F.col("valid_to"), F.lit("9999-12-31").cast(versions.schema["valid_to"].dataType))
+    side = versions.where(F.col(key).isNotNull() & F.col("effective_from").isNotNull()).select(F.col(key).cast(kinds[fact_key]).alias(fact_key), F.col("effective_from").cast(kinds[at]).alias(at), last.alias("__end"), found.alias("__v"))
+    nowhere = F.col(fact_key).isNull() | F.col(at).isNull()
+    apart = -1 - F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20))
+
+    large = (facts if counted is None else counted).where(F.col(fact_key).isNotNull()).groupBy(fact_key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).collect()
+    if large:
+        # few: so many rows stand behind each of them
+        parts = -(-max(r.n for r in large) // most)
+        keys = F.broadcast(facts.sparkSession.createDataFrame([(r[0],) for r in large], StructType([StructField(fact_key, facts.schema[fact_key].dataType)])))
+        share = [i / parts for i in range(1, parts)]
+        times = facts.where(~nowhere).select(fact_key, _as_micros(at).alias("__m")).join(keys, fact_key).groupBy(fact_key).agg(F.array_sort(F.array_distinct(F.percentile_approx("__m", share, 10_000))).alias("__cuts"))
+        cuts = F.broadcast(stored(times))
+        side = stored(side)
+        place = F.when(nowhere, apart).otherwise(F.coalesce(F.size(F.filter("__cuts", lambda c: c <= _as_micros(at))), F.lit(0)).cast("long"))
+        facts_in = facts.join(cuts, fact_key, "left").withColumn("__part", place).drop("__cuts")
+        side = side.join(cuts, fact_key, "left").withColumn("__part", F.coalesce(F.size(F.filter("__cuts", lambda c: c <= _as_micros(at))), F.lit(0)).cast("long"))
+        # each part of a key begins with the last version of the parts before: a row for each
+        ends = side.where("__cuts is not null").groupBy(fact_key, "__cuts", "__part").agg(F.max_by(F.struct("__end", "__v"), F.struct(at, "__end")).alias("x"))
+        ends = ends.groupBy(fact_key, "__cuts").agg(F.array_sort(F.collect_list(F.struct("__part", "x")), lambda x, y: (x["__part"] - y["__part"]).cast("int")).alias("e"))
+        begin = F.transform(F.sequence(F.lit(1), F.size("__cuts")), lambda p: F.struct(p.cast("long").alias("__part"), F.try_element_at(F.filter("e", lambda y: y["__part"] < p), F.lit(-1))["x"].alias("x")))
+        begun = ends.where(F.size("__cuts") > 0).select(fact_key, F.explode(begin).alias("b")).where("b.x is not null")
+        begun = begun.select(fact_key, F.lit(None).cast(kinds[at]).alias(at), F.col("b.x.__end").alias("__end"), F.col("b.x.__v").alias("__v"), F.col("b.__part").alias("__part"))
+        side = side.drop("__cuts").unionByName(begun)
+    else:
+        facts_in = facts.withColumn("__part", F.when(nowhere, apart).otherwise(F.lit(0)).cast("long"))
+        side = side.withColumn("__part", F.lit(0).cast("long"))
+
+    line = facts_in.withColumn("__kind", F.lit(1)).unionByName(side.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy(fact_key, "__part").orderBy(F.asc_nulls_first(at), "__kind", "__end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = line.withColumn("__v", F.last("__v", ignorenulls=True).over(upto)).where("__kind = 1")
+    holds = F.col("__v.to").isNull() | (F.col(at) < F.col("__v.to"))
+    return told.select(*facts.columns, *[F.when(holds, F.col("__v").getField(n)).alias(n) for n in columns.values()])
+
+
+def _as_micros(at: str) -> Column:
+    return F.unix_micros(F.col(at).cast("timestamp"))
+
+
 #: Rows of a range of the sequence of facts and versions: so many meet in a task on average.
 RANGE_ROWS = 500_000
 

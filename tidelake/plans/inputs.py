@@ -157,11 +157,12 @@ def payload(df: DataFrame, fields: list[str]) -> F.Column:
     return F.struct(*[(iso(F.col(c)) if types[c] == "timestamp" else F.col(c)).alias(c) for c in fields if c in types])
 
 
-def as_bronze(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Typed change rows as the change log's rows: op, lsn, event_ts_ms, images as VARIANT."""
+def as_bronze(df: DataFrame, fields: list[str], key: str | None = None) -> DataFrame:
+    """Typed change rows as the change log's rows: op, lsn, event_ts_ms, images as VARIANT; and, if ``key`` is given, that as pk."""
     row = F.to_variant_object(payload(df, fields))
     gone = F.col("op") == "d"
-    return df.select("op", "lsn", F.unix_millis("updated_at").alias("event_ts_ms"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"))
+    pk = [F.col(key).alias("pk")] if key else []
+    return df.select(*pk, "op", "lsn", F.unix_millis("updated_at").alias("event_ts_ms"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"))
 
 
 #: Shape of the envelopes that ``messages`` writes for ``changes``.

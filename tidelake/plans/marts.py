@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.keys import surrogate_key
-from tidelake.operators.history import scd2_as_of_join, scd2_effective_from
+from tidelake.operators.history import scd2_as_of_dealt, scd2_as_of_join, scd2_effective_from
 from tidelake.operators.state import latest_state
 
 SLA_GRACE_MINUTES = 0
@@ -141,12 +141,13 @@ def fact_delivery(orders: DataFrame, dates: DataFrame, customers: DataFrame, res
 
 def fact_order_item(items: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
     """One row for each live line of a live order, with the menu's price when it was placed.
-    ``items``, one row for each order_item_id, and ``orders`` are read twice, of the second time
-    only what the as-of join needs; so they should be stored tables."""
+    ``items`` are read once more, for how many lines an item of the menu has; so they should be a stored
+    table.  A line travels with its menu item's times, not with its longer key, which is made of them in the end."""
     head = orders.where("not is_deleted").select("order_id", "placed_ts", "restaurant_id", F.col("status").alias("order_status"))
-    rows = items.where("not is_deleted").join(head, "order_id")
-    found = {"menu_item_sk": "menu_item_sk", "menu_item_name": "menu_item_name", "menu_price_inr": "menu_price_inr"}
-    rows = scd2_as_of_join(rows, menu, "menu_item_id", "placed_ts", found, row_key=["order_item_id"])
+    rows = items.where("not is_deleted").select("order_item_id", "order_id", "menu_item_id", "qty", "unit_price_inr", "line_total_inr").join(head, "order_id")
+    found = {"valid_from": "__from", "menu_item_name": "menu_item_name", "menu_price_inr": "menu_price_inr"}
+    rows = scd2_as_of_dealt(rows, menu, "menu_item_id", "placed_ts", found, counted=items)
+    rows = rows.withColumn("menu_item_sk", F.when(F.col("__from").isNotNull(), surrogate_key(["menu_item_id", "__from"])))
     return rows.select(
         surrogate_key(["order_item_id"]).alias("order_item_sk"), surrogate_key(["order_id"]).alias("order_sk"), "menu_item_sk",
         "order_item_id", "order_id", "menu_item_id", "restaurant_id", "menu_item_name", "qty", "unit_price_inr", "line_total_inr",

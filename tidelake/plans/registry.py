@@ -173,17 +173,22 @@ _ORDER_SQL = _ORDER_FIELDS + ", " + ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for
 _ORDER_COLUMNS = [c.strip() for c in f"{_ORDER_FIELDS}, {_ORDER_MONEY}, is_deleted, op, lsn".split(",")]
 
 
-def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
-    """An entity's change log as a stored table, images as VARIANT.
+def change_log(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec, key: str | None = None) -> DataFrame:
+    """An entity's change log, images as VARIANT, not stored: for what reads it once.  key: a field that also stands beside the image, as pk.
 
-    Images are written whole: fields shredded into columns of their own cost more to write and to
+    Images are written whole, where they are: fields shredded into columns of their own cost more to write and to
     read than they save, as images are parsed whole."""
     rows, cores = inputs.given(spark, sf, name, deal=True), spark.sparkContext.defaultParallelism
     if rows.rdd.getNumPartitions() < cores:
         # a small table is one file of one row group: without this it stays one task's to the end
         rows = rows.repartition(cores, "lsn")
     spark.conf.set("spark.sql.variant.writeShredding.enabled", "false")
-    return tables.stored(inputs.as_bronze(rows, entity.fields))
+    return inputs.as_bronze(rows, entity.fields, key)
+
+
+def bronze_table(spark: SparkSession, sf: str, name: str, entity: spec.EntitySpec) -> DataFrame:
+    """An entity's change log as a stored table."""
+    return tables.stored(change_log(spark, sf, name, entity))
 
 
 def order_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,9 +212,9 @@ DIMS = {
 }
 
 
-def dim_rows(spark: SparkSession, sf: str, which: str) -> DataFrame:
+def dim_rows(spark: SparkSession, sf: str, which: str, kept: bool = True) -> DataFrame:
     entity, name = DIMS[which]
-    return decode.parse_dim_changes(bronze_table(spark, sf, name, entity), entity)
+    return decode.parse_dim_changes((bronze_table if kept else change_log)(spark, sf, name, entity), entity)
 
 
 def _parsed_sql(which: str) -> str:
@@ -467,9 +472,9 @@ def _(spark, sf):
 # --- history ----------------------------------------------------------------------------
 
 
-def versions(spark: SparkSession, sf: str, which: str) -> DataFrame:
-    """Hashes travel and sort as bytes: half as wide as their digits, in the same order."""
-    return hashes_as_text(history.scd2_versions(hashes_as_bytes(dim_rows(spark, sf, which)), DIMS[which][0].key))
+def versions(spark: SparkSession, sf: str, which: str, kept: bool = True) -> DataFrame:
+    """Hashes travel and sort as bytes: half as wide as their digits, in the same order.  kept: the log is stored."""
+    return hashes_as_text(history.scd2_versions(hashes_as_bytes(dim_rows(spark, sf, which, kept)), DIMS[which][0].key))
 
 
 def hashes_as_bytes(rows: DataFrame) -> DataFrame:
@@ -755,15 +760,22 @@ SHARED["order_lines"] = f"""SELECT i.order_item_id, i.order_id, i.menu_item_id,
   LEFT JOIN live_menu AS m ON i.menu_item_id = m.menu_item_id AND o.placed_ts >= m.effective_from AND (m.valid_to IS NULL OR o.placed_ts < m.valid_to) WHERE NOT i.is_deleted"""
 
 
-def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    items = marts.stg_order_items(entity_rows(spark, sf, "item_changes", spec.ORDER_ITEMS))
-    return marts.fact_order_item(tables.stored(items), staged_orders(spark, sf), menu(spark, sf))
+def order_heads(spark: SparkSession, sf: str) -> DataFrame:
+    """What the lines need of the orders as they are, stored."""
+    heads = marts.stg_orders(orders_now(spark, sf, kept=False)).select("order_id", "restaurant_id", "status", "placed_ts", "subtotal_inr", "is_deleted")
+    return tables.stored(heads)
+
+
+def order_lines(spark: SparkSession, sf: str, heads: DataFrame) -> DataFrame:
+    items = marts.stg_order_items(decode.parse_changes(change_log(spark, sf, "item_changes", spec.ORDER_ITEMS), spec.ORDER_ITEMS))
+    live = marts.dim_menu_item(marts.stg_menu_items(versions(spark, sf, "menu", kept=False)))
+    return marts.fact_order_item(tables.stored(items), heads, live)
 
 
 @query("fact_order_item", """SELECT order_item_id, order_id, menu_item_sk, restaurant_id, menu_item_name, qty, CAST(line_total_inr AS DOUBLE) AS line_total_inr, CAST(menu_price_inr AS DOUBLE) AS menu_price_inr,
   CAST(price_variance_inr AS DOUBLE) AS price_variance_inr, placed_ts, order_status FROM order_lines""", _ITEM)
 def _(spark, sf):
-    return order_lines(spark, sf).select("order_item_id", "order_id", "menu_item_sk", "restaurant_id", "menu_item_name", "qty", "line_total_inr", "menu_price_inr", "price_variance_inr", "placed_ts", "order_status")
+    return order_lines(spark, sf, order_heads(spark, sf)).select("order_item_id", "order_id", "menu_item_sk", "restaurant_id", "menu_item_name", "qty", "line_total_inr", "menu_price_inr", "price_variance_inr", "placed_ts", "order_status")
 
 
 # --- aggregates -------------------------------------------------------------------------
@@ -874,8 +886,10 @@ SHARED["judged_orders"] = f"SELECT *, {_violations(_ORDER_RULES)} AS violations
 _JUDGED = ("orders_now", "judged_orders")
 
 
-def orders_now(spark: SparkSession, sf: str) -> DataFrame:
-    return decode.latest_changes(order_log(spark, sf), spec.ORDERS)
+def orders_now(spark: SparkSession, sf: str, kept: bool = True) -> DataFrame:
+    if kept:
+        return decode.latest_changes(order_log(spark, sf), spec.ORDERS)
+    return decode.latest_changes(change_log(spark, sf, "order_changes", spec.ORDERS, key="order_id"), spec.ORDERS, key="pk")
 
 
 def _names(df: DataFrame) -> Column:
@@ -1038,8 +1052,9 @@ def _(spark, sf):
   FROM (SELECT order_id, subtotal_inr AS gross_revenue_inr FROM staged_orders WHERE NOT is_deleted) AS d JOIN (SELECT order_id, sum(line_total_inr) AS s FROM order_lines GROUP BY order_id) AS l ON d.order_id = l.order_id WHERE abs(d.gross_revenue_inr - l.s) > 1.00""",
   ("orders_now", "staged_orders", *_ITEM[1:]))
 def _(spark, sf):
-    orders = staged_orders(spark, sf).where("not is_deleted").select("order_id", F.col("subtotal_inr").alias("gross_revenue_inr"))
-    return datatests.assert_line_totals(orders, order_lines(spark, sf))
+    heads = order_heads(spark, sf)
+    orders = heads.where("not is_deleted").select("order_id", F.col("subtotal_inr").alias("gross_revenue_inr"))
+    return datatests.assert_line_totals(orders, order_lines(spark, sf, heads))
 
 
 @query("assert_one_version", "SELECT order_id, 2 AS n FROM deliveries WHERE order_id % 13 = 0", _STAR)
