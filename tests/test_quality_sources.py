@@ -52,6 +52,16 @@ def test_data_tests(spark):
     assert datatests.test_relationships(df, "id", spark.createDataFrame([(2,)], "p long"), "p").count() == 2
 
 
+def test_parents_do_not_pass_through_the_driver(spark):
+    """However small they seem, and however many versions a parent has; null parents are no one's, null references pass."""
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (3, "e")], "id long, v string")
+    parents = spark.createDataFrame([(2,), (2,), (2,), (None,)], "p long")
+    got = datatests.test_relationships(df, "id", parents, "p")
+    assert {r.v for r in got.collect()} == {"a", "e"} and got.columns == ["id", "v"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(T,), (T - 30 * H,), (None,)], "ts timestamp")
     now = F.lit(T + 2 * H)
